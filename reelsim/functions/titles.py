@@ -45,6 +45,11 @@ def display_with_year(title: str | Column) -> Column:
     return F.when(y.isNotNull(), F.concat(name, F.lit(" ("), y, F.lit(")"))).otherwise(t)
 
 
+def _substr_of(s: Column, k: int):
+    # one-argument lambda: transform() reads a second argument as the index
+    return lambda i: F.substring(s, i, k)
+
+
 def substring_grams(s: str | Column, max_len: int = 3) -> Column:
     """Distinct substrings of length 1..max_len of ``s`` (the n-gram keys of
     the title lookup index).  Any substring query of length >= k contains a
@@ -55,7 +60,7 @@ def substring_grams(s: str | Column, max_len: int = 3) -> Column:
     for k in range(1, max_len + 1):
         starts = F.when(n >= k, F.sequence(F.lit(1), n - k + 1)).otherwise(
             F.array().cast("array<int>"))
-        parts.append(F.transform(starts, lambda i, k=k: F.substring(s, i, k)))
+        parts.append(F.transform(starts, _substr_of(s, k)))
     return F.array_distinct(F.concat(*parts))
 
 

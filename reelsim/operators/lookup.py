@@ -106,3 +106,12 @@ def suggest_titles(queries: DataFrame, titles: DataFrame, index: DataFrame, freq
     w = Window.partitionBy(qid).orderBy("match_rank", "row_id")
     return (first.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= limit)
                  .select(qid, "rank", "row_id", "title"))
+
+
+def resolve_exact(queries: DataFrame, titles: DataFrame, qid: str = "query_id",
+                  text_col: str = "text") -> DataFrame:
+    """Notebook lookup (V12): lower-cased title equals the lower-cased
+    query, no trimming, no tiers; first row.  ``(qid, row_id)``."""
+    q = queries.select(qid, F.lower(F.col(text_col)).alias("_q"))
+    t = titles.select("row_id", F.lower(F.col("title")).alias("_lk"))
+    return q.join(t, q._q == t._lk).groupBy(qid).agg(F.min("row_id").alias("row_id"))

@@ -73,6 +73,22 @@ class Recommender:
         self.freq = lookup.gram_frequency(self.index).persist()
         return self
 
+    def materialize(self) -> "Recommender":
+        """Cut lineage: write catalogue, model tables and title index as
+        reliable checkpoints in the shared checkpoint folder (they survive
+        executor loss, unlike a local checkpoint), so every later query
+        starts from stored tables instead of re-running the fit."""
+        from reelsim.session import reliable_checkpoint
+        self.catalog = reliable_checkpoint(self.catalog)
+        self.model.vocabulary = reliable_checkpoint(self.model.vocabulary)
+        self.model.postings = reliable_checkpoint(self.model.postings)
+        n_docs = self.catalog.count()
+        self.model.n_docs = F.lit(n_docs).cast("long")
+        self.titles = self.catalog.select("row_id", "title", "title_key", "name_only")
+        self.index = reliable_checkpoint(lookup.gram_index(self.titles))
+        self.freq = reliable_checkpoint(lookup.gram_frequency(self.index))
+        return self
+
     def save(self, path: str) -> str:
         """Write the model tables as Parquet."""
         from reelsim.sources import store

@@ -19,7 +19,7 @@ SCALE_CONF = {
 
 
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
-              app_name: str = "reelsim") -> SparkSession:
+              app_name: str = "reelsim", driver_memory: str = "16g") -> SparkSession:
     """Local session for tests, bench and scripts (UI off, no server)."""
     builder = SparkSession.builder.appName(app_name)
     if master:
@@ -29,6 +29,9 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         builder = builder.config(k, v)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if master and master.startswith("local"):
+        # local mode: the driver JVM is the only executor
+        builder = builder.config("spark.driver.memory", driver_memory)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
