@@ -35,20 +35,33 @@ def maybe_broadcast(df: DataFrame, bounded: bool | None = None,
 
 
 def cosine_scores(query_vecs: DataFrame, postings: DataFrame, qid: str = "query_id",
-                  bounded: bool | None = None) -> DataFrame:
+                  bounded: bool | None = None, exclude_col: str | None = None,
+                  exclude_masked: bool = True) -> DataFrame:
     """``(qid, row_id, score)`` for every (query, document) sharing a term.
 
-    Both sides are unit vectors, so cosine = dot product.  The query side
+    Both sides are unit vectors, so cosine = dot product.  ``exclude_col``
+    on the query side names a row to leave out (masked: dropped; not
+    masked: kept with score -1).  The query side
     is broadcast (size-checked): postings stream through without a
     shuffle on ``term``, so a term in a third of all documents is no hot
     partition; the sum combines map-side before the shuffle on
     ``(qid, row_id)``.
     """
-    q = query_vecs.select(qid, "term", F.col("w").alias("_qw"))
+    extra = [exclude_col] if exclude_col else []
+    q = query_vecs.select(qid, "term", F.col("w").alias("_qw"), *extra)
     q = maybe_broadcast(q, bounded)
-    return (postings.select("row_id", "term", "w").join(q, "term")
-                    .groupBy(qid, "row_id")
-                    .agg(F.sum(F.col("w") * F.col("_qw")).alias("score")))
+    j = postings.select("row_id", "term", "w").join(q, "term")
+    prod = F.col("w") * F.col("_qw")
+    if exclude_col and exclude_masked:
+        # leave the query's own row out before aggregating
+        j = j.filter(F.col("row_id") != F.col(exclude_col))
+    elif exclude_col:
+        prod = F.when(F.col("row_id") == F.col(exclude_col), F.lit(None)).otherwise(prod)
+    out = j.groupBy(qid, "row_id").agg(F.sum(prod).alias("score"))
+    if exclude_col and not exclude_masked:
+        # the masked row keeps score -1 (notebook behaviour)
+        out = out.withColumn("score", F.coalesce(F.col("score"), F.lit(-1.0)))
+    return out
 
 
 def _rank_order(score: str = "score"):
@@ -63,10 +76,13 @@ def top_n_per_query(scored: DataFrame, n: int, qid: str = "query_id") -> DataFra
     return scored.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
 
 
+NO_FILTER = "\u0000"   # join key standing for "no genre filter"
+
+
 def filter_heads(catalog: DataFrame, filter_keys: DataFrame, m: int,
                  key: str = "filter_key") -> DataFrame:
     """Per distinct filter key, the ``m`` highest row_ids of catalogue rows
-    passing it (null key = no filter).  ``(filter_key, row_id)``.
+    passing it (``NO_FILTER`` = every row).  ``(filter_key, row_id)``.
 
     The keys are the distinct filters of a query batch (size-checked
     broadcast); a regex cannot be answered from an index, so each key is
@@ -76,7 +92,7 @@ def filter_heads(catalog: DataFrame, filter_keys: DataFrame, m: int,
     keys = filter_keys.select(key).distinct()
     if not fits_broadcast(keys, 10_000):
         raise ValueError("more than 10,000 distinct genre filters in one batch")
-    cond = F.col(key).isNull() | genre_matches(F.col("genre_src"), F.col(key))
+    cond = (F.col(key) == NO_FILTER) | genre_matches(F.col("genre_src"), F.col(key))
     hits = catalog.select("row_id", "genre_src").join(F.broadcast(keys), cond)
     w = Window.partitionBy(key).orderBy(F.col("row_id").desc())
     return (hits.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= m)
@@ -85,7 +101,8 @@ def filter_heads(catalog: DataFrame, filter_keys: DataFrame, m: int,
 
 def rank_with_padding(scored: DataFrame, queries: DataFrame, catalog: DataFrame, n: int,
                       qid: str = "query_id", exclude_col: str | None = None,
-                      filter_col: str | None = None, exclude_masked: bool = True) -> DataFrame:
+                      filter_col: str | None = None, exclude_masked: bool = True,
+                      bounded: bool | None = None) -> DataFrame:
     """Top ``n`` catalogue rows per query, padded with score-0 rows.
 
     Rows sharing no term with the query score 0 and still fill the list,
@@ -95,33 +112,31 @@ def rank_with_padding(scored: DataFrame, queries: DataFrame, catalog: DataFrame,
     scored rows and the excluded row precede them, so they are among
     those.  ``queries`` holds ``qid`` and optionally ``exclude_col`` (row
     to leave out) and ``filter_col`` (normalised genre regex or null).
-
-    With ``exclude_masked=False`` the excluded row stays in the list with
-    score -1 (notebook behaviour, V12).
+    ``scored`` must already leave out excluded rows (see
+    :func:`cosine_scores`); with ``exclude_masked=False`` the excluded row
+    instead stays in the list with score -1 (notebook behaviour, V12).
     """
     qcols = [qid] + [c for c in (exclude_col, filter_col) if c]
     q = queries.select(*qcols)
     if filter_col:
         # genre of each scored row; scored rows are the small side
-        scored = (scored.join(q, qid)
+        scored = (scored.join(maybe_broadcast(q.select(qid, filter_col), bounded), qid)
                         .join(catalog.select("row_id", "genre_src"), "row_id")
                         .filter(F.col(filter_col).isNull()
                                 | genre_matches(F.col("genre_src"), F.col(filter_col)))
                         .select(qid, "row_id", "score"))
-    if exclude_col:
-        excl = q.select(qid, F.col(exclude_col).alias("_x"))
-        scored = scored.join(excl, qid)
-        if exclude_masked:
-            scored = scored.filter(F.col("row_id") != F.col("_x")).drop("_x")
-        else:
-            scored = scored.withColumn("score", F.when(F.col("row_id") == F.col("_x"), F.lit(-1.0))
-                                       .otherwise(F.col("score"))).drop("_x")
     top = top_n_per_query(scored, n, qid).drop("rank")
 
     m = n + (1 if exclude_col else 0)
-    qk = q.withColumn("_fk", F.col(filter_col) if filter_col else F.lit(None).cast("string"))
-    heads = filter_heads(catalog, qk.select(F.col("_fk").alias("filter_key")), m)
-    pad = qk.join(heads, qk["_fk"].eqNullSafe(heads["filter_key"]))
+    if filter_col:
+        qk = q.withColumn("_fk", F.coalesce(F.col(filter_col), F.lit(NO_FILTER)))
+        heads = filter_heads(catalog, qk.select(F.col("_fk").alias("filter_key")), m)
+        pad = qk.join(heads, qk["_fk"] == heads["filter_key"])
+    else:
+        # same m rows for every query: a bounded array, no join
+        head_ids = (catalog.select("row_id").orderBy(F.col("row_id").desc()).limit(m)
+                           .agg(F.collect_list("row_id")).scalar())
+        pad = q.select("*", F.explode(head_ids).alias("row_id"))
     pad_score = F.lit(0.0)
     if exclude_col:
         if exclude_masked:

@@ -289,10 +289,12 @@ def q_notebook_recommend_title(spark, sf):
     res = resolve_exact(_first_title(rec), rec.titles)
     q = res.select(QID, F.col("row_id").alias("_self"))
     from reelsim.operators.similarity import cosine_scores, rank_with_padding
-    qv = rec.vectors_of_rows(res, bounded=True)
-    scored = cosine_scores(qv, rec.model.postings, QID, bounded=True)
-    ranked = rank_with_padding(scored, q, rec.catalog, 5, QID, exclude_col="_self", exclude_masked=False)
-    out = rec._results(ranked, score_col="score")
+    qv = rec.vectors_of_rows(res, bounded=True, keep_self=True)
+    scored = cosine_scores(qv, rec.model.postings, QID, bounded=True, exclude_col="_self",
+                           exclude_masked=False)
+    ranked = rank_with_padding(scored, q, rec.catalog, 5, QID, exclude_col="_self",
+                               exclude_masked=False, bounded=True)
+    out = rec._results(ranked, score_col="score", bounded=True)
     return _long(out.select(QID, "rank", "row_id", "title", "score"), QID, "rank")
 
 

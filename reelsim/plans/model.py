@@ -110,9 +110,11 @@ class Recommender:
                                 min_len=t.min_len, lexicon=t.lexicon)
         return queries.withColumn("_toks", toks)
 
-    def _results(self, ranked: DataFrame, score_col: str = "similarity_score") -> DataFrame:
+    def _results(self, ranked: DataFrame, score_col: str = "similarity_score",
+                 bounded: bool | None = None) -> DataFrame:
         cat = self.catalog.select("row_id", *OUTPUT_COLUMNS)
-        out = ranked.join(cat, "row_id")
+        # ranked holds n rows per query: the small side
+        out = cat.join(F.broadcast(ranked) if bounded else ranked, "row_id")
         return out.select(QID, "rank", "row_id", *OUTPUT_COLUMNS,
                           F.round("score", SCORE_DECIMALS).alias(score_col))
 
@@ -122,11 +124,13 @@ class Recommender:
         return lookup.resolve_titles(queries, self.titles, self.index, self.freq,
                                      QID, text_col, bounded)
 
-    def vectors_of_rows(self, rows: DataFrame, bounded: bool | None = None) -> DataFrame:
+    def vectors_of_rows(self, rows: DataFrame, bounded: bool | None = None,
+                        keep_self: bool = False) -> DataFrame:
         """Model vectors of catalogue rows as query vectors:
-        ``rows(query_id, row_id)`` -> ``(query_id, term, w)``."""
+        ``rows(query_id, row_id)`` -> ``(query_id, term, w[, _self])``."""
         r = maybe_broadcast(rows.select(QID, "row_id"), bounded)
-        return self.model.postings.join(r, "row_id").select(QID, "term", "w")
+        extra = [F.col("row_id").alias("_self")] if keep_self else []
+        return self.model.postings.join(r, "row_id").select(QID, "term", "w", *extra)
 
     # ---- the query API -------------------------------------------------
     def by_title(self, queries: DataFrame, n: int = 5, text_col: str = "text",
@@ -135,16 +139,20 @@ class Recommender:
         """Most similar rows to a title (V6): resolve, score against every
         document, leave the movie itself out, optional genre regex, top n.
         Unknown titles give no rows."""
-        res = self.resolve(queries, text_col, bounded)
+        from reelsim.session import reliable_checkpoint
+        # one small row per query, read five ways below (exclusion, filter,
+        # padding, query vectors, size check): store it once
+        res = reliable_checkpoint(self.resolve(queries, text_col, bounded))
         q = res.select(QID, F.col("row_id").alias("_self"))
         if filter_col:
             q = q.join(queries.select(QID, genre_filter_key(F.col(filter_col)).alias("_gf")), QID)
-        qv = self.vectors_of_rows(res.select(QID, "row_id"), bounded)
-        scored = cosine_scores(qv, self.model.postings, QID, bounded)
+        qv = self.vectors_of_rows(res.select(QID, "row_id"), bounded, keep_self=True)
+        scored = cosine_scores(qv, self.model.postings, QID, bounded, exclude_col="_self",
+                               exclude_masked=exclude_masked)
         ranked = rank_with_padding(scored, q, self.catalog, n, QID, exclude_col="_self",
                                    filter_col="_gf" if filter_col else None,
-                                   exclude_masked=exclude_masked)
-        return self._results(ranked)
+                                   exclude_masked=exclude_masked, bounded=bounded)
+        return self._results(ranked, bounded=bounded)
 
     def by_description(self, queries: DataFrame, n: int = 5, text_col: str = "text",
                        filter_col: str | None = None, bounded: bool | None = None,
@@ -161,8 +169,8 @@ class Recommender:
         scored = cosine_scores(qv, self.model.postings, QID, bounded)
         qq = q.select(QID, *([genre_filter_key(F.col(filter_col)).alias("_gf")] if filter_col else []))
         ranked = rank_with_padding(scored, qq, self.catalog, n, QID,
-                                   filter_col="_gf" if filter_col else None)
-        return self._results(ranked)
+                                   filter_col="_gf" if filter_col else None, bounded=bounded)
+        return self._results(ranked, bounded=bounded)
 
     def by_genre(self, queries: DataFrame, n: int = 5, genre_col: str = "genre") -> DataFrame:
         """Top-rated rows of a genre (V8); no similarity column."""
