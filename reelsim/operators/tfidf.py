@@ -33,6 +33,7 @@ class TfidfModel:
     sublinear_tf: bool = True
     use_idf: bool = True
     norm: bool = True
+    term_counts: DataFrame | None = None   # (row_id, term, tf) the model was built from
 
     def persist(self) -> "TfidfModel":
         self.vocabulary = self.vocabulary.persist()
@@ -106,7 +107,7 @@ def fit(docs: DataFrame, terms_col: str = "terms", min_df: int = MIN_DF,
     vocab = vocab.withColumn("idf", smooth_idf(F.col("df"), n_docs)) if use_idf \
         else vocab.withColumn("idf", F.lit(1.0))
     postings = _weigh(tf, vocab, sublinear_tf, use_idf, norm, id_col)
-    return TfidfModel(vocab, postings, n_docs, sublinear_tf, use_idf, norm)
+    return TfidfModel(vocab, postings, n_docs, sublinear_tf, use_idf, norm, term_counts=tf)
 
 
 def transform(model: TfidfModel, docs: DataFrame, terms_col: str = "terms",

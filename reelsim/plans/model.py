@@ -80,8 +80,16 @@ class Recommender:
         starts from stored tables instead of re-running the fit."""
         from reelsim.session import reliable_checkpoint
         self.catalog = reliable_checkpoint(self.catalog)
+        # term counts feed both the vocabulary and the postings: keep them
+        # (memory, spilling to disk) while both are written, then drop them
+        tf = self.model.term_counts
+        if tf is not None:
+            tf.persist()
         self.model.vocabulary = reliable_checkpoint(self.model.vocabulary)
         self.model.postings = reliable_checkpoint(self.model.postings)
+        if tf is not None:
+            tf.unpersist()
+            self.model.term_counts = None
         n_docs = self.catalog.count()
         self.model.n_docs = F.lit(n_docs).cast("long")
         self.titles = self.catalog.select("row_id", "title", "title_key", "name_only")
