@@ -50,7 +50,7 @@ def candidates(keys: DataFrame, index: DataFrame, freq: DataFrame, qid: str = "q
 
 def resolve_titles(queries: DataFrame, titles: DataFrame, index: DataFrame, freq: DataFrame,
                    qid: str = "query_id", text_col: str = "text",
-                   bounded: bool | None = None) -> DataFrame:
+                   bounded: bool | None = None, short_circuit: bool = True) -> DataFrame:
     """Resolve free-text titles to catalogue rows.
 
     Tiers: 1 exact key; 2 exact name without year; 3 every query word is a
@@ -67,6 +67,15 @@ def resolve_titles(queries: DataFrame, titles: DataFrame, index: DataFrame, freq
     tier2 = q.join(t, q.q == t.name_only).select(qid, "row_id", F.lit(2).alias("tier"), "title_key")
     easy = tier1.unionByName(tier2)
     rest = q.join(easy.select(qid).distinct(), qid, "left_anti")
+    if short_circuit:
+        # common case: every query matched a key or a name exactly; the
+        # substring tiers are then not planned at all
+        from reelsim.session import cache_small
+        easy = cache_small(easy)
+        rest = q.join(easy.select(qid).distinct(), qid, "left_anti")
+        if rest.isEmpty():
+            best = easy.groupBy(qid).agg(F.min(F.struct("tier", "row_id", "title_key")).alias("b"))
+            return best.select(qid, "b.row_id", "b.tier", F.col("b.title_key").alias("matched_key"))
 
     words = F.split(F.col("q"), r"(?U)\s+")
     k3 = rest.select(qid, F.flatten(F.transform(words, lambda w: query_grams(w, GRAM_LEN))).alias("grams"))

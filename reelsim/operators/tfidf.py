@@ -14,6 +14,7 @@ document-frequency count on ``term``.  The vocabulary is capped by
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -92,16 +93,23 @@ def _weigh(tf: DataFrame, vocabulary: DataFrame, sublinear: bool, use_idf: bool,
 def fit(docs: DataFrame, terms_col: str = "terms", min_df: int = MIN_DF,
         max_features: int | None = MAX_FEATURES, sublinear_tf: bool = True,
         use_idf: bool = True, norm: bool = True, id_col: str = "row_id",
-        num_partitions: int | None = None) -> TfidfModel:
+        num_partitions: int | None = None,
+        to_terms: Callable[[Column], Column] | None = None,
+        n_docs: Column | None = None) -> TfidfModel:
     """Fit TF-IDF on ``docs(row_id, terms array)`` (V3; V2 with
     ``use_idf=False, norm=False, sublinear_tf=False``).
 
+    ``to_terms`` turns ``terms_col`` into the term array *after* the
+    repartition on ``row_id`` (ship tokens, not the larger n-gram arrays).
     ``N`` counts every fitted document, also those left without any
-    vocabulary term.
+    vocabulary term; pass ``n_docs`` when it is already known.
     """
     parts = [num_partitions] if num_partitions else []
     docs = docs.select(id_col, terms_col).repartition(*parts, id_col)
-    n_docs = docs.select(F.count(F.lit(1))).scalar()
+    if to_terms is not None:
+        docs = docs.select(id_col, to_terms(F.col(terms_col)).alias(terms_col))
+    if n_docs is None:
+        n_docs = docs.select(F.count(F.lit(1))).scalar()
     tf = term_counts(docs, terms_col, id_col)
     vocab = select_vocabulary(tf, min_df, max_features)
     vocab = vocab.withColumn("idf", smooth_idf(F.col("df"), n_docs)) if use_idf \

@@ -52,7 +52,7 @@ def _rec(spark: SparkSession, sf: str, **kw) -> Recommender:
         dedupe = kw.get("dedupe", True)
         params = {k: v for k, v in kw.items() if k != "dedupe"}
         _FITTED[key] = Recommender.fit(films(spark, sf), ModelParams(**params),
-                                       dedupe=dedupe).materialize()
+                                       dedupe=dedupe, materialize=True)
     return _FITTED[key]
 
 

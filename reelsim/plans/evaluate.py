@@ -74,9 +74,9 @@ def summary(results: DataFrame, rec: Recommender, score_col: str = "similarity_s
 def run(rec: Recommender, size: int = SAMPLE_SIZE, seed: int = SAMPLE_SEED,
         n: int = TOP_N) -> tuple[DataFrame, DataFrame]:
     """Evaluate: the batch result and its summary row."""
-    from reelsim.session import reliable_checkpoint
+    from reelsim.session import store_table
     # the batch result is read by several aggregates: store it once
-    results = reliable_checkpoint(rec.by_title(sample_queries(rec, size, seed), n, bounded=True))
+    results = store_table(rec.by_title(sample_queries(rec, size, seed), n, bounded=True), "eval_results")
     return results, summary(results, rec)
 
 

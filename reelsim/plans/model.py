@@ -49,19 +49,30 @@ class Recommender:
     # ---- fitting -------------------------------------------------------
     @classmethod
     def fit(cls, films: DataFrame, params: ModelParams | None = None,
-            dedupe: bool = True) -> "Recommender":
+            dedupe: bool = True, materialize: bool = False) -> "Recommender":
         """Prepare the catalogue and fit TF-IDF (V3).  ``dedupe=False`` is
-        the notebook catalogue (cleaning only)."""
+        the notebook catalogue (cleaning only).
+
+        ``materialize=True`` stores the catalogue first (reliable
+        checkpoint) and fits from the stored table, then stores the model
+        tables and title index: the text pipeline runs once.
+        """
         params = params or ModelParams()
         catalog = prepare_catalog(films, params.text, dedupe=dedupe)
+        n_docs = None
+        if materialize:
+            from reelsim.session import store_table
+            catalog = store_table(catalog, "catalog")
+            n_docs = F.lit(catalog.count()).cast("long")
         if params.tokenizer == "raw":
-            terms = tfidf.uni_bi_grams(raw_tokens(F.col("description")))
+            src, to_terms = "description", lambda c: tfidf.uni_bi_grams(raw_tokens(c))
         else:
-            terms = tfidf.uni_bi_grams(F.col("tokens"))
-        docs = catalog.select("row_id", terms.alias("terms"))
-        model = tfidf.fit(docs, "terms", params.min_df, params.max_features,
-                          params.sublinear_tf, num_partitions=params.num_partitions)
-        return cls(catalog, model, params)
+            src, to_terms = "tokens", tfidf.uni_bi_grams
+        model = tfidf.fit(catalog.select("row_id", src), src, params.min_df, params.max_features,
+                          params.sublinear_tf, num_partitions=params.num_partitions,
+                          to_terms=to_terms, n_docs=n_docs)
+        rec = cls(catalog, model, params)
+        return rec._store_model() if materialize else rec
 
     def persist(self) -> "Recommender":
         """Keep the model tables in executor memory (spilling to disk);
@@ -75,26 +86,30 @@ class Recommender:
 
     def materialize(self) -> "Recommender":
         """Cut lineage: write catalogue, model tables and title index as
-        reliable checkpoints in the shared checkpoint folder (they survive
+        Parquet tables in the shared checkpoint folder (they survive
         executor loss, unlike a local checkpoint), so every later query
-        starts from stored tables instead of re-running the fit."""
-        from reelsim.session import reliable_checkpoint
-        self.catalog = reliable_checkpoint(self.catalog)
+        starts from stored, column-pruned tables instead of re-running the
+        fit."""
+        from reelsim.session import store_table
+        self.catalog = store_table(self.catalog, "catalog")
+        return self._store_model()
+
+    def _store_model(self) -> "Recommender":
+        from reelsim.session import store_table
         # term counts feed both the vocabulary and the postings: keep them
         # (memory, spilling to disk) while both are written, then drop them
         tf = self.model.term_counts
         if tf is not None:
             tf.persist()
-        self.model.vocabulary = reliable_checkpoint(self.model.vocabulary)
-        self.model.postings = reliable_checkpoint(self.model.postings)
+        self.model.vocabulary = store_table(self.model.vocabulary, "vocabulary")
+        self.model.postings = store_table(self.model.postings, "postings")
         if tf is not None:
             tf.unpersist()
             self.model.term_counts = None
-        n_docs = self.catalog.count()
-        self.model.n_docs = F.lit(n_docs).cast("long")
+        self.model.n_docs = F.lit(self.catalog.count()).cast("long")
         self.titles = self.catalog.select("row_id", "title", "title_key", "name_only")
-        self.index = reliable_checkpoint(lookup.gram_index(self.titles))
-        self.freq = reliable_checkpoint(lookup.gram_frequency(self.index))
+        self.index = store_table(lookup.gram_index(self.titles), "title_grams")
+        self.freq = store_table(lookup.gram_frequency(self.index), "gram_freq")
         return self
 
     def save(self, path: str) -> str:
@@ -147,10 +162,10 @@ class Recommender:
         """Most similar rows to a title (V6): resolve, score against every
         document, leave the movie itself out, optional genre regex, top n.
         Unknown titles give no rows."""
-        from reelsim.session import reliable_checkpoint
-        # one small row per query, read five ways below (exclusion, filter,
-        # padding, query vectors, size check): store it once
-        res = reliable_checkpoint(self.resolve(queries, text_col, bounded))
+        from reelsim.session import cache_small
+        # one small row per query, read several ways below (exclusion,
+        # filter, padding, query vectors): compute it once
+        res = cache_small(self.resolve(queries, text_col, bounded))
         q = res.select(QID, F.col("row_id").alias("_self"))
         if filter_col:
             q = q.join(queries.select(QID, genre_filter_key(F.col(filter_col)).alias("_gf")), QID)

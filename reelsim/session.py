@@ -79,3 +79,21 @@ def reliable_checkpoint(df: DataFrame) -> DataFrame:
     """Cut lineage with a reliable checkpoint in the shared folder."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def cache_small(df: DataFrame) -> DataFrame:
+    """Keep a small per-request table (resolved queries) in memory for the
+    several reads that follow; lost blocks are recomputed from lineage."""
+    df = df.persist()
+    df.count()
+    return df
+
+
+def store_table(df: DataFrame, name: str = "table") -> DataFrame:
+    """Cut lineage by writing ``df`` as a Parquet table in the shared
+    checkpoint folder and reading it back.  Unlike an RDD checkpoint the
+    stored table is columnar: later scans read only the columns they use
+    and get filter pushdown."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
