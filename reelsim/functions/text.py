@@ -73,7 +73,7 @@ def clean_tokens(text: str | Column,
     Tokens shorter than ``min_len`` and stop words are dropped *before*
     lemmatising, so a lemma may be shorter than ``min_len``.  ``lexicon``
     maps a form to its lemma (a small literal map; larger lexicons go
-    through :func:`reelsim.operators.tfidf.lemmatise_with_table`).
+    through :func:`reelsim.operators.lemma.lemmatise_with_table`).
     """
     stops = list(default_stop_words() if stop_words is None else stop_words)
     toks = word_tokens(text)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from reelsim.functions.genres import ALL_GENRES, genre_matches, genre_pieces
+from reelsim.operators.order import dense_index
 from reelsim.operators.similarity import fits_broadcast
 
 
@@ -32,13 +33,11 @@ def all_genres(catalog: DataFrame, col: str = "genre_src") -> DataFrame:
 
 def genre_menu(catalog: DataFrame, col: str = "genre_src") -> DataFrame:
     """Menu entries: ``All`` first, then the genres in order.
-    ``(position, genre)``."""
+    ``(position, genre)``, numbered without a single-partition window."""
     g = all_genres(catalog, col)
     entries = g.select(F.lit(1).alias("_grp"), "genre").unionByName(
         g.limit(1).select(F.lit(0).alias("_grp"), F.lit(ALL_GENRES).alias("genre")))
-    # at most one row per genre: the menu is as large as the genre list
-    w = Window.orderBy("_grp", "genre")
-    return entries.select((F.row_number().over(w) - 1).alias("position"), "genre")
+    return dense_index(entries, ["_grp", "genre"]).select("position", "genre")
 
 
 def by_genre(catalog: DataFrame, queries: DataFrame, n: int = 5, qid: str = "query_id",

@@ -22,7 +22,7 @@ from reelsim.operators import browse, tfidf
 from reelsim.operators.dedupe import keep_first
 from reelsim.operators.lookup import resolve_exact
 from reelsim.operators.profile import duplicate_count, histogram, null_counts
-from reelsim.plans import evaluate
+from reelsim.plans import evaluate, present
 from reelsim.plans.model import QID, ModelParams, Recommender
 from reelsim.plans.prepare import TextParams, lineage
 from reelsim.session import scratch_path
@@ -343,28 +343,15 @@ def _batch_results(spark, sf) -> DataFrame:
 
 
 def q_result_cards(spark, sf):
-    r = _batch_results(spark, sf)
-    return _long(r.select(QID, "rank", D.rank_label("rank").alias("rank_label"),
-                          D.display_title("title").alias("display_title"),
-                          D.short_description("description").alias("short_description"),
-                          D.match_badge("similarity_score").alias("match_badge"),
-                          D.rating_badge("ratings").alias("rating_badge"),
-                          F.coalesce(*[F.when(F.col(c).isNotNull(), primary_genre(c))
-                                       for c in ("expanded_genres", "genre")]).alias("primary_genre")),
-                 QID, "rank")
+    return present.result_cards(_batch_results(spark, sf))
 
 
 def q_score_table(spark, sf):
-    r = _batch_results(spark, sf)
-    return _long(r.select(QID, "rank", F.col("title").alias(D.header_case("title")),
-                          D.score_percent("similarity_score").alias("Similarity Score"),
-                          F.col("ratings").alias(D.header_case("ratings"))), QID, "rank")
+    return present.score_table(_batch_results(spark, sf))
 
 
 def q_match_chart(spark, sf):
-    r = _batch_results(spark, sf)
-    return _long(r.select(QID, "rank", D.chart_label("title").alias("movie"),
-                          D.percent_1dp("similarity_score").alias("score")), QID, "rank")
+    return present.match_chart(_batch_results(spark, sf))
 
 
 # ---- round trips -----------------------------------------------------------

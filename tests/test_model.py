@@ -124,3 +124,15 @@ def test_result_independent_of_partitioning(spark):
     ra = sorted(((r.row_id, r.term, round(r.w, 12)) for r in a.collect()))
     rb = sorted(((r.row_id, r.term, round(r.w, 12)) for r in b.collect()))
     assert ra == rb
+
+
+def test_lexicon_table_matches_literal_map(spark):
+    from reelsim.functions.text import clean_tokens
+    from reelsim.operators.lemma import lemmatise_with_table
+    df = spark.createDataFrame([(1, "Heroes save movies and heroes"), (2, "nothing here"), (3, "")],
+                               "row_id long, d string").withColumn("tokens", clean_tokens("d"))
+    lex = spark.createDataFrame([("heroes", "hero"), ("movies", "movie")], "form string, lemma string")
+    got = {r.row_id: r.tokens for r in lemmatise_with_table(df, lex).collect()}
+    want = {r.row_id: r.t for r in df.select("row_id", clean_tokens(
+        "d", lexicon={"heroes": "hero", "movies": "movie"}).alias("t")).collect()}
+    assert got == want == {1: ["hero", "save", "movie", "hero"], 2: ["nothing"], 3: []}
