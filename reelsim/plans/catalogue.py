@@ -374,6 +374,41 @@ def q_clean_description_text(spark, sf):
     return f.select("row_id", clean_text("description").alias("clean_description"))
 
 
+
+# ---- more inventory: shapes, preview, dense index, gates, formats ---------
+def q_catalog_shape(spark, sf):
+    return catalog_io.shape(films(spark, sf))
+
+
+def q_catalog_preview(spark, sf):
+    return catalog_io.preview(films(spark, sf), 3).select(*FILM_COLUMNS)
+
+
+def q_dense_row_index(spark, sf):
+    from reelsim.operators.order import dense_index
+    c = _rec(spark, sf).catalog.select("row_id")
+    return dense_index(c, ["row_id"], "position")
+
+
+def q_title_suggestions_gated(spark, sf):
+    rec = _rec(spark, sf)
+    from reelsim.operators.lookup import suggest_titles
+    s = suggest_titles(_suggest_words(rec), rec.titles, rec.index, rec.freq, 6, "query",
+                       min_chars=2, bounded=False)
+    return _long(s, "rank")
+
+
+def q_score_hist(spark, sf):
+    return _hist_out(evaluate.score_histogram(_batch_results(spark, sf)))
+
+
+def q_stats_display(spark, sf):
+    st = _rec(spark, sf).stats()
+    return st.select(D.thousands("total_movies").alias("total_movies"),
+                     D.thousands("tfidf_features").alias("tfidf_features"),
+                     D.thousands("total_genres").alias("total_genres"),
+                     F.format_string("%.1f%%", "sparsity_pct").alias("sparsity"))
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
 }

@@ -367,6 +367,29 @@ def oracle_sql() -> dict[str, str]:
             FROM ils"""),
         "ils_hist": sql(*batch, *members_ils(), *hist("SELECT ils AS v FROM ils WHERE k >= 2", 15),
                         final=HIST_OUT),
+        "catalog_shape": sql(final="""SELECT count(*) AS n_rows,
+            'row_id,title,description,ratings,genre,expanded_genres,genre_src' AS columns FROM films"""),
+        "catalog_preview": sql(final="""SELECT row_id, title, description, ratings, genre, expanded_genres
+            FROM films ORDER BY row_id LIMIT 3"""),
+        "dense_row_index": sql(final="SELECT row_id, row_number() OVER (ORDER BY row_id) - 1 AS position FROM catalog"),
+        "title_suggestions_gated": sql(
+            """words AS (SELECT DISTINCT w AS query FROM
+                 (SELECT unnest(string_split(name_only, ' ')) AS w FROM catalog) WHERE length(w) >= 2)""",
+            """cand AS (SELECT q.query, c.row_id, c.title,
+                         CASE WHEN starts_with(c.name_only, q.query) THEN 0 ELSE 1 END AS match_rank
+                       FROM words q JOIN catalog c ON contains(c.name_only, q.query)
+                       QUALIFY row_number() OVER (PARTITION BY q.query, c.title ORDER BY c.row_id) = 1)""",
+            final="""SELECT query, rank, row_id, title FROM
+              (SELECT query, row_id, title,
+                      CAST(row_number() OVER (PARTITION BY query ORDER BY match_rank, row_id) AS BIGINT) AS rank
+               FROM cand) WHERE rank <= 6"""),
+        "score_hist": sql(*batch, *hist("SELECT avg(similarity_score) AS v FROM ranked GROUP BY query_id", 15),
+                          final=HIST_OUT),
+        "stats_display": sql(final="""SELECT format('{:,}', (SELECT count(*) FROM catalog)) AS total_movies,
+            format('{:,}', (SELECT count(*) FROM vocab)) AS tfidf_features,
+            format('{:,}', (SELECT count(*) FROM all_genres)) AS total_genres,
+            printf('%.1f%%', round(100.0 * (1.0 - (SELECT count(*) FROM postings) /
+              ((SELECT count(*) FROM catalog) * (SELECT count(*) FROM vocab))), 1)) AS sparsity"""),
         "model_stats": stats,
         "model_roundtrip": stats,
         "result_cards": sql(*batch, final=f"SELECT {_cards_cols()} FROM ranked"),

@@ -136,3 +136,26 @@ def test_lexicon_table_matches_literal_map(spark):
     want = {r.row_id: r.t for r in df.select("row_id", clean_tokens(
         "d", lexicon={"heroes": "hero", "movies": "movie"}).alias("t")).collect()}
     assert got == want == {1: ["hero", "save", "movie", "hero"], 2: ["nothing"], 3: []}
+
+
+def test_split_load_rename_and_required_columns(spark, tmp_path):
+    from reelsim.sources.catalog_io import load_splits, normalise, write_csv
+    raw = spark.createDataFrame(
+        [("Die Hard - 1988", "Action", "Action, Thriller", "8.2", "A cop.\nTwo lines \"quoted\""),
+         ("NA", None, "War,", "n/a", "N/A")],
+        "`movie title - year` string, genre string, `expanded-genres` string, rating string, description string")
+    write_csv(raw, str(tmp_path / "train"))
+    write_csv(raw.limit(1), str(tmp_path / "validation"))
+    both = load_splits(spark, {"train": str(tmp_path / "train"), "validation": str(tmp_path / "validation")},
+                       fmt="csv")
+    assert sorted(r.split for r in both.collect()) == ["train", "train", "validation"]
+    n = normalise(both.filter("split = 'train'").withColumn("row_id", __import__("pyspark.sql.functions",
+                  fromlist=["lit"]).lit(1)))
+    rows = {r.title: r for r in n.collect()}
+    assert rows["Die Hard - 1988"].ratings == 8.2
+    assert rows["Die Hard - 1988"].description == 'A cop.\nTwo lines "quoted"'
+    assert rows["Die Hard - 1988"].genre_src == "Action, Thriller"
+    assert None in rows and rows[None].description is None and rows[None].ratings is None
+    import pytest as _pt
+    with _pt.raises(ValueError):
+        normalise(spark.createDataFrame([("x",)], "title string"))
