@@ -68,11 +68,9 @@ def resolve_titles(queries: DataFrame, titles: DataFrame, index: DataFrame, freq
     easy = tier1.unionByName(tier2)
     rest = q.join(easy.select(qid).distinct(), qid, "left_anti")
     if short_circuit:
-        # common case: every query matched a key or a name exactly; the
-        # substring tiers are then not planned at all
-        from reelsim.session import cache_small
-        easy = cache_small(easy)
-        rest = q.join(easy.select(qid).distinct(), qid, "left_anti")
+        # common case: every query matched a key or a name exactly (two
+        # equi-joins, checked with one small job); the substring tiers are
+        # then not planned at all
         if rest.isEmpty():
             best = easy.groupBy(qid).agg(F.min(F.struct("tier", "row_id", "title_key")).alias("b"))
             return best.select(qid, "b.row_id", "b.tier", F.col("b.title_key").alias("matched_key"))

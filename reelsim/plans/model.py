@@ -45,6 +45,19 @@ class Recommender:
         self.titles = catalog.select("row_id", "title", "title_key", "name_only")
         self.index = lookup.gram_index(self.titles)
         self.freq = lookup.gram_frequency(self.index)
+        self._kept: list[DataFrame] = []
+
+    def _keep(self, df: DataFrame) -> DataFrame:
+        """Cache a small per-request table until :meth:`release`."""
+        from reelsim.session import cache_small
+        df = cache_small(df)
+        self._kept.append(df)
+        return df
+
+    def release(self) -> None:
+        """Drop the per-request caches (call when the answers are written)."""
+        while self._kept:
+            self._kept.pop().unpersist()
 
     # ---- fitting -------------------------------------------------------
     @classmethod
@@ -162,10 +175,9 @@ class Recommender:
         """Most similar rows to a title (V6): resolve, score against every
         document, leave the movie itself out, optional genre regex, top n.
         Unknown titles give no rows."""
-        from reelsim.session import cache_small
         # one small row per query, read several ways below (exclusion,
         # filter, padding, query vectors): compute it once
-        res = cache_small(self.resolve(queries, text_col, bounded))
+        res = self._keep(self.resolve(queries, text_col, bounded))
         q = res.select(QID, F.col("row_id").alias("_self"))
         if filter_col:
             q = q.join(queries.select(QID, genre_filter_key(F.col(filter_col)).alias("_gf")), QID)

@@ -57,6 +57,7 @@ def serve(rec: Recommender, requests: DataFrame, output_path: str, checkpoint_lo
     def handle(batch: DataFrame, epoch_id: int) -> None:
         out = answer_batch(rec, batch, n)
         out.write.mode("overwrite").parquet(os.path.join(output_path, f"epoch={epoch_id}"))
+        rec.release()
 
     writer = (requests.writeStream.foreachBatch(handle)
                       .option("checkpointLocation", checkpoint_location))
