@@ -50,7 +50,8 @@ def candidates(keys: DataFrame, index: DataFrame, freq: DataFrame, qid: str = "q
 
 def resolve_titles(queries: DataFrame, titles: DataFrame, index: DataFrame, freq: DataFrame,
                    qid: str = "query_id", text_col: str = "text",
-                   bounded: bool | None = None, short_circuit: bool = True) -> DataFrame:
+                   bounded: bool | None = None, short_circuit: bool = True,
+                   keep=None) -> DataFrame:
     """Resolve free-text titles to catalogue rows.
 
     Tiers: 1 exact key; 2 exact name without year; 3 every query word is a
@@ -60,8 +61,11 @@ def resolve_titles(queries: DataFrame, titles: DataFrame, index: DataFrame, freq
     several rows per key (the first one counts).
     Returns ``(qid, row_id, tier, matched_key)``.
     """
-    q = (queries.select(qid, normalise_query(F.col(text_col)).alias("q"))
-                .filter(F.col("q") != ""))
+    keep = keep or (lambda df: df)
+    # the normalised queries and the unresolved rest are each read several
+    # times below; ``keep`` computes them once (cache or stored table)
+    q = keep(queries.select(qid, normalise_query(F.col(text_col)).alias("q"))
+                    .filter(F.col("q") != ""))
     t = titles.select("row_id", "title_key", "name_only")
     tier1 = q.join(t, q.q == t.title_key).select(qid, "row_id", F.lit(1).alias("tier"), "title_key")
     tier2 = q.join(t, q.q == t.name_only).select(qid, "row_id", F.lit(2).alias("tier"), "title_key")
@@ -74,6 +78,7 @@ def resolve_titles(queries: DataFrame, titles: DataFrame, index: DataFrame, freq
         if rest.isEmpty():
             best = easy.groupBy(qid).agg(F.min(F.struct("tier", "row_id", "title_key")).alias("b"))
             return best.select(qid, "b.row_id", "b.tier", F.col("b.title_key").alias("matched_key"))
+    rest = keep(rest)
 
     words = F.split(F.col("q"), r"(?U)\s+")
     k3 = rest.select(qid, F.flatten(F.transform(words, lambda w: query_grams(w, GRAM_LEN))).alias("grams"))

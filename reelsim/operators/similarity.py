@@ -131,7 +131,12 @@ def rank_with_padding(scored: DataFrame, queries: DataFrame, catalog: DataFrame,
     if filter_col:
         qk = q.withColumn("_fk", F.coalesce(F.col(filter_col), F.lit(NO_FILTER)))
         heads = filter_heads(catalog, qk.select(F.col("_fk").alias("filter_key")), m)
-        pad = qk.join(heads, qk["_fk"] == heads["filter_key"])
+        # at most 10,000 keys x m ids: one bounded map, looked up per query
+        head_map = (heads.groupBy("filter_key").agg(F.collect_list("row_id").alias("ids"))
+                         .agg(F.map_from_entries(F.collect_list(F.struct("filter_key", "ids"))))
+                         .scalar())
+        ids = F.coalesce(F.try_element_at(head_map, F.col("_fk")), F.array().cast("array<bigint>"))
+        pad = qk.select("*", F.explode(ids).alias("row_id"))
     else:
         # same m rows for every query: a bounded array, no join
         head_ids = (catalog.select("row_id").orderBy(F.col("row_id").desc()).limit(m)

@@ -312,8 +312,7 @@ def q_eval_sample(spark, sf):
 
 def q_intra_list_similarity(spark, sf):
     rec = _rec(spark, sf)
-    res = rec.by_title(evaluate.sample_queries(rec), 5, bounded=True)
-    ils = evaluate.list_ils(res, rec)
+    ils = evaluate.list_ils(_batch_results(spark, sf), rec)
     return ils.select(QID, "k", F.round("ils", 6).alias("ils"))
 
 
@@ -327,9 +326,7 @@ def q_eval_summary(spark, sf):
 
 
 def q_ils_hist(spark, sf):
-    rec = _rec(spark, sf)
-    res = rec.by_title(evaluate.sample_queries(rec), 5, bounded=True)
-    return _hist_out(evaluate.ils_histogram(res, rec))
+    return _hist_out(evaluate.ils_histogram(_batch_results(spark, sf), _rec(spark, sf)))
 
 
 def q_model_stats(spark, sf):
@@ -338,8 +335,11 @@ def q_model_stats(spark, sf):
 
 # ---- presentation --------------------------------------------------------
 def _batch_results(spark, sf) -> DataFrame:
+    """Evaluation batch (50 sampled titles, top 5), stored once: several
+    aggregates read it."""
+    from reelsim.session import store_table
     rec = _rec(spark, sf)
-    return rec.by_title(evaluate.sample_queries(rec), 5, bounded=True)
+    return store_table(rec.by_title(evaluate.sample_queries(rec), 5, bounded=True), "eval_results")
 
 
 def q_result_cards(spark, sf):

@@ -47,9 +47,13 @@ class Recommender:
         self.freq = lookup.gram_frequency(self.index)
         self._kept: list[DataFrame] = []
 
-    def _keep(self, df: DataFrame) -> DataFrame:
-        """Cache a small per-request table until :meth:`release`."""
-        from reelsim.session import cache_small
+    def _keep(self, df: DataFrame, bounded: bool | None = True) -> DataFrame:
+        """Compute a per-request table once: cached in memory until
+        :meth:`release` when the batch is known to be small, otherwise
+        written as a Parquet table in the shared checkpoint folder."""
+        from reelsim.session import cache_small, store_table
+        if not bounded:
+            return store_table(df, "request")
         df = cache_small(df)
         self._kept.append(df)
         return df
@@ -158,7 +162,8 @@ class Recommender:
                 bounded: bool | None = None) -> DataFrame:
         """``(query_id, row_id, tier, matched_key)``."""
         return lookup.resolve_titles(queries, self.titles, self.index, self.freq,
-                                     QID, text_col, bounded)
+                                     QID, text_col, bounded,
+                                     keep=lambda df: self._keep(df, bounded))
 
     def vectors_of_rows(self, rows: DataFrame, bounded: bool | None = None,
                         keep_self: bool = False) -> DataFrame:
@@ -177,7 +182,7 @@ class Recommender:
         Unknown titles give no rows."""
         # one small row per query, read several ways below (exclusion,
         # filter, padding, query vectors): compute it once
-        res = self._keep(self.resolve(queries, text_col, bounded))
+        res = self._keep(self.resolve(queries, text_col, bounded), bounded)
         q = res.select(QID, F.col("row_id").alias("_self"))
         if filter_col:
             q = q.join(queries.select(QID, genre_filter_key(F.col(filter_col)).alias("_gf")), QID)
