@@ -79,7 +79,9 @@ class Recommender:
         n_docs = None
         if materialize:
             from reelsim.session import store_table
-            catalog = store_table(catalog, "catalog")
+            # the joined text is derived from the tokens on read, not stored twice
+            catalog = store_table(catalog.drop("clean_description"), "catalog")
+            catalog = catalog.withColumn("clean_description", F.array_join("tokens", " "))
             n_docs = F.lit(catalog.count()).cast("long")
         if params.tokenizer == "raw":
             src, to_terms = "description", lambda c: tfidf.uni_bi_grams(raw_tokens(c))
