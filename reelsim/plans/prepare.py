@@ -50,19 +50,26 @@ def prepare_catalog(films: DataFrame, text: TextParams | None = None,
 
 
 def lineage(films: DataFrame, text: TextParams | None = None) -> DataFrame:
-    """Rows dropped and kept per preparation step, one row."""
-    def n(df: DataFrame):
-        return df.select(F.count(F.lit(1))).scalar()
-
-    with_desc = films.filter(F.col("description").isNotNull())
-    deduped = keep_first(with_desc, ["title"])
-    cleaned = clean(deduped, text)
-    # one-row frame: the scalar subqueries below carry all the data
-    shell = films.limit(1).select()
-    return shell.select(
-        n(films).alias("rows_raw"),
-        (n(films) - n(with_desc)).alias("dropped_null_description"),
-        (n(with_desc) - n(deduped)).alias("dropped_duplicates"),
-        (n(deduped) - n(cleaned)).alias("dropped_blank_text"),
-        n(cleaned).alias("rows_retained"),
+    """Rows dropped and kept per preparation step, one row.
+
+    Two passes: one aggregate over the source (rows, rows with a
+    description) and one over the de-duplicated rows (rows, rows that keep
+    at least one token after cleaning)."""
+    text = text or TextParams()
+    src = films.agg(F.count(F.lit(1)).alias("n0"), F.count("description").alias("n1"))
+    deduped = keep_first(films.filter(F.col("description").isNotNull()), ["title"])
+    toks = clean_tokens(F.col("description"), stop_words=text.stop_words,
+                        min_len=text.min_len, lexicon=text.lexicon)
+    dd = deduped.agg(F.count(F.lit(1)).alias("n2"),
+                     F.sum((F.size(toks) > 0).cast("long")).alias("n3"))
+    # one scalar subquery for both counts of the second pass
+    d = dd.select(F.struct("n2", "n3").alias("d")).scalar()
+    n0, n1 = F.col("n0"), F.col("n1")
+    n2, n3 = d["n2"], F.coalesce(d["n3"], F.lit(0))
+    return src.select(
+        n0.alias("rows_raw"),
+        (n0 - n1).alias("dropped_null_description"),
+        (n1 - n2).alias("dropped_duplicates"),
+        (n2 - n3).alias("dropped_blank_text"),
+        n3.alias("rows_retained"),
     )
