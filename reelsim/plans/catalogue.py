@@ -409,6 +409,28 @@ def q_stats_display(spark, sf):
                      D.thousands("total_genres").alias("total_genres"),
                      F.format_string("%.1f%%", "sparsity_pct").alias("sparsity"))
 
+
+def q_notebook_eval_summary(spark, sf):
+    rec = _rec(spark, sf, dedupe=False, tokenizer="raw")
+    _, summ = evaluate.notebook_run(rec)
+    return summ.select(F.round("mean_ils", 6).alias("mean_ils"), "lists",
+                       F.round("coverage_pct", 6).alias("coverage_pct"),
+                       F.round("mean_score", 6).alias("mean_score"))
+
+
+def q_bow_vs_tfidf_shapes(spark, sf):
+    """Matrix shapes of the two weightings on the notebook catalogue."""
+    rec = _rec(spark, sf, dedupe=False)
+    bow = tfidf.fit(tfidf.docs_from_tokens(rec.catalog), sublinear_tf=False, use_idf=False, norm=False)
+    n_docs = rec.catalog.select(F.count(F.lit(1))).scalar()
+
+    def shape(model, name):
+        return model.vocabulary.agg(F.count(F.lit(1)).alias("n_features")).select(
+            F.lit(name).alias("method"), n_docs.alias("n_docs"), "n_features",
+            model.postings.select(F.count(F.lit(1))).scalar().alias("nnz"))
+
+    return shape(bow, "bow").unionByName(shape(rec.model, "tfidf"))
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
 }

@@ -89,3 +89,33 @@ def ils_histogram(results: DataFrame, rec: Recommender, bins: int = 15) -> DataF
 def score_histogram(results: DataFrame, bins: int = 15, score_col: str = "similarity_score") -> DataFrame:
     """15-bin histogram of per-list mean scores."""
     return histogram(results.groupBy(QID).agg(F.avg(score_col).alias("m")), "m", bins)
+
+
+def notebook_run(rec: Recommender, size: int = SAMPLE_SIZE, seed: int = SAMPLE_SEED,
+                 n: int = TOP_N) -> tuple[DataFrame, DataFrame]:
+    """Notebook evaluation (V15b): exact lower-cased title lookup, the
+    queried row kept with score -1 (V12), members looked up by lower-cased
+    title, ILS mean over lists of >= 2 members with zeros (A11b), mean of
+    per-list mean scores (A13), coverage of distinct titles (A12)."""
+    from reelsim.operators.lookup import resolve_exact
+    from reelsim.operators.similarity import cosine_scores, rank_with_padding
+    from reelsim.session import store_table
+
+    res = rec._keep(resolve_exact(sample_queries(rec, size, seed), rec.titles, QID))
+    q = res.select(QID, F.col("row_id").alias("_self"))
+    qv = rec.vectors_of_rows(res, bounded=True, keep_self=True)
+    scored = cosine_scores(qv, rec.model.postings, QID, True, exclude_col="_self", exclude_masked=False)
+    ranked = rank_with_padding(scored, q, rec.catalog, n, QID, exclude_col="_self",
+                               exclude_masked=False, bounded=True)
+    results = store_table(rec._results(ranked, score_col="score", bounded=True), "nb_eval")
+    first = keep_first(rec.catalog.select("row_id", F.lower("title").alias("lk")), ["lk"])
+    members = (results.select(QID, "rank", F.lower("title").alias("lk"))
+                      .join(first, "lk").select(QID, "rank", "row_id"))
+    ils = intra_list_similarity(members, rec.model.postings, QID)
+    n_rows = rec.catalog.select(F.count(F.lit(1))).scalar()
+    covered = results.select(F.count_distinct("title")).scalar()
+    mean_score = results.groupBy(QID).agg(F.avg("score").alias("m")).select(F.avg("m")).scalar()
+    summ = ils.agg(F.avg(F.when(F.col("k") >= 2, F.col("ils"))).alias("mean_ils"),
+                   F.count(F.lit(1)).alias("lists")).select(
+        "mean_ils", "lists", (covered / n_rows * 100).alias("coverage_pct"), mean_score.alias("mean_score"))
+    return results, summ

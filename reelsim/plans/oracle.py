@@ -390,6 +390,24 @@ def oracle_sql() -> dict[str, str]:
             format('{:,}', (SELECT count(*) FROM all_genres)) AS total_genres,
             printf('%.1f%%', round(100.0 * (1.0 - (SELECT count(*) FROM postings) /
               ((SELECT count(*) FROM catalog) * (SELECT count(*) FROM vocab))), 1)) AS sparsity"""),
+        "notebook_eval_summary": sql(*by_rows(
+            """SELECT s.row_id AS query_id, min(c.row_id) AS src FROM sample s
+               JOIN catalog c ON lower(c.title) = lower(s.title) GROUP BY s.row_id""",
+            mask=False, score_name="score2"),
+            """members AS (SELECT r.query_id, r.rank, f.row_id FROM ranked r
+                           JOIN (SELECT lower(title) AS lk, min(row_id) AS row_id FROM catalog GROUP BY lower(title)) f
+                           ON f.lk = lower(r.title))""",
+            *members_ils()[1:], dedupe=False, raw=True, final="""SELECT
+            round(avg(CASE WHEN k >= 2 THEN ils END), 6) AS mean_ils,
+            count(*) AS lists,
+            round((SELECT count(DISTINCT title) FROM ranked) / (SELECT count(*) FROM catalog) * 100, 6)
+              AS coverage_pct,
+            round((SELECT avg(m) FROM (SELECT avg(score2) AS m FROM ranked GROUP BY query_id)), 6) AS mean_score
+            FROM ils"""),
+        "bow_vs_tfidf_shapes": sql(dedupe=False, final="""
+            SELECT m AS method, (SELECT count(*) FROM catalog) AS n_docs,
+                   (SELECT count(*) FROM vocab) AS n_features, (SELECT count(*) FROM postings) AS nnz
+            FROM (VALUES ('bow'), ('tfidf')) v(m)"""),
         "model_stats": stats,
         "model_roundtrip": stats,
         "result_cards": sql(*batch, final=f"SELECT {_cards_cols()} FROM ranked"),
