@@ -8,18 +8,26 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def keep_first(df: DataFrame, keys: Sequence[str | Column], order: str = "row_id") -> DataFrame:
+def keep_first(df: DataFrame, keys: Sequence[str | Column], order: str = "row_id",
+               order_unique: bool = True) -> DataFrame:
     """First row (lowest ``order``) of every key group; null keys form one
     group.
 
-    Written as ``min_by`` in a group-by rather than ``row_number`` over a
-    window: the aggregate combines map-side, so a key that holds a third of
-    all rows is reduced before the shuffle instead of landing whole in one
-    task.  (``dropDuplicates`` does not promise the first row.)
+    With a unique ``order`` column (``row_id``): a hash aggregate of
+    ``min(order)`` per key over the narrow key columns (combined map-side,
+    so a key holding a third of all rows is reduced before the shuffle),
+    then a semi-join on ``order``.  Wide columns (descriptions) are never
+    sorted and move at most once; AQE broadcasts the first-row ids when
+    they are small.  Without a unique order, ``min_by`` of the whole row.
+    (``dropDuplicates`` does not promise the first row.)
     """
-    cols = df.columns
     key_cols = [F.col(k) if isinstance(k, str) else k for k in keys]
     key_names = [f"_k{i}" for i in range(len(key_cols))]
+    if order_unique:
+        firsts = (df.select(*[c.alias(n) for c, n in zip(key_cols, key_names)], F.col(order))
+                    .groupBy(*key_names).agg(F.min(order).alias(order)))
+        return df.join(firsts.select(order), order, "left_semi")
+    cols = df.columns
     keyed = df.select(*[c.alias(n) for c, n in zip(key_cols, key_names)],
                       F.struct(*[F.col(f"`{c}`") for c in cols]).alias("_row"))
     first = keyed.groupBy(*key_names).agg(F.min_by("_row", F.col(f"_row.{order}")).alias("_row"))
