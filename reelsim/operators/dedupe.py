@@ -33,7 +33,3 @@ def keep_first(df: DataFrame, keys: Sequence[str | Column], order: str = "row_id
     first = keyed.groupBy(*key_names).agg(F.min_by("_row", F.col(f"_row.{order}")).alias("_row"))
     return first.select("_row.*")
 
-
-def dropped(before: DataFrame, after: DataFrame) -> Column:
-    """Rows removed by a step, as a lazy scalar."""
-    return before.select(F.count(F.lit(1))).scalar() - after.select(F.count(F.lit(1))).scalar()

@@ -15,7 +15,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelsim.functions import display as D
-from reelsim.functions.genres import primary_genre
 from reelsim.functions.text import bigrams, clean_text, word_count
 from reelsim.functions.titles import display_with_year, year
 from reelsim.operators import browse, tfidf

@@ -7,7 +7,6 @@ one-row query table.  Nothing is collected to the driver.
 
 from __future__ import annotations
 
-import os
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -262,6 +261,3 @@ class Recommender:
     def title_suggestions(self, query: str, limit: int = 8) -> DataFrame:
         return self.suggest(self._one(text=query), limit, bounded=True).orderBy("rank")
 
-
-def save_dir(base: str, name: str) -> str:
-    return os.path.join(base, name)

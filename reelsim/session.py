@@ -41,8 +41,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
     On a cluster this is whatever ``spark.checkpoint.dir`` names (a shared
-    file system).  Only when the session has none -- local tests -- a
-    scratch folder is created and registered.
+    file system); a cluster session without one is an error.  Only a
+    local session without one (tests) gets a scratch folder.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir()
@@ -50,6 +50,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return d
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not sc.master.startswith("local"):
+            # a machine-local folder is not shared by the executors
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS, S3, NFS)")
         d = tempfile.mkdtemp(prefix="reelsim-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     sc.setCheckpointDir(d)
