@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from reelsim.functions.genres import ALL_GENRES, genre_matches, genre_pieces
 from reelsim.operators.order import dense_index
-from reelsim.operators.similarity import fits_broadcast
+from reelsim.operators.similarity import fits_broadcast, genre_hits
 
 
 def genre_values(catalog: DataFrame, col: str = "genre_src") -> DataFrame:
@@ -52,7 +52,8 @@ def by_genre(catalog: DataFrame, queries: DataFrame, n: int = 5, qid: str = "que
     pats = queries.select(qid, F.lower(F.col(genre_col)).alias("_pat"))
     if not fits_broadcast(pats, 10_000):
         raise ValueError("more than 10,000 genre queries in one batch")
-    hits = catalog.join(F.broadcast(pats), genre_matches(F.col("genre_src"), F.col("_pat")))
+    # regex over distinct genre strings, equi-join back to the rows
+    hits = genre_hits(catalog, pats, "_pat").join(F.broadcast(pats), "_pat")
     if titles_unique:
         first = hits.drop("_pat")
     else:

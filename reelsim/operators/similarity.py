@@ -79,21 +79,44 @@ def top_n_per_query(scored: DataFrame, n: int, qid: str = "query_id") -> DataFra
 NO_FILTER = "\u0000"   # join key standing for "no genre filter"
 
 
+# Broadcast bound for (genre value, pattern) match tables.
+MATCH_TABLE_ROWS = 2_000_000
+
+
+def genre_hits(catalog: DataFrame, patterns: DataFrame, key: str,
+               all_key: str | None = None) -> DataFrame:
+    """Catalogue rows joined to every pattern of ``patterns[key]`` their
+    genre matches (case-insensitive regex; ``all_key`` matches every row,
+    a missing genre matches nothing else).
+
+    The regex test runs over the *distinct* genre strings, not the rows
+    (genre strings repeat across a catalogue); the rows then join the
+    matches by equality on the genre string -- broadcast when the match
+    table is within its bound, so a genre held by a third of all rows is
+    no hot partition.
+    """
+    pats = patterns.select(key).distinct()
+    if not fits_broadcast(pats, 10_000):
+        raise ValueError("more than 10,000 distinct genre patterns in one batch")
+    values = catalog.select("genre_src").filter(F.col("genre_src").isNotNull()).distinct()
+    cond = genre_matches(F.col("genre_src"), F.col(key))
+    if all_key is not None:
+        cond = cond | (F.col(key) == all_key)
+    matches = values.join(F.broadcast(pats), cond)
+    hits = catalog.join(maybe_broadcast(matches, None, MATCH_TABLE_ROWS), "genre_src")
+    if all_key is not None:
+        # rows without a genre still pass "no filter"
+        no_genre = catalog.filter(F.col("genre_src").isNull()).withColumn(key, F.lit(all_key))
+        hits = hits.unionByName(no_genre)
+    return hits
+
+
 def filter_heads(catalog: DataFrame, filter_keys: DataFrame, m: int,
                  key: str = "filter_key") -> DataFrame:
     """Per distinct filter key, the ``m`` highest row_ids of catalogue rows
     passing it (``NO_FILTER`` = every row).  ``(filter_key, row_id)``.
-
-    The keys are the distinct filters of a query batch (size-checked
-    broadcast); a regex cannot be answered from an index, so each key is
-    tested against each row once, and the per-key limit runs before the
-    shuffle.
-    """
-    keys = filter_keys.select(key).distinct()
-    if not fits_broadcast(keys, 10_000):
-        raise ValueError("more than 10,000 distinct genre filters in one batch")
-    cond = (F.col(key) == NO_FILTER) | genre_matches(F.col("genre_src"), F.col(key))
-    hits = catalog.select("row_id", "genre_src").join(F.broadcast(keys), cond)
+    The per-key limit runs before the shuffle."""
+    hits = genre_hits(catalog.select("row_id", "genre_src"), filter_keys, key, all_key=NO_FILTER)
     w = Window.partitionBy(key).orderBy(F.col("row_id").desc())
     return (hits.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= m)
                 .select(key, "row_id"))
