@@ -202,7 +202,10 @@ class Recommender:
         vocabulary terms, weigh, score, optional genre regex, top n.  A
         query that cleans to nothing gives no rows (F9); one with only
         unknown words gives n rows of score 0."""
-        q = self._query_terms(queries, text_col)
+        # clean once per request row and keep the result: otherwise the
+        # size filters below are pushed under the caller's joins and the
+        # cleaning runs over whatever table the requests were taken from
+        q = self._keep(self._query_terms(queries, text_col), bounded)
         if skip_empty:
             q = q.filter(F.size("_toks") > 0)
         docs = q.select(QID, tfidf.uni_bi_grams(F.col("_toks")).alias("terms"))

@@ -25,13 +25,23 @@ def with_title_keys(df: DataFrame) -> DataFrame:
               .withColumn("name_only", name_only(F.col("title_key"))))
 
 
+def with_tokens(df: DataFrame, text: TextParams | None = None,
+                text_col: str = "description") -> DataFrame:
+    """Add the cleaned ``tokens`` column (F2)."""
+    text = text or TextParams()
+    return df.withColumn("tokens", clean_tokens(F.col(text_col), stop_words=text.stop_words,
+                                                min_len=text.min_len, lexicon=text.lexicon))
+
+
+def drop_blank(df: DataFrame) -> DataFrame:
+    """Drop rows left without tokens; add ``clean_description``."""
+    return (df.filter(F.size("tokens") > 0)
+              .withColumn("clean_description", F.array_join("tokens", " ")))
+
+
 def clean(df: DataFrame, text: TextParams | None = None, text_col: str = "description") -> DataFrame:
     """Add ``tokens`` and ``clean_description``; drop rows left blank."""
-    text = text or TextParams()
-    toks = clean_tokens(F.col(text_col), stop_words=text.stop_words,
-                        min_len=text.min_len, lexicon=text.lexicon)
-    out = df.withColumn("tokens", toks).filter(F.size("tokens") > 0)
-    return out.withColumn("clean_description", F.array_join("tokens", " "))
+    return drop_blank(with_tokens(df, text, text_col))
 
 
 def prepare_catalog(films: DataFrame, text: TextParams | None = None,
@@ -43,10 +53,13 @@ def prepare_catalog(films: DataFrame, text: TextParams | None = None,
     drop rows without tokens (F2, F3); title keys (X2, X3).
     ``dedupe=False`` gives the notebook catalogue (cleaning only).
     """
-    df = films
+    # tokens are a column before the de-dupe: the blank-row filter after it
+    # then tests that column instead of re-running the cleaning (filters
+    # are pushed below the semi-join)
+    df = with_tokens(films, text)
     if dedupe:
         df = keep_first(df.filter(F.col("description").isNotNull()), ["title"])
-    return with_title_keys(clean(df, text))
+    return with_title_keys(drop_blank(df))
 
 
 def lineage(films: DataFrame, text: TextParams | None = None) -> DataFrame:
