@@ -29,15 +29,21 @@ def histogram(df: DataFrame, value: str | Column, bins: int) -> DataFrame:
     the bin table has exactly ``bins`` rows.
     """
     v = (F.col(value) if isinstance(value, str) else value).cast("double")
-    vals = df.select(v.alias("v")).filter(F.col("v").isNotNull())
+    # no null filter before the aggregates: it would be pushed below the
+    # projection and evaluate the value expression twice per row; min/max
+    # skip nulls and the null bin is dropped after the (tiny) count
+    vals = df.select(v.alias("v"))
     rng = vals.agg(F.min("v").alias("mn"), F.max("v").alias("mx"))
     lo = F.when(F.col("mn") == F.col("mx"), F.col("mn") - 0.5).otherwise(F.col("mn"))
     hi = F.when(F.col("mn") == F.col("mx"), F.col("mx") + 0.5).otherwise(F.col("mx"))
     rng = rng.select(lo.alias("lo"), hi.alias("hi"))
     lo_s, hi_s = rng.select("lo").scalar(), rng.select("hi").scalar()
     width = (hi_s - lo_s) / F.lit(float(bins))
-    b = F.least(F.floor((F.col("v") - lo_s) / width).cast("int") + 1, F.lit(bins))
-    counts = vals.select(b.alias("bin")).groupBy("bin").agg(F.count(F.lit(1)).alias("count"))
+    # least() skips nulls: keep a null value out of the last bin explicitly
+    b = F.when(F.col("v").isNotNull(),
+               F.least(F.floor((F.col("v") - lo_s) / width).cast("int") + 1, F.lit(bins)))
+    counts = (vals.select(b.alias("bin")).groupBy("bin").agg(F.count(F.lit(1)).alias("count"))
+                  .filter(F.col("bin").isNotNull()))
     edges = rng.select(F.explode(F.sequence(F.lit(1), F.lit(bins))).alias("bin"), "lo", "hi")
     edges = edges.select("bin",
                          (F.col("lo") + (F.col("bin") - 1) * (F.col("hi") - F.col("lo")) / bins).alias("lo"),
