@@ -12,7 +12,7 @@ def null_counts(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     return df.select(*[F.sum(F.col(f"`{c}`").isNull().cast("long")).alias(c) for c in cols])
 
 
-def duplicate_count(df: DataFrame, col: str = "title") -> Column:
+def duplicate_count(col: str = "title") -> Column:
     """Rows whose value occurred in an earlier row, nulls one group (A15):
     rows minus distinct values (a null group counts once)."""
     c = F.col(col)
