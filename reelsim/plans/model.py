@@ -42,10 +42,33 @@ class Recommender:
         self.model = model
         self.params = params
         self.titles = catalog.select("row_id", "title", "title_key", "name_only")
-        self.index = lookup.gram_index(self.titles)
-        self.freq = lookup.gram_frequency(self.index)
+        self._index: DataFrame | None = None
+        self._freq: DataFrame | None = None
+        self._stored = False
         self._kept: list[DataFrame] = []
 
+    @property
+    def index(self) -> DataFrame:
+        """Title n-gram index, built on first use (stored when the model is)."""
+        if self._index is None:
+            idx = lookup.gram_index(self.titles)
+            if self._stored:
+                from reelsim.session import store_table
+                idx = store_table(idx, "title_grams")
+            self._index = idx
+        return self._index
+
+    @property
+    def freq(self) -> DataFrame:
+        """Rows per gram of the title index."""
+        if self._freq is None:
+            fr = lookup.gram_frequency(self.index)
+            if self._stored:
+                from reelsim.session import store_table
+                fr = store_table(fr, "gram_freq")
+            self._freq = fr
+        return self._freq
+
     def _keep(self, df: DataFrame, bounded: bool | None = True) -> DataFrame:
         """Compute a per-request table once: cached in memory until
         :meth:`release` when the batch is known to be small, otherwise
@@ -98,8 +121,8 @@ class Recommender:
         self.catalog = self.catalog.drop("tokens").persist()
         self.model.persist()
         self.titles = self.catalog.select("row_id", "title", "title_key", "name_only")
-        self.index = lookup.gram_index(self.titles).persist()
-        self.freq = lookup.gram_frequency(self.index).persist()
+        self._index = lookup.gram_index(self.titles).persist()
+        self._freq = lookup.gram_frequency(self._index).persist()
         return self
 
     def materialize(self) -> "Recommender":
@@ -126,8 +149,8 @@ class Recommender:
             self.model.term_counts = None
         self.model.n_docs = F.lit(self.catalog.count()).cast("long")
         self.titles = self.catalog.select("row_id", "title", "title_key", "name_only")
-        self.index = store_table(lookup.gram_index(self.titles), "title_grams")
-        self.freq = store_table(lookup.gram_frequency(self.index), "gram_freq")
+        self._index = self._freq = None
+        self._stored = True
         return self
 
     def save(self, path: str) -> str:
