@@ -25,3 +25,12 @@ def test_stream_of_requests(spark):
     assert counts == {1: 3, 2: 3, 3: 2}
     top = res.filter("request_id = 2 AND rank = 1").first()
     assert top.row_id == 2
+
+
+def test_answer_batch_with_missing_modes(spark):
+    from reelsim.streaming.serve import REQUEST_SCHEMA, answer_batch
+    rec = Recommender.fit(normalise(spark.createDataFrame(FILMS, SCHEMA)), ModelParams(min_df=1)).materialize()
+    reqs = spark.createDataFrame([(7, "genre", "drama", None), (8, "title", "no such film", None)], REQUEST_SCHEMA)
+    out = answer_batch(rec, reqs, n=2).collect()
+    assert sorted((r.request_id, r["rank"], r.row_id) for r in out) == [(7, 1, 7), (7, 2, 3)]
+    rec.release()
