@@ -24,6 +24,9 @@ from reelsim.functions.text import uni_bi_grams
 
 MAX_FEATURES = 20_000
 MIN_DF = 2
+# Above this many rows in the final top-k merge (shuffle partitions x
+# max_features) the vocabulary cut first filters by an exact cf threshold.
+TOPK_MERGE_ROWS = 5_000_000
 
 
 @dataclass
@@ -60,9 +63,23 @@ def select_vocabulary(tf: DataFrame, min_df: int = MIN_DF,
     stats = (tf.groupBy("term")
                .agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf"))
                .filter(F.col("df") >= min_df))
-    if max_features is not None:
-        stats = stats.orderBy(F.desc("cf"), F.asc("term")).limit(max_features)
-    return stats
+    if max_features is None:
+        return stats
+    parts = int(tf.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    if parts * max_features > TOPK_MERGE_ROWS:
+        # Exact pre-filter before the top-k: the cf of the max_features-th
+        # term is the largest cf whose running count of terms (from the top)
+        # reaches max_features.  Only terms at or above it can be in the
+        # vocabulary, so the final top-k merges ~max_features rows instead of
+        # partitions x max_features.  The running count is over distinct cf
+        # values, a small table.
+        per_cf = stats.groupBy("cf").agg(F.count(F.lit(1)).alias("_n"))
+        running = F.sum("_n").over(Window.orderBy(F.desc("cf"))
+                                   .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        cut = (per_cf.withColumn("_cum", running).filter(F.col("_cum") >= max_features)
+                     .agg(F.max("cf")).scalar())
+        stats = stats.filter(F.col("cf") >= F.coalesce(cut, F.lit(0)))
+    return stats.orderBy(F.desc("cf"), F.asc("term")).limit(max_features)
 
 
 def smooth_idf(df: Column, n_docs: Column) -> Column:

@@ -159,3 +159,19 @@ def test_split_load_rename_and_required_columns(spark, tmp_path):
     import pytest as _pt
     with _pt.raises(ValueError):
         normalise(spark.createDataFrame([("x",)], "title string"))
+
+
+def test_vocabulary_threshold_path_is_exact(spark, monkeypatch):
+    from pyspark.sql import functions as F
+    from reelsim.operators import tfidf
+    from reelsim.sources.tables import films
+    from conftest import SF_SMALL
+    docs = tfidf.docs_from_tokens(Recommender.fit(films(spark, SF_SMALL)).catalog)
+    tf = tfidf.term_counts(docs.repartition("row_id"))
+    for cap in (50, 1000):
+        plain = [tuple(r) for r in tfidf.select_vocabulary(tf, 2, cap).collect()]
+        monkeypatch.setattr(tfidf, "TOPK_MERGE_ROWS", 0)
+        cut = [tuple(r) for r in tfidf.select_vocabulary(tf, 2, cap).collect()]
+        monkeypatch.setattr(tfidf, "TOPK_MERGE_ROWS", 5_000_000)
+        assert sorted(plain) == sorted(cut) and len(cut) == cap
+    _ = F
