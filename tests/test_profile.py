@@ -15,3 +15,11 @@ def test_null_and_duplicate_counts(spark):
     df = spark.createDataFrame([("a", 1), ("a", None), (None, 2), (None, 3), ("b", 4)], "t string, x int")
     assert null_counts(df).first().asDict() == {"t": 2, "x": 1}
     assert df.agg(duplicate_count("t").alias("d")).first().d == 2
+
+
+def test_dense_index_across_partitions(spark):
+    from pyspark.sql import functions as F
+    from reelsim.operators.order import dense_index
+    df = spark.range(0, 500).select((F.col("id") * 7 % 500).alias("k")).repartition(9)
+    out = dense_index(df, [F.col("k").desc()], "pos", start=1).collect()
+    assert sorted((r.pos, r.k) for r in out) == [(i + 1, 499 - i) for i in range(500)]
