@@ -78,12 +78,6 @@ def _count():
 _counter = _count()
 
 
-def reliable_checkpoint(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint in the shared folder."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def cache_small(df: DataFrame) -> DataFrame:
     """Keep a small per-request table (resolved queries) in memory for the
     several reads that follow; lost blocks are recomputed from lineage."""
