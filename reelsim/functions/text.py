@@ -5,34 +5,21 @@ All functions return ``Column`` expressions evaluated JVM-side.
 
 from __future__ import annotations
 
-import glob
-import os
 import re
-import zipfile
-from functools import lru_cache
 from collections.abc import Mapping, Sequence
+from functools import lru_cache
+from importlib.resources import files
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_STOPWORDS_RESOURCE = "org/apache/spark/ml/feature/stopwords/english.txt"
-
 
 @lru_cache(maxsize=None)
 def spark_english_stop_words() -> tuple[str, ...]:
-    """The English stop-word list bundled with Spark ML (public resource).
-
-    Read straight from the mllib jar that ships with pyspark, so the list
-    is available without a JVM (the DuckDB oracle needs it too).
-    """
-    import pyspark
-
-    jars = sorted(glob.glob(os.path.join(os.path.dirname(pyspark.__file__),
-                                         "jars", "spark-mllib_*.jar")))
-    if not jars:
-        raise RuntimeError("spark-mllib jar not found next to pyspark")
-    with zipfile.ZipFile(jars[0]) as z:
-        return tuple(z.read(_STOPWORDS_RESOURCE).decode("utf-8").split())
+    """The English stop-word list of Spark ML, kept as a text resource of
+    this package (fixed values), so neither a jar nor a JVM is needed."""
+    text = files("reelsim.functions").joinpath("stopwords_english.txt").read_text("utf-8")
+    return tuple(w for w in text.splitlines() if w and not w.startswith("#"))
 
 
 @lru_cache(maxsize=None)

@@ -166,16 +166,16 @@ def by_text(queries_sql: str, genre: str | None = None, skip_empty: bool = True,
 
 
 REC_OUT = "SELECT query_id, rank, row_id, title, ratings, similarity_score FROM ranked"
-FIRST_TITLE = "SELECT 0 AS query_id, title AS text FROM catalog ORDER BY row_id LIMIT 1"
+FIRST_TITLE = "SELECT CAST(0 AS BIGINT) AS query_id, title AS text FROM catalog ORDER BY row_id LIMIT 1"
 SAMPLE_RESOLVED = f"""SELECT s.row_id AS query_id, min(c.row_id) AS src FROM sample s
                       JOIN catalog c ON c.title_key = {KEY('s.title')} GROUP BY s.row_id"""
-TIER1_OF_FIRST = f"""SELECT 0 AS query_id, min(c.row_id) AS src
+TIER1_OF_FIRST = f"""SELECT CAST(0 AS BIGINT) AS query_id, min(c.row_id) AS src
                      FROM (SELECT title FROM catalog ORDER BY row_id LIMIT 1) f
                      JOIN catalog c ON c.title_key = {KEY('f.title')}"""
 
 
 def _fixed(text: str) -> str:
-    return f"SELECT 0 AS query_id, {_lit(text)} AS text"
+    return f"SELECT CAST(0 AS BIGINT) AS query_id, {_lit(text)} AS text"
 
 
 def members_ils() -> list[str]:
@@ -347,7 +347,7 @@ def oracle_sql() -> dict[str, str]:
               (SELECT *, CAST(row_number() OVER (PARTITION BY query ORDER BY ratings DESC NULLS LAST, row_id)
                               AS BIGINT) AS rank FROM hits) WHERE rank <= 5"""),
         "notebook_recommend_title": sql(*by_rows(
-            """SELECT 0 AS query_id, min(c.row_id) AS src
+            """SELECT CAST(0 AS BIGINT) AS query_id, min(c.row_id) AS src
                FROM (SELECT title FROM catalog ORDER BY row_id LIMIT 1) f
                JOIN catalog c ON lower(c.title) = lower(f.title)""", mask=False, score_name="score2"),
             dedupe=False, final="SELECT query_id, rank, row_id, title, score2 AS score FROM ranked"),
