@@ -32,7 +32,6 @@ clash.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -47,7 +46,6 @@ FRAGMENTS = 8
 SMALL_GROUP = 6
 
 
-@lru_cache(maxsize=None)
 def bands(p: int, q: int, most: int = 1 << 40) -> tuple[tuple[int, int, int], ...]:
     """``(top, D, fragments)`` of every size band, in order of size."""
     out, low = [], 1
