@@ -32,7 +32,7 @@ OVERHEAD = 16
 OVERFULL = 2.0
 # Keys drawn in one sample, a fixed bound on what the driver sees at once.
 SAMPLE = 20_000
-MAX_ROUNDS = 8
+MAX_ROUNDS = 3
 
 Key = tuple[int, int]
 
@@ -46,15 +46,29 @@ def size_column() -> Column:
     return (F.coalesce(F.octet_length("text"), F.lit(0)) + OVERHEAD).cast("long").alias("size")
 
 
-def weighted_sample(rows: DataFrame, k: int) -> list[Key]:
-    """``k`` keys drawn without replacement by size (exponential clocks: the
-    least ``-ln(u) / size``), with ``u`` from a hash of the key."""
+def _clock() -> Column:
+    """Exponential clock of a record: those that ring first are a sample
+    without replacement by size.  Its ``u`` is a hash of the key."""
     u = (F.pmod(F.xxhash64("_k1", "_k2", F.lit(17)), F.lit(1 << 52)) + 0.5) / F.lit(float(1 << 52))
-    got = (rows.select("_k1", "_k2", (-F.log(u) / F.col("size")).alias("_c"))
-               .orderBy("_c", "_k1", "_k2").limit(k).collect())
+    return (-F.log(u) / F.col("size")).alias("_c")
+
+
+def weighted_sample(rows: DataFrame, k: int) -> list[Key]:
+    """``k`` keys drawn by size, ascending."""
+    got = rows.select("_k1", "_k2", _clock()).orderBy("_c", "_k1", "_k2").limit(k).collect()
     return sorted((r["_k1"], r["_k2"]) for r in got)
 
 
+def weighted_samples(parts: DataFrame, ranges: list[int], k: int) -> dict[int, list[Key]]:
+    """``k`` keys of each of some ranges, drawn in one job."""
+    w = Window.partitionBy("_range").orderBy("_c", "_k1", "_k2")
+    rows = parts.filter(F.col("_range").isin(ranges)).select("_range", "_k1", "_k2", _clock())
+    out: dict[int, list[Key]] = {x: [] for x in ranges}
+    for r in rows.withColumn("_n", F.row_number().over(w)).filter(F.col("_n") <= k).collect():
+        out[r["_range"]].append((r["_k1"], r["_k2"]))
+    return {x: sorted(keys) for x, keys in out.items()}
+
+
 def quantiles(keys: list[Key], parts: int) -> list[Key]:
     return sorted({keys[len(keys) * i // parts] for i in range(1, parts)}) if keys else []
 
@@ -86,12 +100,13 @@ def exact_splitters(keys: DataFrame, shards: int, ranges: int) -> tuple[list[Key
     splitters = quantiles(weighted_sample(keys, min(SAMPLE, 20 * ranges)), ranges)
     for turn in range(MAX_ROUNDS + 1):
         parts = with_range(keys, splitters)
-        weight = {r["_range"]: r["s"] for r in parts.groupBy("_range").agg(F.sum("size").alias("s")).collect()}
-        over = sorted(x for x, s in weight.items() if s > OVERFULL * total / ranges)
+        got = parts.groupBy("_range").agg(F.sum("size").alias("s"), F.count("*").alias("n")).collect()
+        weight = {r["_range"]: r["s"] for r in got}
+        over = [r["_range"] for r in got if r["n"] > 1 and r["s"] > OVERFULL * total / ranges]
         new: set[Key] = set()
-        for x in over if turn < MAX_ROUNDS else []:
-            more = weighted_sample(parts.filter(F.col("_range") == x), 20 * 64)
-            new.update(quantiles(more, max(2, round(2 * weight[x] * ranges / total))))
+        if over and turn < MAX_ROUNDS:
+            for x, more in weighted_samples(parts, over, SAMPLE // len(over) + 1).items():
+                new.update(quantiles(more, max(2, round(2 * weight[x] * ranges / total))))
         new -= set(splitters)
         if not new:
             break
