@@ -10,10 +10,14 @@ global n-gram order is the order of these hashes, cut into fragments.
    depend on a band of sizes, and a set also serves the band below if its
    partners may lie there.  A set with at most ``D`` non-empty fragments
    sends its empty ones too, so no pair is lost.
-2. Sets that share a signature are a group.  Small groups give all their
-   pairs; large ones give a star around their smallest id.  Only where a
-   member of a large group fails against its star's centre do further pairs
-   of that group follow, and only across components.
+2. Sets that share a signature are a group; each gives a star around its
+   smallest id, whose pairs are verified (3) and joined into components.
+   Where a group still spans several components, its members are searched
+   again by prefixes: in the order of document frequency, rarest first, sets
+   that link share a shingle among the first ``n - ceil(n p / q) + 1`` of
+   both, at places that leave room for the overlap they need.  Pairs inside
+   a component are skipped.  So near copies that fail against a star's
+   centre meet only where they share rare shingles.
 3. Verification.  The sets of candidate documents are cut into vertical
    fragments; each fragment counts its partial overlap by itself, and the
    counts are summed per pair.  A pair links when
@@ -43,7 +47,7 @@ from reelsim.llm.graph import components
 from reelsim.llm.words import ODD, mix, shingle_sets
 
 FRAGMENTS = 8
-SMALL_GROUP = 6
+BLOCK = 2048
 
 
 def bands(p: int, q: int, most: int = 1 << 40) -> tuple[tuple[int, int, int], ...]:
@@ -144,66 +148,27 @@ def signatures(docs: DataFrame, n: int, p: int, q: int) -> DataFrame:
     return known.mapInArrow(work, "sig long, node long, size int")
 
 
-def candidate_pairs(sigs: DataFrame, p: int, q: int) -> DataFrame:
-    """``(a, b, na, nb, sig)`` with ``a < b``: ``sig`` is null for pairs of
-    small groups and names the group of a star's pair."""
+def stars(sigs: DataFrame) -> DataFrame:
+    """``(sig, a, b, na, nb)``: in every group, its smallest node ``a`` with
+    each other node.  Groups stream by; only the open one's centre is kept."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        head = None                                       # open group: (sig, nodes, sizes, star)
+        last = None                                       # centre of the open group
         for b in batches:
             sig, node, size = (b.column(x).to_numpy() for x in range(3))
-            out = []
-
-            def stars(g, lead, ln, nodes, sizes):
-                out.append((np.full(len(nodes), lead), nodes, np.full(len(nodes), ln), sizes, np.full(len(nodes), g), True))
-
-            if head is not None:
-                g, nodes, sizes, star = head
-                k = int(np.searchsorted(sig, g, "right"))
-                if star:
-                    stars(g, nodes[0], sizes[0], node[:k], size[:k])
-                    if k == len(sig):
-                        yield from _pair_batch(out, p, q)
-                        continue
-                    sig, node, size = sig[k:], node[k:], size[k:]
-                else:
-                    sig = np.concatenate((np.full(len(nodes), g), sig))
-                    node, size = np.concatenate((nodes, node)), np.concatenate((sizes, size))
+            if last is not None:
+                sig, node, size = (np.concatenate(([x], y)) for x, y in zip(last, (sig, node, size)))
             at = np.flatnonzero(np.concatenate(([True], sig[1:] != sig[:-1])))
-            count = np.diff(np.append(at, len(sig)))
-            # the last group may go on in the next batch
-            x, c = int(at[-1]), int(count[-1])
-            star = c > SMALL_GROUP
-            head = (sig[x], node[x:x + 1], size[x:x + 1], True) if star else (sig[x], node[x:], size[x:], False)
-            if not star:
-                at, count = at[:-1], count[:-1]
-            for c in range(2, SMALL_GROUP + 1):
-                s = at[count == c]
-                if len(s):
-                    i, j = np.triu_indices(c, 1)
-                    i, j = (s[:, None] + i).ravel(), (s[:, None] + j).ravel()
-                    out.append((node[i], node[j], size[i], size[j], None, False))
-            for x, c in zip(at[count > SMALL_GROUP], count[count > SMALL_GROUP]):
-                stars(sig[x], node[x], size[x], node[x + 1:x + c], size[x + 1:x + c])
-            yield from _pair_batch(out, p, q)
-        if head is not None and not head[3] and len(head[1]) > 1:
-            i, j = np.triu_indices(len(head[1]), 1)
-            yield from _pair_batch([(head[1][i], head[1][j], head[2][i], head[2][j], None, False)], p, q)
+            centre = np.repeat(at, np.diff(np.append(at, len(sig))))
+            rows = np.flatnonzero(node != node[centre])
+            last = (sig[at[-1]], node[at[-1]], size[at[-1]])
+            if len(rows):
+                c = centre[rows]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (sig[rows], node[c], node[rows], size[c], size[rows])],
+                                                 ["sig", "a", "b", "na", "nb"])
 
     n_parts = shuffle_partitions(sigs.sparkSession)
     dealt = sigs.repartition(n_parts, "sig").sortWithinPartitions("sig", "node")
-    return dealt.mapInArrow(work, "a long, b long, na int, nb int, sig long")
-
-
-def _pair_batch(parts, p: int, q: int) -> Iterator[pa.RecordBatch]:
-    for a, b, na, nb, sig, star in parts:
-        # sizes too far apart cannot link; stars keep them, to be tried among themselves
-        ok = (a != b) & (star | (q * np.minimum(na, nb).astype(np.int64) >= p * np.maximum(na, nb).astype(np.int64)))
-        if ok.any():
-            k = int(ok.sum())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(a[ok].astype(np.int64)), pa.array(b[ok].astype(np.int64)), pa.array(na[ok].astype(np.int32)),
-                 pa.array(nb[ok].astype(np.int32)), pa.array(sig[ok].astype(np.int64)) if star else pa.nulls(k, pa.int64())],
-                ["a", "b", "na", "nb", "sig"])
+    return dealt.mapInArrow(work, "sig long, a long, b long, na int, nb int")
 
 
 def segments(docs: DataFrame, nodes: DataFrame, n: int) -> DataFrame:
@@ -237,17 +202,67 @@ def segments(docs: DataFrame, nodes: DataFrame, n: int) -> DataFrame:
     return cut.groupBy("node", "fragment").agg(F.first("seg").alias("seg"))
 
 
-def verified(pairs: DataFrame, docs: DataFrame, n: int, p: int, q: int) -> DataFrame:
+def verified(pairs: DataFrame, seg: DataFrame, p: int, q: int) -> DataFrame:
     """The links among ``pairs(a, b, na, nb)``: partial overlaps are counted
     in every fragment and summed per pair."""
-    nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    seg = store(segments(docs, nodes, n), "segments")
     left = seg.select(F.col("node").alias("b"), "fragment", F.col("seg").alias("seg_b"))
     right = seg.select(F.col("node").alias("a"), "fragment", F.col("seg").alias("seg_a"))
     both = pairs.join(left, "b").join(right, ["a", "fragment"])
     over = (both.select("a", "b", "na", "nb", F.size(F.array_intersect("seg_a", "seg_b")).alias("o"))
                 .groupBy("a", "b", "na", "nb").agg(F.sum("o").alias("overlap")))
-    return over.filter(q * F.col("overlap") >= p * (F.col("na") + F.col("nb") - F.col("overlap"))).select("a", "b", "overlap")
+    return over.filter(q * F.col("overlap") >= p * (F.col("na") + F.col("nb") - F.col("overlap"))).select("a", "b")
+
+
+def prefix_pairs(members: DataFrame, seg: DataFrame, p: int, q: int) -> DataFrame:
+    """``(a, b, na, nb)`` of ``members(node, label)`` with different labels
+    that may link, by prefixes in the order of document frequency."""
+    rows = seg.join(members, "node").select("node", "label", F.explode("seg").alias("shingle"))
+    total = rows.count()
+    df = rows.groupBy("shingle").agg(F.count("*").alias("df")).filter("df > 1")
+    rows = split_join(rows, store(df, "frequencies"), "shingle", "df", total, "left", F.xxhash64("node"))
+    order = (rows.groupBy("node", "label")
+                 .agg(F.sort_array(F.collect_list(F.struct(F.coalesce("df", F.lit(1)).alias("df"), "shingle"))).alias("s")))
+    size = F.size("s")
+    first = order.select("node", "label", size.alias("n"),
+                         F.posexplode(F.slice("s", F.lit(1), size - F.ceil(size * p / q).cast("int") + 1)).alias("pos", "t"))
+    shared = first.filter("t.df > 1").select(F.col("t.shingle").alias("shingle"), "node", "label", "n", "pos")
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+
+        def pairs(node, label, n, pos):
+            for i in range(0, len(node), BLOCK):
+                for j in range(i, len(node), BLOCK):
+                    x, y = slice(i, i + BLOCK), slice(j, j + BLOCK)
+                    room = np.minimum((n[x] - pos[x])[:, None], (n[y] - pos[y])[None, :])
+                    ok = (label[x][:, None] != label[y][None, :]) & ((p + q) * room >= p * (n[x][:, None] + n[y][None, :]))
+                    u, v = np.nonzero(ok)
+                    u, v = u + i, v + j
+                    u, v = u[node[u] < node[v]], v[node[u] < node[v]]
+                    if i != j:
+                        s, t = np.nonzero(ok)
+                        s, t = s + i, t + j
+                        back = node[s] > node[t]
+                        u, v = np.concatenate((u, t[back])), np.concatenate((v, s[back]))
+                    if len(u):
+                        yield pa.RecordBatch.from_arrays([pa.array(c) for c in (node[u], node[v], n[u].astype(np.int32), n[v].astype(np.int32))],
+                                                         ["a", "b", "na", "nb"])
+
+        for b in batches:
+            cols = [b.column(x).to_numpy() for x in range(5)]
+            if held is not None:
+                cols = [np.concatenate(x) for x in zip(held, cols)]
+            at = np.flatnonzero(np.concatenate(([True], cols[0][1:] != cols[0][:-1], [True])))
+            held = [c[at[-2]:] for c in cols]             # the last group may go on
+            for x, y in zip(at[:-2], at[1:-1]):
+                if y - x > 1:
+                    yield from pairs(*(c[x:y] for c in cols[1:]))
+        if held is not None and len(held[0]) > 1:
+            yield from pairs(*held[1:])
+
+    n_parts = shuffle_partitions(members.sparkSession)
+    dealt = shared.repartition(n_parts, "shingle").sortWithinPartitions("shingle")
+    return dealt.mapInArrow(work, "a long, b long, na int, nb int").distinct()
 
 
 def similar_groups(docs: DataFrame, n: int = 5, p: int = 80, q: int = 100) -> DataFrame:
@@ -261,43 +276,37 @@ def similar_groups(docs: DataFrame, n: int = 5, p: int = 80, q: int = 100) -> Da
     member = split_join(sets, many, "set_key", "copies", total, "left", F.xxhash64("doc_id"))
     member = store(member.select("doc_id", "n_shingles", F.coalesce("rep", "doc_id").alias("rep")), "members")
 
-    cand = store(candidate_pairs(signatures(docs, n, p, q), p, q), "candidates")
-    fits = q * F.least("na", "nb") >= p * F.greatest("na", "nb")
     # copies of one set met across tasks are one class already
     rep_of = member.select(F.col("doc_id").alias("node"), F.col("rep").alias("of")).distinct()
-    raw = cand.filter(fits).select("a", "b", "na", "nb").distinct()
-    pairs = (raw.join(rep_of.select(F.col("node").alias("a"), F.col("of").alias("ra")), "a")
-                .join(rep_of.select(F.col("node").alias("b"), F.col("of").alias("rb")), "b")
-                .filter("ra != rb")
-                .select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b"),
-                        F.when(F.col("ra") < F.col("rb"), F.col("na")).otherwise(F.col("nb")).alias("na"),
-                        F.when(F.col("ra") < F.col("rb"), F.col("nb")).otherwise(F.col("na")).alias("nb")).distinct())
-    pairs = store(pairs, "pairs")
-    links = store(verified(pairs, docs, n, p, q), "links")
+    cand = stars(signatures(docs, n, p, q))
+    cand = (cand.join(rep_of.select(F.col("node").alias("a"), F.col("of").alias("ra")), "a")
+                .join(rep_of.select(F.col("node").alias("b"), F.col("of").alias("rb")), "b").filter("ra != rb")
+                .select("sig", F.col("ra").alias("a"), F.col("rb").alias("b"), "na", "nb"))
+    cand = store(cand, "stars")
+    nodes = cand.select(F.col("a").alias("node")).unionByName(cand.select(F.col("b").alias("node"))).distinct()
+    seg = store(segments(docs, store(nodes, "nodes"), n), "segments")
+
+    swap = F.col("a") > F.col("b")
+    pairs = (cand.filter(q * F.least("na", "nb") >= p * F.greatest("na", "nb"))
+                 .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"),
+                         F.when(swap, F.col("nb")).otherwise(F.col("na")).alias("na"),
+                         F.when(swap, F.col("na")).otherwise(F.col("nb")).alias("nb")).distinct())
+    links = store(verified(pairs, seg, p, q), "links")
     comp = store(components(links), "components")
 
-    # members of large groups that did not end up with their star's centre
-    star = cand.filter("sig is not null").select("sig", "a", "b", "na", "nb")
-    label = (rep_of.join(comp.withColumnRenamed("node", "of"), "of", "left")
-                   .select("node", F.coalesce("component", "of").alias("label")))
-    far = (star.join(label.select(F.col("node").alias("a"), F.col("label").alias("la")), "a")
+    # members of groups that span several components
+    label = (nodes.join(comp, "node", "left").select("node", F.coalesce("component", "node").alias("label")))
+    label = store(label, "labels")
+    far = (cand.select("sig", "a", "b").join(label.select(F.col("node").alias("a"), F.col("label").alias("la")), "a")
                .join(label.select(F.col("node").alias("b"), F.col("label").alias("lb")), "b"))
-    far = store(far, "stars")
-    apart = far.filter("la != lb").select("sig", F.col("b").alias("x"), F.col("nb").alias("nx"), F.col("lb").alias("lx"))
-    rest = (apart.join(far.select("sig", F.col("b").alias("y"), F.col("nb").alias("ny"), F.col("lb").alias("ly")), "sig")
-                 .filter("lx != ly").filter(q * F.least("nx", "ny") >= p * F.greatest("nx", "ny"))
-                 .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"),
-                         F.when(F.col("x") < F.col("y"), F.col("nx")).otherwise(F.col("ny")).alias("na"),
-                         F.when(F.col("x") < F.col("y"), F.col("ny")).otherwise(F.col("nx")).alias("nb")).distinct())
-    rest = store(rest, "rest")
+    apart = far.groupBy("sig").agg(F.max((F.col("la") != F.col("lb")).cast("int")).alias("x")).filter("x = 1").select("sig")
+    open_ = far.join(apart, "sig").select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    rest = store(prefix_pairs(store(label.join(open_, "node"), "open"), seg, p, q), "rest")
     if not rest.isEmpty():
-        more = verified(rest, docs, n, p, q)
-        more = (more.join(rep_of.select(F.col("node").alias("a"), F.col("of").alias("ra")), "a")
-                    .join(rep_of.select(F.col("node").alias("b"), F.col("of").alias("rb")), "b")
-                    .select(F.col("ra").alias("a"), F.col("rb").alias("b")))
-        comp = store(components(links.select("a", "b").unionByName(more)), "components")
+        more = verified(rest, seg, p, q)
+        comp = store(components(links.unionByName(more)), "components")
 
     sizes = member.groupBy("rep").agg(F.count("*").alias("copies"))
-    named = comp.join(sizes, F.col("node") == F.col("rep")).select("rep", "component", "copies")
-    out = split_join(member, named, "rep", "copies", total, "left", F.xxhash64("doc_id"))
+    final = comp.join(sizes, F.col("node") == F.col("rep")).select("rep", "component", "copies")
+    out = split_join(member, final, "rep", "copies", total, "left", F.xxhash64("doc_id"))
     return out.select("doc_id", "n_shingles", F.coalesce("component", "rep").alias("component_id"))
