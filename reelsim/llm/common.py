@@ -38,6 +38,9 @@ def store(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     schema = df.schema
     df.write.parquet(path)
+    # shuffle files go when the driver's JVM collects what refers to them
+    del df
+    spark._jvm.System.gc()
     return spark.read.schema(schema).parquet(path)
 
 

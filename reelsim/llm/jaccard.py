@@ -12,12 +12,12 @@ global n-gram order is the order of these hashes, cut into fragments.
    sends its empty ones too, so no pair is lost.
 2. Sets that share a signature are a group; each gives a star around its
    smallest id, whose pairs are verified (3) and joined into components.
-   Where a group still spans several components, its members are searched
-   again by prefixes: in the order of document frequency, rarest first, sets
-   that link share a shingle among the first ``n - ceil(n p / q) + 1`` of
-   both, at places that leave room for the overlap they need.  Pairs inside
-   a component are skipped.  So near copies that fail against a star's
-   centre meet only where they share rare shingles.
+   Members of groups are then searched again by prefixes: in the order of
+   document frequency, rarest first, sets that link share a shingle among the
+   first ``n - ceil(n p / q) + 1`` of both, at places that leave room for the
+   overlap they need.  Pairs inside a component are skipped.  So near copies
+   that fail against a star's centre meet only where they share rare
+   shingles.
 3. Verification.  The sets of candidate documents are cut into vertical
    fragments; each fragment counts its partial overlap by itself, and the
    counts are summed per pair.  A pair links when
@@ -48,6 +48,7 @@ from reelsim.llm.words import ODD, mix, shingle_sets
 
 FRAGMENTS = 8
 BLOCK = 2048
+HELD = 1 << 20
 
 
 def bands(p: int, q: int, most: int = 1 << 40) -> tuple[tuple[int, int, int], ...]:
@@ -197,7 +198,8 @@ def segments(docs: DataFrame, nodes: DataFrame, n: int) -> DataFrame:
             if segs:
                 yield flush()
 
-    texts = docs.select("doc_id", "text").join(nodes, F.col("doc_id") == F.col("node"), "left_semi")
+    # the nodes are no fixed share of the table, so the same join at any size
+    texts = docs.select("doc_id", "text").join(nodes.hint("merge"), F.col("doc_id") == F.col("node"), "left_semi")
     cut = texts.mapInArrow(work, "node long, fragment int, seg array<long>")
     return cut.groupBy("node", "fragment").agg(F.first("seg").alias("seg"))
 
@@ -207,25 +209,75 @@ def verified(pairs: DataFrame, seg: DataFrame, p: int, q: int) -> DataFrame:
     in every fragment and summed per pair."""
     left = seg.select(F.col("node").alias("b"), "fragment", F.col("seg").alias("seg_b"))
     right = seg.select(F.col("node").alias("a"), "fragment", F.col("seg").alias("seg_a"))
-    both = pairs.join(left, "b").join(right, ["a", "fragment"])
+    both = pairs.hint("merge").join(left, "b").hint("merge").join(right, ["a", "fragment"])
     over = (both.select("a", "b", "na", "nb", F.size(F.array_intersect("seg_a", "seg_b")).alias("o"))
                 .groupBy("a", "b", "na", "nb").agg(F.sum("o").alias("overlap")))
     return over.filter(q * F.col("overlap") >= p * (F.col("na") + F.col("nb") - F.col("overlap"))).select("a", "b")
 
 
+def frequencies(seg: DataFrame) -> DataFrame:
+    """``(node, shingle, df)``: shingles that several sets hold, with the
+    number of those sets (``HELD`` at most); a null ``shingle`` says in
+    ``df`` how many shingles no other set holds (to be summed)."""
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [np.zeros(0, np.int64)] * 2                # the open run
+        long = None                                       # a run that is known to be long
+
+        def rows(node, shingle, df):
+            return pa.RecordBatch.from_arrays([pa.array(node), pa.array(shingle, pa.int64()), pa.array(df.astype(np.int32))], ["node", "shingle", "df"])
+
+        def close(shingle, node):
+            at = np.flatnonzero(np.concatenate(([True], shingle[1:] != shingle[:-1])))
+            df = np.diff(np.append(at, len(shingle)))
+            own, count = np.unique(node[at[df == 1]], return_counts=True)
+            if len(own):
+                yield rows(own, pa.nulls(len(own), pa.int64()), count)
+            each = np.repeat(df, df)
+            if (each > 1).any():
+                yield rows(node[each > 1], shingle[each > 1], np.minimum(each[each > 1], HELD))
+
+        for b in batches:
+            shingle, node = b.column(0).to_numpy(), b.column(1).to_numpy()
+            if long is not None:
+                k = int(np.searchsorted(shingle, long, "right"))
+                if k:
+                    yield rows(node[:k], shingle[:k], np.full(k, HELD))
+                shingle, node = shingle[k:], node[k:]
+                if not len(shingle):
+                    continue
+                long = None
+            shingle, node = np.concatenate((held[0], shingle)), np.concatenate((held[1], node))
+            k = int(np.searchsorted(shingle, shingle[-1], "left"))
+            if k:
+                yield from close(shingle[:k], node[:k])
+            held = [shingle[k:], node[k:]]
+            if len(held[0]) >= HELD:
+                long = shingle[-1]
+                yield rows(held[1], held[0], np.full(len(held[0]), HELD))
+                held = [np.zeros(0, np.int64)] * 2
+        if len(held[0]):
+            yield from close(*held)
+
+    n_parts = shuffle_partitions(seg.sparkSession)
+    dealt = seg.select(F.explode("seg").alias("shingle"), "node").repartition(n_parts, "shingle").sortWithinPartitions("shingle")
+    return dealt.mapInArrow(work, "node long, shingle long, df int")
+
+
 def prefix_pairs(members: DataFrame, seg: DataFrame, p: int, q: int) -> DataFrame:
-    """``(a, b, na, nb)`` of ``members(node, label)`` with different labels
+    """``(a, b, na, nb)`` of ``members(node, n, label)`` with different labels
     that may link, by prefixes in the order of document frequency."""
-    rows = seg.join(members, "node").select("node", "label", F.explode("seg").alias("shingle"))
-    total = rows.count()
-    df = rows.groupBy("shingle").agg(F.count("*").alias("df")).filter("df > 1")
-    rows = split_join(rows, store(df, "frequencies"), "shingle", "df", total, "left", F.xxhash64("node"))
-    order = (rows.groupBy("node", "label")
-                 .agg(F.sort_array(F.collect_list(F.struct(F.coalesce("df", F.lit(1)).alias("df"), "shingle"))).alias("s")))
-    size = F.size("s")
-    first = order.select("node", "label", size.alias("n"),
-                         F.posexplode(F.slice("s", F.lit(1), size - F.ceil(size * p / q).cast("int") + 1)).alias("pos", "t"))
-    shared = first.filter("t.df > 1").select(F.col("t.shingle").alias("shingle"), "node", "label", "n", "pos")
+    found = frequencies(seg)
+    alone = found.filter("shingle is null").groupBy("node").agg(F.sum("df").alias("alone"))
+    length = F.col("n") - F.ceil(F.col("n") * p / q).cast("int") + 1
+    # a prefix of shingles that no other set holds meets nothing
+    open_ = (members.join(alone.hint("merge"), "node", "left")
+                    .select("node", "n", "label", F.coalesce("alone", F.lit(0)).cast("int").alias("alone"), length.alias("length"))
+                    .filter("alone < length"))
+    rows = found.filter("shingle is not null").join(open_.hint("merge"), "node")
+    order = (rows.groupBy("node", "n", "label", "alone", "length")
+                 .agg(F.sort_array(F.collect_list(F.struct("df", "shingle"))).alias("s")))
+    shared = (order.select("node", "label", "n", "alone", F.posexplode(F.slice("s", F.lit(1), F.col("length") - F.col("alone"))).alias("i", "t"))
+                   .select(F.col("t.shingle").alias("shingle"), "node", "label", "n", (F.col("alone") + F.col("i")).alias("pos")))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
@@ -283,8 +335,10 @@ def similar_groups(docs: DataFrame, n: int = 5, p: int = 80, q: int = 100) -> Da
                 .join(rep_of.select(F.col("node").alias("b"), F.col("of").alias("rb")), "b").filter("ra != rb")
                 .select("sig", F.col("ra").alias("a"), F.col("rb").alias("b"), "na", "nb"))
     cand = store(cand, "stars")
-    nodes = cand.select(F.col("a").alias("node")).unionByName(cand.select(F.col("b").alias("node"))).distinct()
-    seg = store(segments(docs, store(nodes, "nodes"), n), "segments")
+    nodes = (cand.select(F.col("a").alias("node"), F.col("na").alias("n"))
+                 .unionByName(cand.select(F.col("b").alias("node"), F.col("nb").alias("n"))).distinct())
+    nodes = store(nodes, "nodes")
+    seg = store(segments(docs, nodes, n), "segments")
 
     swap = F.col("a") > F.col("b")
     pairs = (cand.filter(q * F.least("na", "nb") >= p * F.greatest("na", "nb"))
@@ -294,14 +348,8 @@ def similar_groups(docs: DataFrame, n: int = 5, p: int = 80, q: int = 100) -> Da
     links = store(verified(pairs, seg, p, q), "links")
     comp = store(components(links), "components")
 
-    # members of groups that span several components
-    label = (nodes.join(comp, "node", "left").select("node", F.coalesce("component", "node").alias("label")))
-    label = store(label, "labels")
-    far = (cand.select("sig", "a", "b").join(label.select(F.col("node").alias("a"), F.col("label").alias("la")), "a")
-               .join(label.select(F.col("node").alias("b"), F.col("label").alias("lb")), "b"))
-    apart = far.groupBy("sig").agg(F.max((F.col("la") != F.col("lb")).cast("int")).alias("x")).filter("x = 1").select("sig")
-    open_ = far.join(apart, "sig").select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    rest = store(prefix_pairs(store(label.join(open_, "node"), "open"), seg, p, q), "rest")
+    label = nodes.join(comp, "node", "left").select("node", "n", F.coalesce("component", "node").alias("label"))
+    rest = store(prefix_pairs(store(label, "labels"), seg, p, q), "rest")
     if not rest.isEmpty():
         more = verified(rest, seg, p, q)
         comp = store(components(links.unionByName(more)), "components")
