@@ -41,16 +41,29 @@ def store(df: DataFrame, name: str) -> DataFrame:
     # shuffle files go when the driver's JVM collects what refers to them
     del df
     spark._jvm.System.gc()
-    return spark.read.schema(schema).parquet(path)
+    out = spark.read.schema(schema).parquet(path)
+    out._stored_path = path
+    return out
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def drop(*stored: DataFrame) -> None:
+    """Delete tables of :func:`store` once what was made from them is
+    stored itself."""
+    for df in stored:
+        _STORED[df.sparkSession.sparkContext.applicationId].remove(df._stored_path)
+        _delete(df.sparkSession, df._stored_path)
 
 
 def release(spark: SparkSession) -> None:
     """Delete every folder that :func:`scratch_path` gave out in this
     session.  Call it once the results that read them are written."""
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     for path in _STORED.pop(spark.sparkContext.applicationId, []):
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(conf).delete(p, True)
+        _delete(spark, path)
 
 
 def with_fields(schema: T.StructType, **kinds: T.DataType) -> T.StructType:

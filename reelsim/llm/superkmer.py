@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from reelsim.llm.common import hot_limit, shuffle_partitions, split_join, store, with_fields
+from reelsim.llm.common import drop, hot_limit, shuffle_partitions, split_join, store, with_fields
 from reelsim.llm.words import Words, chunks, grams, mix, text_bytes
 
 WINDOW = 35
@@ -95,11 +95,14 @@ def repeated_spans(docs: DataFrame, k: int = WINDOW, m: int = GRAM) -> DataFrame
     total = found.count()
     again = found.groupBy("mini").agg(F.count("*").alias("seen")).filter("seen > 1")
     limit = hot_limit(total)
-    hits = split_join(found, store(again, "minimisers"), "mini", "seen", total, "inner",
+    again = store(again, "minimisers")
+    hits = split_join(found, again, "mini", "seen", total, "inner",
                       F.xxhash64("_id", "first"))
     per_doc = (hits.groupBy("_id", "_h")
                    .agg(F.collect_set(F.struct("mini", "first", "n", (F.col("seen") > limit).alias("hot"))).alias("parts")))
-    texts = slim.repartition(n_parts, "_id", "_h").join(per_doc, ["_id", "_h"]).select("_id", "_h", "c_text", "parts")
+    per_doc = store(per_doc, "parts")
+    drop(found, again)
+    texts = slim.repartition(n_parts, "_id", "_h").join(per_doc.hint("merge"), ["_id", "_h"]).select("_id", "_h", "c_text", "parts")
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -216,7 +219,9 @@ def repeated_spans(docs: DataFrame, k: int = WINDOW, m: int = GRAM) -> DataFrame
         yield flush()
 
     spans = dealt.mapInArrow(count, "_id long, _h long, first int, n int")
-    return spans.groupBy("_id", "_h").agg(F.collect_set(F.struct("first", "n")).alias("spans"))
+    spans = store(spans.groupBy("_id", "_h").agg(F.collect_set(F.struct("first", "n")).alias("spans")), "spans")
+    drop(per_doc)
+    return spans
 
 
 def hash_bytes(text: bytes) -> int:
@@ -230,7 +235,7 @@ def remove_repeats(docs: DataFrame, k: int = WINDOW, m: int = GRAM, keep: tuple[
     cols = tuple(c for c in keep if c not in ("text", "n_words", "n_removed", "kept_text"))
     spans = repeated_spans(docs, k, m)
     left = _keyed(docs, ("text", *cols)).repartition(n_parts, "_id", "_h")
-    both = left.join(spans, ["_id", "_h"], "left").select(*[f"c_{c}" for c in cols], "c_text", "spans")
+    both = left.join(spans.hint("merge"), ["_id", "_h"], "left").select(*[f"c_{c}" for c in cols], "c_text", "spans")
     nc = len(cols)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
