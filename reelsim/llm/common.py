@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -31,16 +32,22 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+def _tidy(spark: SparkSession) -> None:
+    """Shuffle files of finished jobs go when the driver's JVM collects what
+    refers to them, which it would do much later by itself."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def store(df: DataFrame, name: str) -> DataFrame:
     """Cut lineage: write ``df`` as Parquet in the shared checkpoint folder
     and read it back (columnar, readable after any executor is lost)."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
     schema = df.schema
+    _tidy(spark)
     df.write.parquet(path)
-    # shuffle files go when the driver's JVM collects what refers to them
-    del df
-    spark._jvm.System.gc()
+    _tidy(spark)
     out = spark.read.schema(schema).parquet(path)
     out._stored_path = path
     return out
