@@ -51,14 +51,15 @@ def measure(docs: DataFrame) -> DataFrame:
 def find_exponent(sources: DataFrame, max_repeats: float, target_entropy: float) -> tuple[float, dict]:
     """The exponent, and the sums that go with it.  ``sources`` holds
     ``source, total``; every round is one aggregation over it."""
+    top = log(sources.agg(F.max("total").alias("m")).first()["m"])
+
     def round_of(points: list[float]) -> list[dict]:
         grid = F.explode(F.array(*[F.lit(a) for a in points])).alias("a")
-        power = sources.select("total", F.log(F.col("total").cast("double")).alias("l"), grid)
         # shares to the power a, kept in range by the largest total
-        rows = power.crossJoin(F.broadcast(sources.agg(F.log(F.max("total").cast("double")).alias("m"))))  # one row
-        z = F.exp(F.col("a") * (F.col("l") - F.col("m")))
-        got = (rows.groupBy("a").agg(F.sum(z).alias("z"), F.sum(z * F.col("a") * (F.col("l") - F.col("m"))).alias("e"),
-                                     F.count("*").alias("n"), F.max((F.col("m") - F.col("l")) * (1 - F.col("a"))).alias("r"))
+        rows = sources.select((F.log(F.col("total").cast("double")) - F.lit(top)).alias("l"), grid)
+        z = F.exp(F.col("a") * F.col("l"))
+        got = (rows.groupBy("a").agg(F.sum(z).alias("z"), F.sum(z * F.col("a") * F.col("l")).alias("e"),
+                                     F.count("*").alias("n"), F.max(F.col("l") * (F.col("a") - 1)).alias("r"))
                    .orderBy("a").collect())
         return [{"a": g["a"], "z": g["z"], "entropy": log(g["z"]) - g["e"] / g["z"], "n": g["n"], "log_repeats": g["r"]} for g in got]
 

@@ -78,7 +78,8 @@ def _range_of(value: Column, splits: list[int]) -> Column:
     arr = lambda x: F.array(*[F.lit(v).cast("bigint") for v in x])
     coarse = F.size(F.filter(arr([x[-1] for x in lists]), lambda s: s < value))
     fine = F.coalesce(F.try_element_at(F.array(*[arr(x) for x in lists]), coarse + 1), F.array().cast("array<bigint>"))
-    return coarse * r + F.size(F.filter(fine, lambda s: s < value))
+    # beyond the last list, which may be short, all splits lie below
+    return F.least(coarse * r, F.lit(len(splits))) + F.size(F.filter(fine, lambda s: s < value))
 
 
 def with_next(docs: DataFrame) -> DataFrame:
