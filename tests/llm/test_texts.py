@@ -123,7 +123,8 @@ def test_sketches(odd_documents):
     assert by[1]["f"] == by[2]["f"] != "" and by[4]["f"] == by[5]["f"] == by[6]["f"] == ""
     # the share of hashes kept, and estimates near the truth on a long text
     assert 0.2 < len(by[9]["sketch"]) / 2996 < 0.3
-    assert abs(by[9]["held"] - 2 / 3) < 0.08 and abs(by[9]["near"] - 0.5) < 0.15
+    # the next text is short, so two thirds stay and little comes
+    assert abs(by[9]["held"] - 2 / 3) < 0.08 and abs(by[9]["near"] - 2 / 3) < 0.08
     # sketches merge by union
     a, b = set(by[10]["sketch"]), set(by[11]["sketch"])
     both = sketch.add_sketch(odd_documents.sparkSession.createDataFrame([(text[10] + "\n" + text[11],)], "t string"), "t", "s").first()["s"]
