@@ -42,11 +42,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelsim.llm.common import shuffle_partitions, split_join, store
+from reelsim.llm.common import drop, shuffle_partitions, split_join, store
 from reelsim.llm.graph import components
 from reelsim.llm.words import ODD, mix, shingle_sets
 
 FRAGMENTS = 8
+STEP = 2
 BLOCK = 2048
 HELD = 1 << 20
 
@@ -206,13 +207,28 @@ def segments(docs: DataFrame, nodes: DataFrame, n: int) -> DataFrame:
 
 def verified(pairs: DataFrame, seg: DataFrame, p: int, q: int) -> DataFrame:
     """The links among ``pairs(a, b, na, nb)``: partial overlaps are counted
-    in every fragment and summed per pair."""
-    left = seg.select(F.col("node").alias("b"), "fragment", F.col("seg").alias("seg_b"))
-    right = seg.select(F.col("node").alias("a"), "fragment", F.col("seg").alias("seg_a"))
-    both = pairs.hint("merge").join(left, "b").hint("merge").join(right, ["a", "fragment"])
-    over = (both.select("a", "b", "na", "nb", F.size(F.array_intersect("seg_a", "seg_b")).alias("o"))
-                .groupBy("a", "b", "na", "nb").agg(F.sum("o").alias("overlap")))
-    return over.filter(q * F.col("overlap") >= p * (F.col("na") + F.col("nb") - F.col("overlap"))).select("a", "b")
+    in every fragment by itself and summed per pair.  After every
+    ``STEP`` fragments, pairs go that could not link even if all that is
+    left of both sets were shared."""
+    live = pairs.select("a", "b", "na", "nb", F.lit(0).cast("long").alias("o"), F.col("na").cast("long").alias("la"),
+                        F.col("nb").cast("long").alias("lb"))
+    live = before = store(live, "pairs")
+    for f in range(0, FRAGMENTS, STEP):
+        part = seg.filter((F.col("fragment") >= f) & (F.col("fragment") < f + STEP))
+        left = part.select(F.col("node").alias("b"), "fragment", F.col("seg").alias("seg_b"))
+        right = part.select(F.col("node").alias("a"), "fragment", F.col("seg").alias("seg_a"))
+        both = live.select("a", "b").hint("merge").join(left, "b").hint("merge").join(right, ["a", "fragment"])
+        over = (both.select("a", "b", F.size(F.array_intersect("seg_a", "seg_b")).alias("x"), F.size("seg_a").alias("sa"), F.size("seg_b").alias("sb"))
+                    .groupBy("a", "b").agg(F.sum("x").alias("x"), F.sum("sa").alias("sa"), F.sum("sb").alias("sb")))
+        none = F.lit(0)
+        live = (live.join(over, ["a", "b"], "left")
+                    .select("a", "b", "na", "nb", (F.col("o") + F.coalesce("x", none)).alias("o"),
+                            (F.col("la") - F.coalesce("sa", none)).alias("la"), (F.col("lb") - F.coalesce("sb", none)).alias("lb"))
+                    .filter((p + q) * (F.col("o") + F.least("la", "lb")) >= p * (F.col("na") + F.col("nb"))))
+        live = store(live, "pairs")
+        drop(before)
+        before = live
+    return live.filter((p + q) * F.col("o") >= p * (F.col("na") + F.col("nb"))).select("a", "b")
 
 
 def frequencies(seg: DataFrame) -> DataFrame:
