@@ -35,6 +35,8 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def _tidy(spark: SparkSession) -> None:
     """Shuffle files of finished jobs go when the driver's JVM collects what
     refers to them, which it would do much later by itself."""
+    if spark.sparkContext.master.startswith("local["):
+        return                                            # one large heap, short runs
     gc.collect()
     spark._jvm.System.gc()
 
