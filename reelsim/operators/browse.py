@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from reelsim.functions.genres import ALL_GENRES, genre_matches, genre_pieces
 from reelsim.operators.order import dense_index
-from reelsim.operators.similarity import fits_broadcast, genre_hits
+from reelsim.operators.similarity import maybe_broadcast, genre_hits
 
 
 def genre_values(catalog: DataFrame, col: str = "genre_src") -> DataFrame:
@@ -36,7 +36,7 @@ def genre_menu(catalog: DataFrame, col: str = "genre_src") -> DataFrame:
     ``(position, genre)``, numbered without a single-partition window."""
     g = all_genres(catalog, col)
     entries = g.select(F.lit(1).alias("_grp"), "genre").unionByName(
-        g.limit(1).select(F.lit(0).alias("_grp"), F.lit(ALL_GENRES).alias("genre")))
+        g.sparkSession.range(1).select(F.lit(0).alias("_grp"), F.lit(ALL_GENRES).alias("genre")))
     return dense_index(entries, ["_grp", "genre"]).select("position", "genre")
 
 
@@ -46,14 +46,12 @@ def by_genre(catalog: DataFrame, queries: DataFrame, n: int = 5, qid: str = "que
     containment in the genre string, first row per title (W4), ratings
     desc with nulls last, then row order (T2).
 
-    The query patterns are a size-checked broadcast; the per-query limit is
+    The query patterns are broadcast if they are few; the per-query limit is
     planned before the shuffle.  Returns catalogue columns + qid, rank.
     """
     pats = queries.select(qid, F.lower(F.col(genre_col)).alias("_pat"))
-    if not fits_broadcast(pats, 10_000):
-        raise ValueError("more than 10,000 genre queries in one batch")
     # regex over distinct genre strings, equi-join back to the rows
-    hits = genre_hits(catalog, pats, "_pat").join(F.broadcast(pats), "_pat")
+    hits = genre_hits(catalog, pats, "_pat").join(maybe_broadcast(pats, None, 10_000), "_pat")
     if titles_unique:
         first = hits.drop("_pat")
     else:

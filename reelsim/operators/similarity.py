@@ -96,13 +96,11 @@ def genre_hits(catalog: DataFrame, patterns: DataFrame, key: str,
     no hot partition.
     """
     pats = patterns.select(key).distinct()
-    if not fits_broadcast(pats, 10_000):
-        raise ValueError("more than 10,000 distinct genre patterns in one batch")
     values = catalog.select("genre_src").filter(F.col("genre_src").isNotNull()).distinct()
     cond = genre_matches(F.col("genre_src"), F.col(key))
     if all_key is not None:
         cond = cond | (F.col(key) == all_key)
-    matches = values.join(F.broadcast(pats), cond)
+    matches = values.join(maybe_broadcast(pats, None, 10_000), cond)
     hits = catalog.join(maybe_broadcast(matches, None, MATCH_TABLE_ROWS), "genre_src")
     if all_key is not None:
         # rows without a genre still pass "no filter"
@@ -154,12 +152,7 @@ def rank_with_padding(scored: DataFrame, queries: DataFrame, catalog: DataFrame,
     if filter_col:
         qk = q.withColumn("_fk", F.coalesce(F.col(filter_col), F.lit(NO_FILTER)))
         heads = filter_heads(catalog, qk.select(F.col("_fk").alias("filter_key")), m)
-        # at most 10,000 keys x m ids: one bounded map, looked up per query
-        head_map = (heads.groupBy("filter_key").agg(F.collect_list("row_id").alias("ids"))
-                         .agg(F.map_from_entries(F.collect_list(F.struct("filter_key", "ids"))))
-                         .scalar())
-        ids = F.coalesce(F.try_element_at(head_map, F.col("_fk")), F.array().cast("array<bigint>"))
-        pad = qk.select("*", F.explode(ids).alias("row_id"))
+        pad = qk.join(heads, F.col("_fk") == F.col("filter_key")).drop("filter_key")
     else:
         # same m rows for every query: a bounded array, no join
         head_ids = (catalog.select("row_id").orderBy(F.col("row_id").desc()).limit(m)

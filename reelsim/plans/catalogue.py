@@ -46,7 +46,7 @@ _FITTED: dict = {}
 def _rec(spark: SparkSession, sf: str, **kw) -> Recommender:
     """Fitted model for (session, tables, parameters), fitted once and
     materialised in the checkpoint folder, then shared by the queries."""
-    key = (id(getattr(spark, "_jsparkSession", spark)), sf, repr(sorted(kw.items())))
+    key = (spark.sparkContext.applicationId, sf, repr(sorted(kw.items())))
     if key not in _FITTED:
         dedupe = kw.get("dedupe", True)
         params = {k: v for k, v in kw.items() if k != "dedupe"}

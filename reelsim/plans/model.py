@@ -262,7 +262,7 @@ class Recommender:
 
         rows, feats, nnz = n(self.catalog), n(self.model.vocabulary), n(self.model.postings)
         genres = n(self.all_genres())
-        shell = self.model.vocabulary.limit(1).select()
+        shell = self.catalog.sparkSession.range(1).select()
         return shell.select(
             rows.alias("total_movies"), feats.alias("tfidf_features"), genres.alias("total_genres"),
             F.round(tfidf.sparsity_pct(rows, feats, nnz), 1).alias("sparsity_pct"))

@@ -26,7 +26,9 @@ def save_model(rec, path: str) -> str:
         .write.mode("overwrite").parquet(os.path.join(path, "postings")))
     params = asdict(rec.params)
     params["text"]["stop_words"] = list(params["text"]["stop_words"]) if params["text"]["stop_words"] else None
-    meta = rec.model.vocabulary.limit(1).select(
+    params |= {"use_idf": rec.model.use_idf, "norm": rec.model.norm}
+    # one row whatever the vocabulary holds
+    meta = rec.catalog.sparkSession.range(1).select(
         rec.model.n_docs.alias("n_docs"), F.lit(json.dumps(params)).alias("params"),
         F.lit(rec.model.sublinear_tf).alias("sublinear_tf"))
     meta.write.mode("overwrite").parquet(os.path.join(path, "model_meta"))
@@ -54,7 +56,9 @@ def load_model(spark: SparkSession, path: str):
     meta = rd("model_meta")
     p = json.loads(meta.select("params").first()[0])
     text = TextParams(**p.pop("text"))
+    weights = {k: p.pop(k, True) for k in ("use_idf", "norm")}
     params = ModelParams(text=text, **p)
     model = TfidfModel(rd("vocabulary"), rd("postings"), meta.select("n_docs").scalar(),
-                       sublinear_tf=params.sublinear_tf)
+                       sublinear_tf=params.sublinear_tf,
+                       **weights)
     return Recommender(rd("catalog"), model, params)
