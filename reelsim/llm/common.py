@@ -17,6 +17,9 @@ from reelsim.session import checkpoint_dir
 HOT_SHARE = 1e-5
 HOT_ROWS = 1000
 
+# Spark's own switch: the shuffle files of an execution go when it ends.
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 _STORED: dict[str, list[str]] = {}
 
 
@@ -43,13 +46,19 @@ def _tidy(spark: SparkSession) -> None:
 
 def store(df: DataFrame, name: str) -> DataFrame:
     """Cut lineage: write ``df`` as Parquet in the shared checkpoint folder
-    and read it back (columnar, readable after any executor is lost)."""
+    and read it back (columnar, readable after any executor is lost).  The
+    write's shuffle files go once it has ended; otherwise they would stay as
+    long as the caller holds ``df``."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
     schema = df.schema
     _tidy(spark)
-    df.write.parquet(path)
-    _tidy(spark)
+    before = spark.conf.get(FREE_SHUFFLES, "false")
+    spark.conf.set(FREE_SHUFFLES, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(FREE_SHUFFLES, before)
     out = spark.read.schema(schema).parquet(path)
     out._stored_path = path
     return out
