@@ -35,6 +35,15 @@ def genre_filter_key(pattern: str | Column) -> Column:
         .otherwise(F.lower(p))
 
 
+def pattern_valid(pattern: str | Column) -> Column:
+    """Whether ``pattern`` compiles as a regex (null, no filter, does).  Spark
+    treats the check as non-deterministic: use it in a filter or projection,
+    not in a join condition."""
+    p = _c(pattern)
+    compiled = F.try_reflect(F.lit("java.util.regex.Pattern"), F.lit("compile"), p)
+    return p.isNull() | compiled.isNotNull()
+
+
 def genre_matches(genre: str | Column, pattern: str | Column) -> Column:
     """Case-insensitive regex containment of ``pattern`` in the genre
     string; a missing genre never matches (F6)."""

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from reelsim.functions.genres import genre_matches
+from reelsim.functions.genres import genre_matches, pattern_valid
 
 # Rows of a query table that may be broadcast: (id, term, weight) rows are
 # ~50 bytes, so 1M rows stay well under 100 MB per executor.
@@ -87,7 +87,8 @@ def genre_hits(catalog: DataFrame, patterns: DataFrame, key: str,
                all_key: str | None = None) -> DataFrame:
     """Catalogue rows joined to every pattern of ``patterns[key]`` their
     genre matches (case-insensitive regex; ``all_key`` matches every row,
-    a missing genre matches nothing else).
+    a missing genre matches nothing else).  A pattern that is no regex
+    matches no row.
 
     The regex test runs over the *distinct* genre strings, not the rows
     (genre strings repeat across a catalogue); the rows then join the
@@ -95,7 +96,7 @@ def genre_hits(catalog: DataFrame, patterns: DataFrame, key: str,
     table is within its bound, so a genre held by a third of all rows is
     no hot partition.
     """
-    pats = patterns.select(key).distinct()
+    pats = patterns.select(key).distinct().filter(pattern_valid(key))
     values = catalog.select("genre_src").filter(F.col("genre_src").isNotNull()).distinct()
     cond = genre_matches(F.col("genre_src"), F.col(key))
     if all_key is not None:
@@ -132,7 +133,8 @@ def rank_with_padding(scored: DataFrame, queries: DataFrame, catalog: DataFrame,
     score-0 candidates: if ``k`` zero rows are needed, at most ``n - k``
     scored rows and the excluded row precede them, so they are among
     those.  ``queries`` holds ``qid`` and optionally ``exclude_col`` (row
-    to leave out) and ``filter_col`` (normalised genre regex or null).
+    to leave out) and ``filter_col`` (normalised genre regex or null; a
+    request whose filter is no regex gets no rows).
     ``scored`` must already leave out excluded rows (see
     :func:`cosine_scores`); with ``exclude_masked=False`` the excluded row
     instead stays in the list with score -1 (notebook behaviour, V12).
@@ -140,6 +142,7 @@ def rank_with_padding(scored: DataFrame, queries: DataFrame, catalog: DataFrame,
     qcols = [qid] + [c for c in (exclude_col, filter_col) if c]
     q = queries.select(*qcols)
     if filter_col:
+        q = q.filter(pattern_valid(filter_col))
         # genre of each scored row; scored rows are the small side
         scored = (scored.join(maybe_broadcast(q.select(qid, filter_col), bounded), qid)
                         .join(catalog.select("row_id", "genre_src"), "row_id")

@@ -135,6 +135,15 @@ def fit(docs: DataFrame, terms_col: str = "terms", min_df: int = MIN_DF,
     return TfidfModel(vocab, postings, n_docs, sublinear_tf, use_idf, norm, term_counts=tf)
 
 
+def bag_of_words(model: TfidfModel) -> TfidfModel:
+    """The bag-of-words model (V2) over a fitted model's vocabulary, with
+    counts as weights.  Neither the vocabulary nor the counts depend on the
+    weighting, so nothing is fitted again."""
+    return TfidfModel(model.vocabulary.withColumn("idf", F.lit(1.0)),
+                      model.postings.withColumn("w", F.col("tf").cast("double")),
+                      model.n_docs, sublinear_tf=False, use_idf=False, norm=False)
+
+
 def transform(model: TfidfModel, docs: DataFrame, terms_col: str = "terms",
               id_col: str = "query_id") -> DataFrame:
     """Weigh new documents (queries) with a fitted vocabulary (V4):

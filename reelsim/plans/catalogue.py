@@ -19,6 +19,7 @@ from reelsim.functions.text import bigrams, clean_text, word_count
 from reelsim.functions.titles import display_with_year, year
 from reelsim.operators import browse, tfidf
 from reelsim.operators.dedupe import keep_first
+from reelsim.operators.lemma import lemmatise_with_table
 from reelsim.operators.lookup import resolve_exact
 from reelsim.operators.profile import duplicate_count, histogram, null_counts
 from reelsim.plans import evaluate, present
@@ -33,6 +34,9 @@ DEMO_QUERY = "space adventure unlikely hero saving galaxy"
 UNKNOWN_QUERY = "qwxyz zyxwq"
 STOPWORD_QUERY = "the and of"
 DEMO_GENRE_FILTER = "economy"
+# Filters of one batch: none (two forms), a word, an alternative, an anchor,
+# and one that is no regex and gets no rows.
+DEMO_FILTERS = ("All", "", "economy", "steel|BRASS", "^en", "sci-fi (")
 # Example lexicon for the lemma step (form -> lemma).
 DEMO_LEXICON = {"heroes": "hero", "movies": "movie", "things": "thing", "stories": "story"}
 
@@ -106,6 +110,13 @@ def q_lemmatised_tokens(spark, sf):
     return rec.catalog.select("row_id", "clean_description")
 
 
+def q_lemmatised_by_table(spark, sf):
+    """The lemma step through a lexicon table."""
+    lexicon = spark.createDataFrame(sorted(DEMO_LEXICON.items()), "form string, lemma string")
+    c = lemmatise_with_table(_rec(spark, sf).catalog.select("row_id", "tokens"), lexicon)
+    return c.select("row_id", F.array_join("tokens", " ").alias("clean_description"))
+
+
 def q_desc_length_stats(spark, sf):
     wc = films(spark, sf).select(word_count("description").alias("n"))
     return wc.agg(F.count("n").alias("n_described"), F.round(F.avg("n"), 6).alias("avg_words"),
@@ -142,19 +153,12 @@ def q_title_years(spark, sf):
 # ---- text model ----------------------------------------------------------
 def q_bigrams(spark, sf):
     c = _rec(spark, sf).catalog
-    b = bigrams(F.col("tokens"))
-    return c.select("row_id", F.size("tokens").cast("long").alias("n_tokens"),
-                    F.size(b).cast("long").alias("n_bigrams"),
-                    F.try_element_at(b, F.lit(1)).alias("first_bigram"),
-                    F.try_element_at(b, F.lit(-1)).alias("last_bigram"))
+    return _long(c.select("row_id", F.posexplode(bigrams(F.col("tokens"))).alias("pos", "bigram")), "pos")
 
 
 def q_bow_terms(spark, sf):
-    rec = _rec(spark, sf)
-    docs = tfidf.docs_from_tokens(rec.catalog)
-    bow = tfidf.fit(docs, sublinear_tf=False, use_idf=False, norm=False)
-    return bow.postings.groupBy("row_id").agg(F.count(F.lit(1)).alias("n_terms"),
-                                              F.sum("tf").cast("long").alias("bow_total"))
+    bow = tfidf.bag_of_words(_rec(spark, sf).model)
+    return bow.postings.select("row_id", "term", F.col("w").cast("long").alias("n"))
 
 
 def q_vocabulary(spark, sf):
@@ -163,10 +167,7 @@ def q_vocabulary(spark, sf):
 
 
 def _weights(p: DataFrame) -> DataFrame:
-    return p.groupBy("row_id").agg(F.count(F.lit(1)).alias("n_terms"),
-                                   F.sum("tf").cast("long").alias("sum_tf"),
-                                   F.round(F.sum("w"), 6).alias("sum_w"),
-                                   F.round(F.max("w"), 6).alias("max_w"))
+    return _long(p.select("row_id", "term", "tf", F.round("w", 6).alias("w")), "tf")
 
 
 def q_tfidf_weights(spark, sf):
@@ -232,6 +233,20 @@ def q_recommend_by_title_genre(spark, sf):
     return _rec_out(rec.by_title(q, 5, filter_col="gf", bounded=True))
 
 
+def q_recommend_by_title_filters(spark, sf):
+    """One title under several genre filters in one batch."""
+    rec = _rec(spark, sf)
+    gf = F.posexplode(F.array(*map(F.lit, DEMO_FILTERS))).alias(QID, "gf")
+    q = _long(_first_title(rec).select("text", gf), QID)
+    return _rec_out(rec.by_title(q, 10, filter_col="gf", bounded=True))
+
+
+def q_recommend_many(spark, sf):
+    """A list longer than a small catalogue: every other row, ranked."""
+    rec = _rec(spark, sf)
+    return _rec_out(rec.by_title(_first_title(rec), 2000, bounded=True))
+
+
 def q_recommend_batch(spark, sf):
     rec = _rec(spark, sf)
     return _rec_out(rec.by_title(evaluate.sample_queries(rec), 5, bounded=True))
@@ -361,6 +376,28 @@ def q_csv_roundtrip(spark, sf):
     return catalog_io.normalise(back)
 
 
+def q_csv_split_load(spark, sf):
+    """Two CSV splits without ids, several files each: numbered in source
+    order (S1, S5).  The splits hold the whole table between them."""
+    f = films(spark, sf, normalised=False)
+    last = F.col("row_id") % 5 == 4
+    paths = {}
+    for name, rows in (("train", f.filter(~last)), ("validation", f.filter(last))):
+        paths[name] = catalog_io.write_csv(rows.orderBy("row_id").drop("row_id"), scratch_path(spark, name))
+    return catalog_io.normalise(catalog_io.load_splits(spark, paths, fmt="csv", ordered=True))
+
+
+def q_column_rename_cases(spark, sf):
+    """Tables whose columns need renames and trims, have one genre column
+    under another name, or none, and no rating (S2, S3, S6, S7, F4, F5)."""
+    f = films(spark, sf, normalised=False)
+    one = f.select("row_id", F.col("title").alias("movie title - year"), F.col("description").alias(" description "),
+                   F.col("ratings").alias("rating "), F.col("expanded_genres").alias("genres"))
+    two = f.select("row_id", "title", "description")
+    return (catalog_io.normalise(one).withColumn("kind", F.lit("renamed"))
+            .unionByName(catalog_io.normalise(two).withColumn("kind", F.lit("bare"))))
+
+
 def q_model_roundtrip(spark, sf):
     path = scratch_path(spark, "model")
     _rec(spark, sf).save(path)
@@ -420,7 +457,7 @@ def q_notebook_eval_summary(spark, sf):
 def q_bow_vs_tfidf_shapes(spark, sf):
     """Matrix shapes of the two weightings on the notebook catalogue."""
     rec = _rec(spark, sf, dedupe=False)
-    bow = tfidf.fit(tfidf.docs_from_tokens(rec.catalog), sublinear_tf=False, use_idf=False, norm=False)
+    bow = tfidf.bag_of_words(rec.model)
     n_docs = rec.catalog.select(F.count(F.lit(1))).scalar()
 
     def shape(model, name):

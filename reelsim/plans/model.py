@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from reelsim.functions.genres import genre_filter_key
+from reelsim.functions.genres import genre_filter_key, pattern_valid
 from reelsim.functions.text import clean_tokens, raw_tokens
 from reelsim.operators import browse, lookup, tfidf
 from reelsim.operators.similarity import (SCORE_DECIMALS, cosine_scores, maybe_broadcast,
@@ -142,11 +142,15 @@ class Recommender:
         tf = self.model.term_counts
         if tf is not None:
             tf.persist()
-        self.model.vocabulary = store_table(self.model.vocabulary, "vocabulary")
-        self.model.postings = store_table(self.model.postings, "postings")
-        if tf is not None:
-            tf.unpersist()
-            self.model.term_counts = None
+        try:
+            self.model.vocabulary = store_table(self.model.vocabulary, "vocabulary")
+            if self.model.vocabulary.isEmpty():
+                raise ValueError(f"no term occurs in {self.params.min_df} or more descriptions: nothing to fit")
+            self.model.postings = store_table(self.model.postings, "postings")
+        finally:
+            if tf is not None:
+                tf.unpersist()
+                self.model.term_counts = None
         self.model.n_docs = F.lit(self.catalog.count()).cast("long")
         self.titles = self.catalog.select("row_id", "title", "title_key", "name_only")
         self._index = self._freq = None
@@ -251,6 +255,13 @@ class Recommender:
         return lookup.suggest_titles(queries, self.titles, self.index, self.freq, limit,
                                      QID, text_col, min_chars, bounded)
 
+    def rejected(self, queries: DataFrame, filter_col: str) -> DataFrame:
+        """``(query_id, pattern)`` of the requests whose genre filter is no
+        regex.  They get no rows; the rest of their batch is answered."""
+        ok = pattern_valid(genre_filter_key(F.col(filter_col)))
+        return (queries.select(QID, F.col(filter_col).alias("pattern"), ok.alias("_ok"))
+                       .filter(~F.col("_ok")).select(QID, "pattern"))
+
     def all_genres(self) -> DataFrame:
         """Distinct genres (V9); order by ``genre``."""
         return browse.all_genres(self.catalog)

@@ -59,15 +59,15 @@ FILMS = f"""films AS (
            CASE WHEN doc_id % 13 = 0 THEN NULL ELSE p_retailprice END AS ratings,
            lang AS genre,
            CASE WHEN doc_id % 17 = 0 THEN NULL
-                WHEN doc_id % 3 = 0 THEN concat(lang, ', ', source, '|', p_type)
-                ELSE concat(lang, '/', p_type) END AS expanded_genres
+                WHEN doc_id % 3 = 0 THEN lang || ', ' || source || '|' || p_type
+                ELSE lang || '/' || p_type END AS expanded_genres
     FROM (SELECT b.*, p.p_type, p.p_retailprice,
-                 concat(p.p_name, ' ', CAST(b.tid AS VARCHAR), ' - ',
-                        CAST(1950 + b.tid % 70 AS VARCHAR)) AS raw_title
+                 p.p_name || ' ' || CAST(b.tid AS VARCHAR) || ' - ' ||
+                        CAST(1950 + b.tid % 70 AS VARCHAR) AS raw_title
           FROM (SELECT doc_id, text, lang, source,
                        doc_id - CASE WHEN doc_id % 10 = 9 THEN 1 ELSE 0 END AS tid
                 FROM documents) b
-          JOIN part p ON p.p_partkey = b.tid) t))"""
+          LEFT JOIN part p ON p.p_partkey = b.tid) t))"""
 
 
 def base(dedupe: bool = True, lexicon: dict | None = None, raw: bool = False) -> list[str]:
@@ -115,9 +115,12 @@ SCORES = """scores AS (SELECT q.query_id, p.row_id, sum(p.w * q.w) AS score
 
 
 def by_rows(resolved_sql: str, genre: str | None = None, mask: bool = True, n: int = 5,
-            score_name: str = "similarity_score") -> list[str]:
-    """``resolved(query_id, src)`` -> ranked(query_id, rank, row_id, ...)."""
+            score_name: str = "similarity_score", filters: bool = False) -> list[str]:
+    """``resolved(query_id, src)`` -> ranked(query_id, rank, row_id, ...);
+    ``filters``: ``resolved`` has a column ``gf``, null for no filter."""
     gcond = f" AND regexp_matches(lower(c.genre_src), {_lit(genre.lower())})" if genre else ""
+    if filters:
+        gcond = " AND (r.gf IS NULL OR coalesce(regexp_matches(lower(c.genre_src), r.gf), FALSE))"
     score = "coalesce(s.score, 0.0)"
     where = "c.row_id <> r.src" if mask else "TRUE"
     if not mask:
@@ -174,6 +177,14 @@ TIER1_OF_FIRST = f"""SELECT CAST(0 AS BIGINT) AS query_id, min(c.row_id) AS src
                      JOIN catalog c ON c.title_key = {KEY('f.title')}"""
 
 
+def _under_filters() -> str:
+    """The first title once per filter; the last filter is no regex."""
+    keys = [(i, "NULL" if g in ("", "All") else _lit(g.lower())) for i, g in enumerate(C.DEMO_FILTERS[:-1])]
+    values = ", ".join(f"({i}, {g})" for i, g in keys)
+    return f"""SELECT CAST(v.i AS BIGINT) AS query_id, f.src, CAST(v.g AS VARCHAR) AS gf
+               FROM ({TIER1_OF_FIRST}) f CROSS JOIN (VALUES {values}) v(i, g)"""
+
+
 def _fixed(text: str) -> str:
     return f"SELECT CAST(0 AS BIGINT) AS query_id, {_lit(text)} AS text"
 
@@ -216,8 +227,7 @@ WORDS = "CASE WHEN description IS NOT NULL THEN len(regexp_extract_all(descripti
 
 
 def _weights_out() -> str:
-    return ("SELECT row_id, count(*) AS n_terms, CAST(sum(tf) AS BIGINT) AS sum_tf, "
-            "round(sum(w), 6) AS sum_w, round(max(w), 6) AS max_w FROM postings GROUP BY row_id")
+    return "SELECT row_id, term, tf, round(w, 6) AS w FROM postings"
 
 
 def _title_variants() -> list[str]:
@@ -278,6 +288,12 @@ def oracle_sql() -> dict[str, str]:
         "clean_description_text": sql(final=f"""SELECT row_id,
             array_to_string({CLEAN('description')}, ' ') AS clean_description FROM films"""),
         "lemmatised_tokens": sql(lexicon=C.DEMO_LEXICON, final="SELECT row_id, clean_description FROM catalog"),
+        "lemmatised_by_table": sql(lexicon=C.DEMO_LEXICON, final="SELECT row_id, clean_description FROM catalog"),
+        "csv_split_load": sql(final=f"""SELECT row_number() OVER (ORDER BY row_id % 5 = 4, row_id) - 1 AS row_id,
+            {films_cols.removeprefix('row_id, ')} FROM films"""),
+        "column_rename_cases": sql(final="""SELECT 'renamed' AS kind, row_id, title, description, ratings,
+            CAST(NULL AS VARCHAR) AS genre, CAST(NULL AS VARCHAR) AS expanded_genres, expanded_genres AS genre_src FROM films
+            UNION ALL SELECT 'bare', row_id, title, description, CAST(NULL AS DOUBLE), NULL, NULL, NULL FROM films"""),
         "desc_length_stats": sql(final=f"""SELECT count(n) AS n_described, round(avg(n), 6) AS avg_words,
             CAST(min(n) AS BIGINT) AS min_words, CAST(max(n) AS BIGINT) AS max_words
             FROM (SELECT {WORDS} AS n FROM films)"""),
@@ -295,13 +311,9 @@ def oracle_sql() -> dict[str, str]:
               CASE WHEN y <> '' THEN regexp_replace(t, '\\s*-\\s*\\d{4}\\s*$', '') || ' (' || y || ')' ELSE t END
                 AS display,
               CAST(NULLIF(y, '') AS BIGINT) AS year FROM ty"""),
-        "bigrams": sql(final="""SELECT row_id, CAST(len(tokens) AS BIGINT) AS n_tokens,
-            CAST(len(bg) AS BIGINT) AS n_bigrams, bg[1] AS first_bigram, bg[-1] AS last_bigram
-            FROM (SELECT row_id, tokens,
-                         list_transform(range(1, len(tokens)), lambda i: tokens[i] || ' ' || tokens[i + 1]) AS bg
-                  FROM catalog)"""),
-        "bow_terms": sql(final="""SELECT t.row_id, count(*) AS n_terms, CAST(sum(t.tf) AS BIGINT) AS bow_total
-            FROM tf t JOIN vocab v ON v.term = t.term GROUP BY t.row_id"""),
+        "bigrams": sql(final="""SELECT row_id, CAST(i - 1 AS BIGINT) AS pos, tokens[i] || ' ' || tokens[i + 1] AS bigram
+            FROM (SELECT row_id, tokens, unnest(range(1, len(tokens))) AS i FROM catalog)"""),
+        "bow_terms": sql(final="SELECT t.row_id, t.term, t.tf AS n FROM tf t JOIN vocab v ON v.term = t.term"),
         "vocabulary": sql(final="SELECT term, df, CAST(cf AS BIGINT) AS cf, round(idf, 9) AS idf FROM vocab_idf"),
         "tfidf_weights": sql(final=_weights_out()),
         "raw_tfidf_weights": sql(dedupe=False, raw=True, final=_weights_out()),
@@ -331,6 +343,8 @@ def oracle_sql() -> dict[str, str]:
                FROM cand) WHERE rank <= 8"""),
         "recommend_by_title": sql(*by_rows(TIER1_OF_FIRST), final=REC_OUT),
         "recommend_by_title_genre": sql(*by_rows(TIER1_OF_FIRST, genre=C.DEMO_GENRE_FILTER), final=REC_OUT),
+        "recommend_by_title_filters": sql(*by_rows(_under_filters(), n=10, filters=True), final=REC_OUT),
+        "recommend_many": sql(*by_rows(TIER1_OF_FIRST, n=2000), final=REC_OUT),
         "recommend_batch": sql(*batch, final=REC_OUT),
         "recommend_by_description": sql(*by_text(
             "SELECT c.row_id AS query_id, c.description AS text FROM catalog c JOIN sample s ON s.row_id = c.row_id"),

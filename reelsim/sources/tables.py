@@ -31,7 +31,7 @@ def films(spark: SparkSession, sf_dir: str, normalised: bool = True) -> DataFram
     part = read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type", "p_retailprice")
     b = docs.withColumn("tid", F.col("doc_id") - F.when(F.col("doc_id") % 10 == 9, 1).otherwise(0))
     # part is the dimension side of a key join; AQE broadcasts it when small
-    t = b.join(part, part.p_partkey == b.tid)
+    t = b.join(part, part.p_partkey == b.tid, "left")
     raw_title = F.concat(F.col("p_name"), F.lit(" "), F.col("tid").cast("string"), F.lit(" - "),
                          (F.lit(1950) + F.col("tid") % 70).cast("string"))
     did = F.col("doc_id")

@@ -175,3 +175,36 @@ def test_vocabulary_threshold_path_is_exact(spark, monkeypatch):
         monkeypatch.setattr(tfidf, "TOPK_MERGE_ROWS", 5_000_000)
         assert sorted(plain) == sorted(cut) and len(cut) == cap
     _ = F
+
+
+def test_source_order_over_files_of_different_size(spark, tmp_path):
+    from reelsim.sources.catalog_io import load_splits
+    for name, rows in (("a", ["first"]), ("b", [f"{x} {'long ' * 2000}" for x in range(4)])):
+        (tmp_path / "train").mkdir(exist_ok=True)
+        (tmp_path / "train" / f"part-{name}.csv").write_text("title,description\n" + "".join(f"{r},x\n" for r in rows))
+    (tmp_path / "validation.csv").write_text("title,description\nlast,x\n")
+    got = load_splits(spark, {"train": str(tmp_path / "train"), "validation": str(tmp_path / "validation.csv")},
+                      fmt="csv", ordered=True).orderBy("row_id").collect()
+    assert [(r.row_id, r.title.split()[0]) for r in got] == list(enumerate(["first", "0", "1", "2", "3", "last"]))
+
+
+def test_invalid_pattern_costs_only_its_request(spark, rec):
+    q = _q(spark, [(1, "Star Quest - 1977", "sci-fi ("), (2, "Star Quest - 1977", "drama")], ", gf string")
+    assert sorted(r.row_id for r in rec.by_title(q, n=10, filter_col="gf").collect()) == [2, 3, 7]
+    assert {r.query_id for r in rec.by_description(q, n=10, filter_col="gf").collect()} == {2}
+    assert [tuple(r) for r in rec.rejected(q, "gf").collect()] == [(1, "sci-fi (")]
+    g = spark.createDataFrame([(1, "["), (2, "drama")], "query_id long, genre string")
+    assert {r.query_id for r in rec.by_genre(g, n=5).collect()} == {2}
+
+
+def test_empty_vocabulary_is_an_error(spark):
+    films = normalise(spark.createDataFrame([(0, "A", "one galaxy", 1.0, "x", "x"), (1, "B", "two valleys", 1.0, "x", "x")], SCHEMA))
+    with pytest.raises(ValueError, match="nothing to fit"):
+        Recommender.fit(films, ModelParams(min_df=3), materialize=True)
+
+
+def test_bag_of_words_equals_its_own_fit(spark, rec):
+    from reelsim.operators import tfidf
+    own = tfidf.fit(tfidf.docs_from_tokens(rec.catalog), min_df=1, sublinear_tf=False, use_idf=False, norm=False)
+    key = lambda m: sorted(tuple(r) for r in m.postings.select("row_id", "term", "tf", "w").collect())
+    assert key(tfidf.bag_of_words(rec.model)) == key(own)

@@ -13,7 +13,9 @@ from reelsim.sources.tables import TABLES
 CHECKED = ["normalise_catalog", "prep_lineage", "clean_text", "vocabulary", "tfidf_weights",
            "recommend_batch", "recommend_by_description_genre", "recommend_by_genre",
            "resolve_titles", "title_suggestions", "eval_summary", "model_stats",
-           "desc_length_hist", "notebook_recommend_title", "score_table"]
+           "desc_length_hist", "notebook_recommend_title", "score_table",
+           "bigrams", "bow_terms", "raw_tfidf_weights", "bow_vs_tfidf_shapes", "lemmatised_by_table", "csv_split_load",
+           "column_rename_cases", "recommend_by_title_filters", "recommend_many"]
 
 
 def _rows(cols, rows):
