@@ -46,6 +46,7 @@ class Recommender:
         self._freq: DataFrame | None = None
         self._stored = False
         self._kept: list[DataFrame] = []
+        self._requests: list[DataFrame] = []
 
     @property
     def index(self) -> DataFrame:
@@ -75,15 +76,21 @@ class Recommender:
         written as a Parquet table in the shared checkpoint folder."""
         from reelsim.session import cache_small, store_table
         if not bounded:
-            return store_table(df, "request")
+            df = store_table(df, "request")
+            self._requests.append(df)
+            return df
         df = cache_small(df)
         self._kept.append(df)
         return df
 
     def release(self) -> None:
-        """Drop the per-request caches (call when the answers are written)."""
+        """Drop the per-request caches and stored request tables (call when
+        the answers are written: they can't be read again afterwards)."""
+        from reelsim.session import drop_table
         while self._kept:
             self._kept.pop().unpersist()
+        while self._requests:
+            drop_table(self._requests.pop())
 
     # ---- fitting -------------------------------------------------------
     @classmethod

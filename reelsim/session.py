@@ -93,4 +93,13 @@ def store_table(df: DataFrame, name: str = "table") -> DataFrame:
     and get filter pushdown."""
     path = scratch_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    out = df.sparkSession.read.parquet(path)
+    out._stored_path = path
+    return out
+
+
+def drop_table(df: DataFrame) -> None:
+    """Delete a table of :func:`store_table`; nothing may read it any more."""
+    spark = df.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(df._stored_path)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

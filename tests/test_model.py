@@ -208,3 +208,16 @@ def test_bag_of_words_equals_its_own_fit(spark, rec):
     own = tfidf.fit(tfidf.docs_from_tokens(rec.catalog), min_df=1, sublinear_tf=False, use_idf=False, norm=False)
     key = lambda m: sorted(tuple(r) for r in m.postings.select("row_id", "term", "tf", "w").collect())
     assert key(tfidf.bag_of_words(rec.model)) == key(own)
+
+
+def test_release_leaves_no_request_tables(spark, rec):
+    import os
+    from reelsim.session import checkpoint_dir
+    here = checkpoint_dir(spark).removeprefix("file:")
+    q = _q(spark, [(1, "galaxy"), (2, "Star Quest - 1977")])
+    rec.release()
+    assert {r.query_id for r in rec.by_title(q, n=2, bounded=False).collect()} == {1, 2}
+    assert any(x.startswith("request-") for x in os.listdir(here))
+    rec.by_description(q, n=2, bounded=True).collect()
+    rec.release()
+    assert not any(x.startswith("request-") for x in os.listdir(here)) and not rec._kept
