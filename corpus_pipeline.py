@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelsim.llm import jaccard, mixing, packing, quality, superkmer
-from reelsim.llm.common import store, table
+from reelsim.llm.common import drop, store, table
 from reelsim.llm.queries import tokenizer_path
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -27,10 +27,22 @@ def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 10: the smallest doc_id of each group stays."""
-    groups = jaccard.similar_groups(docs, 5, 80, 100)
-    gone = groups.filter("component_id != doc_id").select("doc_id").distinct()
-    return docs.select(*COLUMNS).join(store(gone, "gone"), "doc_id", "left_anti").select(*COLUMNS)
+    """Operator 10: one row of each group stays, the one with the smallest
+    doc_id.  Groups are formed of rows, each under an id of its own, so rows
+    that repeat a doc_id and rows without one (which come last in the order)
+    are grouped by their texts like any other.  Rows without words link with
+    nothing; of those that repeat a doc_id one stays."""
+    rows = store(docs.select(*COLUMNS).withColumn("_row", F.monotonically_increasing_id()), "rows")
+    groups = jaccard.similar_groups(rows.select(F.col("_row").alias("doc_id"), "text"), 5, 80, 100)
+    groups = groups.select(F.col("doc_id").alias("_row"), "n_shingles", "component_id")
+    named = store(groups.join(rows.select("_row", "doc_id"), "_row"), "groups")
+    wordless = F.col("n_shingles") == 0
+    first = (named.groupBy(F.when(~wordless, F.col("component_id")).alias("group"), F.when(wordless, F.col("doc_id")).alias("id"),
+                           F.when(wordless & F.col("doc_id").isNull(), F.col("_row")).alias("row"))
+                  .agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row")).alias("first")))
+    gone = store(named.join(first.select("first._row"), "_row", "left_anti").select("_row"), "gone")
+    drop(named)
+    return rows.join(gone, "_row", "left_anti").select(*COLUMNS)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -158,3 +158,24 @@ def test_pipeline(spark, odd_documents, tmp_path):
     for name, stage in corpus_pipeline.STAGES[1:]:
         odd = stage(spark, odd, SF)
     assert odd.count() > 0
+
+
+def test_pipeline_keeps_one_row_of_repeated_and_null_ids(spark):
+    """Repeated rows, texts under one doc_id, and rows without a doc_id."""
+    def prose(seed):
+        r = random.Random(seed)
+        return " ".join(f"w{r.randrange(400)}" for _ in range(90))
+
+    near = prose(4).split()
+    near[45] = "changed"
+    rows = [(1, prose(1)), (1, prose(1)), (1, prose(1)), (None, prose(2)), (None, prose(2)), (3, prose(3)), (None, prose(3)), (4, prose(4)),
+            (None, " ".join(near)), (5, prose(5)), (5, prose(1)), (6, None), (6, None), (7, ""), (None, ""), (None, None), (8, prose(8))]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or ""), k) for k, (i, t) in enumerate(rows)],
+                                 "doc_id long, text string, lang string, source string, n_chars long, _extra int").repartition(4)
+    want = [(1, prose(1)), (3, prose(3)), (4, prose(4)), (5, prose(5)), (6, None), (7, ""), (8, prose(8)), (None, prose(2)), (None, ""), (None, None)]
+    kept = corpus_pipeline.near_duplicates(spark, docs, SF)
+    order = lambda pairs: sorted(pairs, key=repr)
+    assert kept.columns == list(corpus_pipeline.COLUMNS)
+    assert order((r["doc_id"], r["text"]) for r in kept.collect()) == order(want)
+    left = corpus_pipeline.repeated_passages(spark, kept, SF)
+    assert order((r["doc_id"], r["text"]) for r in left.collect()) == order(want)
