@@ -1,8 +1,11 @@
 """Embedding near-dedup with a pivot-permutation index.
 
 Reference vectors (pivots) are a bounded sample, about the square root of the
-table but ``MOST_PIVOTS`` at most.  A vector is described by its ``NEAREST``
-nearest pivots in order.  Inverted lists are kept for pairs of pivots, so two
+table but ``MOST_PIVOTS`` at most.  A vector is described by its nearest
+pivots in order: ``NEAREST`` of up to 64, one more for each further factor of
+four (``described_length``), and as many more (``MOST_NEAREST`` at most) as it
+takes to find ``RECALL`` of the links of a fixed query set, which are counted
+against all rows (``enough``).  Inverted lists are kept for pairs of pivots, so two
 vectors meet where they share at least two of them; the shared-pivot count is
 read off the descriptions.  A pair that meets in several lists is counted
 only in the list of its two smallest shared pivots.  Candidates are verified
@@ -29,19 +32,28 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from reelsim.llm.common import shuffle_partitions, split_join, store
+from reelsim.llm.common import drop, shuffle_partitions, split_join, store
 from reelsim.llm.graph import components
 
 COSINE = 0.9
-NEAREST = 6
+NEAREST, MOST_NEAREST = 6, 24
+QUERIES, RECALL = 256, 0.95
 LEAST_PIVOTS, MOST_PIVOTS = 64, 4096
 BLOCK = 1024
 
 
+def kind_of(vectors: DataFrame) -> np.dtype:
+    """Single precision for components of that type, else double."""
+    return np.dtype(np.float32 if vectors.schema["embedding"].dataType.elementType == T.FloatType() else np.float64)
+
+
 def described(vectors: DataFrame) -> DataFrame:
-    """``(vec_id, key, raw)``: components as doubles in bytes, and a key of
+    """``(vec_id, key, raw)``: components as bytes of ``kind``, and a key of
     equal vectors; both null for vectors that link with nothing."""
+    kind = kind_of(vectors)
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import hashlib
         for b in batches:
@@ -53,20 +65,32 @@ def described(vectors: DataFrame) -> DataFrame:
                 if ok:
                     a = v.values.to_numpy(zero_copy_only=False).astype(np.float64) + 0.0
                     ok = bool(np.isfinite(a).all() and a.any())
-                raw.append(a.tobytes() if ok else None)
+                raw.append(a.astype(kind).tobytes() if ok else None)
                 key.append(hashlib.blake2b(raw[-1], digest_size=16).digest() if ok else None)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(key, pa.binary()), pa.array(raw, pa.binary())], ["vec_id", "key", "raw"])
 
     return vectors.select("vec_id", "embedding").mapInArrow(work, "vec_id long, key binary, raw binary")
 
 
-def unit(raws: list[bytes]) -> np.ndarray:
-    x = np.frombuffer(b"".join(raws), np.float64).reshape(len(raws), -1)
+def unit(raws: list[bytes], kind: np.dtype) -> np.ndarray:
+    x = np.frombuffer(b"".join(raws), kind).reshape(len(raws), -1).astype(np.float64)
     x = x / np.abs(x).max(axis=1, keepdims=True)          # no overflow or underflow in the norm
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def choose_pivots(classes: DataFrame) -> np.ndarray:
+def described_length(many: int, nearest: int = NEAREST) -> int:
+    """How many of ``many`` pivots describe a vector: two vectors share two
+    of a fixed number ever less often as pivots grow denser."""
+    while many > LEAST_PIVOTS:
+        nearest, many = nearest + 1, -(-many // 4)
+    return nearest
+
+
+def nearest_pivots(x: np.ndarray, pivots: np.ndarray, k: int) -> np.ndarray:
+    return np.argsort(-(x @ pivots.T), axis=1, kind="stable")[:, :k]
+
+
+def choose_pivots(classes: DataFrame, kind: np.dtype) -> np.ndarray:
     """The reference vectors: a bounded sample in hash order of keys."""
     n = classes.count()
     most = min(MOST_PIVOTS, max(LEAST_PIVOTS, isqrt(n)))
@@ -74,42 +98,102 @@ def choose_pivots(classes: DataFrame) -> np.ndarray:
     if not got:
         return np.zeros((0, 0))
     size = Counter(map(len, got)).most_common(1)[0][0]
-    return unit([r for r in got if len(r) == size])
+    return unit([r for r in got if len(r) == size], kind)
 
 
-def inverted_lists(classes: DataFrame, pivots: np.ndarray, nearest: int) -> DataFrame:
-    """``(list, rep, copies, raw, near)``: a row for each pair of a vector's
-    nearest pivots; ``near`` are those pivots, nearest first."""
-    many, size = len(pivots), 8 * pivots.shape[1] if len(pivots) else -1
-    k = min(nearest, many)
-    i, j = np.triu_indices(k, 1)
+def with_nearest(classes: DataFrame, pivots: np.ndarray, kind: np.dtype) -> DataFrame:
+    """``classes`` with ``near``: the ``MOST_NEAREST`` nearest pivots of each
+    vector, nearest first."""
+    size = kind.itemsize * pivots.shape[1] if len(pivots) else -1
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            raw = b.column(2)
-            at = [x for x, r in enumerate(raw.to_pylist()) if len(r) == size]
+            raw = b.column(3).to_pylist()
+            near = [None] * len(raw)
+            at = [x for x, r in enumerate(raw) if len(r) == size]
             for s in range(0, len(at), 4096):
                 part = at[s:s + 4096]
-                x = unit([raw[y].as_py() for y in part])
-                near = np.argsort(-(x @ pivots.T), axis=1, kind="stable")[:, :k]
-                low, high = np.minimum(near[:, i], near[:, j]), np.maximum(near[:, i], near[:, j])
+                for x, n in zip(part, nearest_pivots(unit([raw[x] for x in part], kind), pivots, MOST_NEAREST).astype(np.int32)):
+                    near[x] = n.tobytes()
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(near, pa.binary())], ["key", "rep", "copies", "raw", "near"])
+
+    return classes.select("key", "rep", "copies", "raw").mapInArrow(work, "key binary, rep long, copies long, raw binary, near binary")
+
+
+def depths(near: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """Per pair of descriptions, the shortest length at which they share two
+    pivots (one, if there is but one); more than ``near`` has if they never do."""
+    at = np.where(near[:, :, None] == other[:, None, :], np.maximum(*np.indices((near.shape[1],) * 2))[None] + 1, near.shape[1] + 1)
+    at = np.sort(at.reshape(len(at), -1), axis=1)
+    return at[:, min(1, at.shape[1] - 1)]
+
+
+def enough(near: DataFrame, many: int, nearest: int, cosine: float, kind: np.dtype) -> int:
+    """The described length: ``described_length``, or more if the links of a
+    fixed query set, counted against all rows, need it."""
+    k = min(described_length(many, nearest), many)
+    got = (near.filter("near is not null").orderBy(F.xxhash64("key", F.lit(1)), "key").limit(QUERIES)
+               .select("key", "raw", "near").collect())
+    if not got:
+        return k
+    keys = [bytes(r["key"]) for r in got]
+    q = unit([bytes(r["raw"]) for r in got], kind)
+    q_near = np.array([np.frombuffer(bytes(r["near"]), np.int32) for r in got])
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        count = np.zeros(q_near.shape[1] + 2, np.int64)
+        own = {x: i for i, x in enumerate(keys)}
+        for b in batches:
+            key, raw, n = (b.column(x).to_pylist() for x in range(3))
+            x, n = unit(raw, kind), np.array([np.frombuffer(r, np.int32) for r in n])
+            link = x @ q.T >= cosine
+            for y, v in enumerate(key):
+                if v in own:
+                    link[y, own[v]] = False
+            i, j = np.nonzero(link)
+            for s in range(0, len(i), 4096):
+                count += np.bincount(depths(n[i[s:s + 4096]], q_near[j[s:s + 4096]]), minlength=len(count))
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(count))), pa.array(count)], ["depth", "links"])
+
+    rows = near.filter("near is not null").select("key", "raw", "near").mapInArrow(work, "depth long, links long")
+    links = np.zeros(q_near.shape[1] + 2)
+    for r in rows.groupBy("depth").agg(F.sum("links").alias("links")).collect():
+        links[r["depth"]] = r["links"]
+    found = np.cumsum(links)
+    while k < q_near.shape[1] and found[k] < RECALL * found[-1]:
+        k += 1
+    return k
+
+
+def inverted_lists(near: DataFrame, many: int, k: int) -> DataFrame:
+    """``(list, rep, copies, raw, near)``: a row for each pair of a vector's
+    ``k`` nearest pivots; ``near`` are those pivots, nearest first."""
+    i, j = np.triu_indices(k, 1)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for s in range(0, len(b), 4096):
+                part = b.slice(s, 4096)
+                near = np.array([np.frombuffer(r, np.int32)[:k] for r in part.column(3).to_pylist()])
+                low, high = (f(near[:, i], near[:, j]).astype(np.int64) for f in (np.minimum, np.maximum))
                 lists = (low * many + high) if k > 1 else np.zeros((len(part), 1), np.int64)
-                rows = pa.array(np.repeat(part, lists.shape[1]))
-                flat = pa.array([bytes(r) for r in near.astype(np.int32)], pa.binary()).take(pa.array(np.repeat(np.arange(len(part)), lists.shape[1])))
-                yield pa.RecordBatch.from_arrays([pa.array(lists.ravel().astype(np.int64)), b.column(0).take(rows), b.column(1).take(rows),
-                                                  raw.take(rows), flat], ["list", "rep", "copies", "raw", "near"])
+                rows = np.repeat(np.arange(len(part)), lists.shape[1])
+                flat = pa.array([r.tobytes() for r in near], pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(lists.ravel()), *(c.take(pa.array(rows)) for c in (*part.columns[:3], flat))],
+                                                 ["list", "rep", "copies", "raw", "near"])
 
-    return classes.select("rep", "copies", "raw").mapInArrow(work, "list long, rep long, copies long, raw binary, near binary")
+    return (near.filter("near is not null").select("rep", "copies", "raw", "near")
+                .mapInArrow(work, "list long, rep long, copies long, raw binary, near binary"))
 
 
-def list_links(rows: list[tuple], many: int, cosine: float):
+def list_links(rows: list[tuple], many: int, cosine: float, kind: np.dtype):
     """Links within one inverted list: per row the copies it links to (pairs
     that belong to this list), and forest edges over all its links."""
     key = rows[0][0]
     low, high = divmod(key, many)
     rep = np.array([r[1] for r in rows])
     copies = np.array([r[2] for r in rows], np.int64)
-    x = unit([r[3] for r in rows])
+    x = unit([r[3] for r in rows], kind)
     near = np.frombuffer(b"".join(r[4] for r in rows), np.int32).reshape(len(rows), -1)
     # shared pivots below the list's larger one, other than its smaller one,
     # mean that an earlier list counts the pair
@@ -148,13 +232,17 @@ def list_links(rows: list[tuple], many: int, cosine: float):
 def near_duplicates(vectors: DataFrame, cosine: float = COSINE, nearest: int = NEAREST) -> DataFrame:
     """``(vec_id, n_links, component_id, kept)`` for every row."""
     n_parts = shuffle_partitions(vectors.sparkSession)
+    kind = kind_of(vectors)
     all_ = store(described(vectors), "vectors")
     total = all_.count()
     usable = all_.filter(F.col("key").isNotNull() & F.col("vec_id").isNotNull())
     classes = store(usable.groupBy("key").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"), F.first("raw").alias("raw")), "classes")
-    pivots = choose_pivots(classes)
+    pivots = choose_pivots(classes, kind)
     many = max(len(pivots), 1)
-    dealt = inverted_lists(classes, pivots, nearest).repartition(n_parts, "list").sortWithinPartitions("list")
+    near = store(with_nearest(classes, pivots, kind), "nearest")
+    drop(classes)
+    k = enough(near, many, nearest, cosine, kind)
+    dealt = inverted_lists(near, many, k).repartition(n_parts, "list").sortWithinPartitions("list")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group: list[tuple] = []
@@ -162,7 +250,7 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, nearest: int = N
 
         def close():
             if len(group) > 1:
-                rep, links, top = list_links(group, many, cosine)
+                rep, links, top = list_links(group, many, cosine, kind)
                 for x in np.flatnonzero((links > 0) | (top != rep)):
                     out.append((int(rep[x]), int(top[x]), int(links[x])))
 
@@ -185,7 +273,7 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, nearest: int = N
     found = store(dealt.mapInArrow(work, "rep long, top long, links long"), "found")
     counts = found.groupBy("rep").agg(F.sum("links").alias("links"))
     comp = components(found.filter("rep != top"), "rep", "top")
-    per_class = (classes.select("key", "rep", "copies").join(counts, "rep", "left")
+    per_class = (near.select("key", "rep", "copies").join(counts, "rep", "left")
                         .join(comp.withColumnRenamed("node", "rep"), "rep", "left")
                         .select("key", "copies", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
                                 F.coalesce("component", "rep").alias("component")))

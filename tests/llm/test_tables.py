@@ -5,6 +5,7 @@ import math
 import random
 
 import duckdb
+import numpy as np
 import pytest
 
 import __spark_entry__ as E
@@ -113,6 +114,31 @@ def test_pivot_index(spark):
     assert pivots.near_duplicates(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("many", [64, 1000, 4096])
+def test_links_at_the_threshold_meet_among_many_pivots(many):
+    r = np.random.default_rng(many)
+    unit = lambda x: x / np.linalg.norm(x, axis=1, keepdims=True)
+    refs, x = unit(r.normal(size=(many, 64))), unit(r.normal(size=(1000, 64)))
+    y = r.normal(size=x.shape)
+    y = pivots.COSINE * x + math.sqrt(1 - pivots.COSINE ** 2) * unit(y - (x * y).sum(axis=1, keepdims=True) * x)
+    k = pivots.described_length(many)
+    a, b = (pivots.nearest_pivots(z, refs, k) for z in (x, y))
+    assert ((a[:, :, None] == b[:, None, :]).sum(axis=(1, 2)) >= 2).mean() >= 0.94
+
+
+def test_recall_among_dense_pivots(spark, monkeypatch):
+    """Pivots far denser than clusters are wide: links still are found."""
+    monkeypatch.setattr(pivots, "LEAST_PIVOTS", 600)
+    r = np.random.default_rng(8)
+    x = np.repeat(r.normal(size=(4, 32)), 600, axis=0)
+    x = x + r.normal(scale=0.3, size=x.shape)
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    links = int((u @ u.T >= pivots.COSINE).sum()) - len(x)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>").repartition(3)
+    found = sum(v["n_links"] for v in pivots.near_duplicates(df).collect())
+    assert 0.9 * links <= found <= links
+
+
 def frame(con, sql):
     cur = con.execute(sql)
     cols = [d[0] for d in cur.description]
