@@ -11,8 +11,12 @@ read off the descriptions.  A pair that meets in several lists is counted
 only in the list of its two smallest shared pivots.  Candidates are verified
 by cosine in double precision.
 
-Equal vectors are one class and never paired.  A list returns sums of links
-and a spanning forest, not its pairs, so results stay linear in the input.
+Vectors of equal direction (unit vectors that agree to ``DIGITS`` decimals, so
+scaled copies too) are one class and never paired.  A list of more than
+``LIST_ROWS`` rows is cut into blocks, and each pair of blocks is a task's work
+of its own: a dense group takes work quadratic in its size, and each of its
+rows travels once per block, but no task holds more than two blocks.  A list
+returns sums of links and a spanning forest, not its pairs.
 
 Defined results: null, empty or zero vectors, those with null or non-finite
 components, and those of a length other than the most common one in the
@@ -42,6 +46,8 @@ NEAREST, MOST_NEAREST = 6, 24
 QUERIES, RECALL = 256, 0.95
 LEAST_PIVOTS, MOST_PIVOTS = 64, 4096
 BLOCK = 1024
+DIGITS = 12
+LIST_ROWS = 8192
 
 
 def kind_of(vectors: DataFrame) -> np.dtype:
@@ -51,7 +57,7 @@ def kind_of(vectors: DataFrame) -> np.dtype:
 
 def described(vectors: DataFrame) -> DataFrame:
     """``(vec_id, key, raw)``: components as bytes of ``kind``, and a key of
-    equal vectors; both null for vectors that link with nothing."""
+    equal directions; both null for vectors that link with nothing."""
     kind = kind_of(vectors)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -66,7 +72,7 @@ def described(vectors: DataFrame) -> DataFrame:
                     a = v.values.to_numpy(zero_copy_only=False).astype(np.float64) + 0.0
                     ok = bool(np.isfinite(a).all() and a.any())
                 raw.append(a.astype(kind).tobytes() if ok else None)
-                key.append(hashlib.blake2b(raw[-1], digest_size=16).digest() if ok else None)
+                key.append(hashlib.blake2b((unit([raw[-1]], kind).round(DIGITS) + 0.0).tobytes(), digest_size=16).digest() if ok else None)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(key, pa.binary()), pa.array(raw, pa.binary())], ["vec_id", "key", "raw"])
 
     return vectors.select("vec_id", "embedding").mapInArrow(work, "vec_id long, key binary, raw binary")
@@ -186,20 +192,38 @@ def inverted_lists(near: DataFrame, many: int, k: int) -> DataFrame:
                 .mapInArrow(work, "list long, rep long, copies long, raw binary, near binary"))
 
 
+def blocked(lists: DataFrame, sizes: DataFrame) -> DataFrame:
+    """``lists`` with ``i``, ``j``, ``side``: the rows of a list over
+    ``LIST_ROWS`` are cut into blocks by hash, and a row goes to every pair of
+    blocks ``(i, j)``, ``i <= j``, that holds its block ``side``."""
+    long = sizes.filter(F.col("rows") > LIST_ROWS).select("list", F.ceil(F.col("rows") / LIST_ROWS).cast("int").alias("blocks"))
+    rows = (lists.join(F.broadcast(long), "list", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+                 .withColumn("side", F.pmod(F.xxhash64("rep", "raw"), F.col("blocks")).cast("int"))
+                 .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))))
+    return rows.select("list", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"),
+                       "side", "rep", "copies", "raw", "near")
+
+
 def list_links(rows: list[tuple], many: int, cosine: float, kind: np.dtype):
-    """Links within one inverted list: per row the copies it links to (pairs
-    that belong to this list), and forest edges over all its links."""
-    key = rows[0][0]
+    """Links within one pair of blocks of an inverted list: per row the
+    copies it links to (pairs that belong to this list and these blocks), and
+    forest edges over those links.  Rows are ``(list, i, j, side, rep,
+    copies, raw, near)``."""
+    key, first, second = rows[0][:3]
     low, high = divmod(key, many)
-    rep = np.array([r[1] for r in rows])
-    copies = np.array([r[2] for r in rows], np.int64)
-    x = unit([r[3] for r in rows], kind)
-    near = np.frombuffer(b"".join(r[4] for r in rows), np.int32).reshape(len(rows), -1)
+    near = np.frombuffer(b"".join(r[7] for r in rows), np.int32).reshape(len(rows), -1)
     # shared pivots below the list's larger one, other than its smaller one,
     # mean that an earlier list counts the pair
-    early = np.where((near < high) & (near != low), near, -1)
+    early = np.sort(np.where((near < high) & (near != low), near, -1), axis=1)
+    side = np.array([r[3] for r in rows])
+    order = np.lexsort((*early.T, side))                  # equal descriptions side by side
+    near, early, side, rows = near[order], early[order], side[order], [rows[x] for x in order]
+    rep = np.array([r[4] for r in rows])
+    copies = np.array([r[5] for r in rows], np.int64)
+    x = unit([r[6] for r in rows], kind)
     links = np.zeros(len(rows), np.int64)
     root = np.arange(len(rows))
+    cut = int(np.searchsorted(side, second)) if first != second else len(rows)
 
     def find(a):
         while root[a] != a:
@@ -207,18 +231,30 @@ def list_links(rows: list[tuple], many: int, cosine: float, kind: np.dtype):
             a = root[a]
         return a
 
-    for a in range(0, len(rows), BLOCK):
-        for b in range(a, len(rows), BLOCK):
-            p, q = np.nonzero(x[a:a + BLOCK] @ x[b:b + BLOCK].T >= cosine)
+    def common(a, z):
+        """Earlier pivots that all these rows have."""
+        return set.intersection(*(set(e) for e in np.unique(early[a:z], axis=0).tolist())) - {-1}
+
+    if first != second:
+        left, right = [(a, min(a + BLOCK, cut)) for a in range(0, cut, BLOCK)], [(b, min(b + BLOCK, len(rows))) for b in range(cut, len(rows), BLOCK)]
+    else:
+        left = right = [(a, min(a + BLOCK, len(rows))) for a in range(0, len(rows), BLOCK)]
+    shared = {r: common(*r) for r in {*left, *right}}
+    for a, az in left:
+        for b, bz in right:
+            if b < a or shared[a, az] & shared[b, bz]:
+                continue                                  # an earlier list has all these pairs
+            p, q = np.nonzero(x[a:az] @ x[b:bz].T >= cosine)
             p, q = p + a, q + b
             p, q = p[p < q], q[p < q]
-            if not len(p):
-                continue
             mine = np.ones(len(p), bool)
             for e in range(near.shape[1]):
                 mine &= ~((early[p, e, None] == early[q]) & (early[p, e, None] >= 0)).any(axis=1)
-            np.add.at(links, p[mine], copies[q[mine]])
-            np.add.at(links, q[mine], copies[p[mine]])
+            p, q = p[mine], q[mine]
+            if not len(p):
+                continue
+            np.add.at(links, p, copies[q])
+            np.add.at(links, q, copies[p])
             pairs = np.unique(root[p] * len(rows) + root[q])
             for u, v in zip((pairs // len(rows)).tolist(), (pairs % len(rows)).tolist()):
                 u, v = find(u), find(v)
@@ -236,13 +272,16 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, nearest: int = N
     all_ = store(described(vectors), "vectors")
     total = all_.count()
     usable = all_.filter(F.col("key").isNotNull() & F.col("vec_id").isNotNull())
-    classes = store(usable.groupBy("key").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"), F.first("raw").alias("raw")), "classes")
+    classes = store(usable.groupBy("key").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"), F.min_by("raw", F.struct("vec_id", "raw")).alias("raw")), "classes")
     pivots = choose_pivots(classes, kind)
     many = max(len(pivots), 1)
     near = store(with_nearest(classes, pivots, kind), "nearest")
     drop(classes)
     k = enough(near, many, nearest, cosine, kind)
-    dealt = inverted_lists(near, many, k).repartition(n_parts, "list").sortWithinPartitions("list")
+    lists = inverted_lists(near, many, k)
+    sizes = store(inverted_lists(near.select("rep", "copies", F.lit(b"").alias("raw"), "near"), many, k)
+                  .groupBy("list").agg(F.count("*").alias("rows")).filter(F.col("rows") > LIST_ROWS), "long lists")
+    dealt = blocked(lists, sizes).repartition(n_parts, "list", "i", "j").sortWithinPartitions("list", "i", "j")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group: list[tuple] = []
@@ -260,8 +299,8 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, nearest: int = N
             return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["rep", "top", "links"])
 
         for b in batches:
-            for r in zip(*(b.column(x).to_pylist() for x in range(5))):
-                if group and r[0] != group[0][0]:
+            for r in zip(*(b.column(x).to_pylist() for x in range(8))):
+                if group and r[:3] != group[0][:3]:
                     close()
                     group = []
                 group.append(r)

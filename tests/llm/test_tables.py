@@ -139,6 +139,28 @@ def test_recall_among_dense_pivots(spark, monkeypatch):
     assert 0.9 * links <= found <= links
 
 
+def test_long_lists_are_cut_into_blocks(spark, monkeypatch):
+    """A third of the rows around one direction: the same links in blocks,
+    and no task holds the whole group; scaled copies are one class."""
+    r = np.random.default_rng(4)
+    tight = r.normal(size=32) + r.normal(scale=0.1, size=(150, 32))
+    tight[:40] = tight[0] * np.arange(1, 41)[:, None]
+    rows = [(i, v.tolist()) for i, v in enumerate(np.concatenate((tight, r.normal(size=(300, 32)))))]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    links, comp = brute(rows, pivots.COSINE)
+    whole = {x["vec_id"]: x for x in pivots.near_duplicates(df).collect()}
+    monkeypatch.setattr(pivots, "LIST_ROWS", 10)
+    got = {x["vec_id"]: x for x in pivots.near_duplicates(df).collect()}
+    assert got == whole and {i: got[i]["component_id"] for i in got} == comp
+    assert 0.9 * sum(links.values()) <= sum(x["n_links"] for x in got.values()) <= sum(links.values())
+    assert pivots.described(df.filter("vec_id < 40")).select("key").distinct().count() == 1
+    one = [(7, x["vec_id"], x["raw"]) for x in pivots.described(df).filter("vec_id < 150").collect()]
+    lists = spark.createDataFrame([(*x, 1, b"") for x in one], "list long, rep long, raw binary, copies long, near binary")
+    sizes = lists.groupBy("list").count().withColumnRenamed("count", "rows")
+    tasks = pivots.blocked(lists, sizes).groupBy("list", "i", "j").count().collect()
+    assert len(tasks) == 120 and max(t["count"] for t in tasks) < 60
+
+
 def frame(con, sql):
     cur = con.execute(sql)
     cols = [d[0] for d in cur.description]
