@@ -18,9 +18,11 @@ of its own: a dense group takes work quadratic in its size, and each of its
 rows travels once per block, but no task holds more than two blocks.  A list
 returns sums of links and a spanning forest, not its pairs.
 
-Defined results: null, empty or zero vectors, those with null or non-finite
-components, and those of a length other than the most common one in the
-sample link with nothing; their component is their own id.  Rows without a
+Every length of vectors has pivots and lists of its own; vectors of different
+lengths never link.
+
+Defined results: null, empty or zero vectors and those with null or non-finite
+components link with nothing; their component is their own id.  Rows without a
 vec_id take no part and come back with no component.  Rows that repeat a
 vec_id count as one vector id, each row with its own links.  An empty table
 gives an empty result.  Other columns (labels too) are ignored.
@@ -28,7 +30,6 @@ gives an empty result.  Other columns (labels too) are ignored.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from math import isqrt
 
@@ -96,31 +97,42 @@ def nearest_pivots(x: np.ndarray, pivots: np.ndarray, k: int) -> np.ndarray:
     return np.argsort(-(x @ pivots.T), axis=1, kind="stable")[:, :k]
 
 
-def choose_pivots(classes: DataFrame, kind: np.dtype) -> np.ndarray:
-    """The reference vectors: a bounded sample in hash order of keys."""
-    n = classes.count()
-    most = min(MOST_PIVOTS, max(LEAST_PIVOTS, isqrt(n)))
-    got = [bytes(r["raw"]) for r in classes.select("raw", "key").orderBy(F.xxhash64("key"), "key").limit(most).collect()]
-    if not got:
-        return np.zeros((0, 0))
-    size = Counter(map(len, got)).most_common(1)[0][0]
-    return unit([r for r in got if len(r) == size], kind)
+def choose_pivots(classes: DataFrame, kind: np.dtype) -> dict[int, np.ndarray]:
+    """Per length of vectors (in bytes), the most common first, its reference
+    vectors: a bounded sample in hash order of keys.  A length of
+    ``LEAST_PIVOTS`` classes or fewer has one, so all of them share a list."""
+    sizes = classes.groupBy(F.octet_length("raw").alias("size")).agg(F.count("*").alias("n")).collect()
+    out = {}
+    for r in sorted(sizes, key=lambda r: (-r["n"], r["size"])):
+        if r["n"] <= LEAST_PIVOTS:
+            out[r["size"]] = np.ones((1, r["size"] // kind.itemsize))
+            continue
+        most = min(MOST_PIVOTS, max(LEAST_PIVOTS, isqrt(r["n"])))
+        of = classes.filter(F.octet_length("raw") == r["size"]).select("raw", "key")
+        out[r["size"]] = unit([bytes(x["raw"]) for x in of.orderBy(F.xxhash64("key"), "key").limit(most).collect()], kind)
+    return out
 
 
-def with_nearest(classes: DataFrame, pivots: np.ndarray, kind: np.dtype) -> DataFrame:
+def with_nearest(classes: DataFrame, pivots: dict[int, np.ndarray], kind: np.dtype) -> DataFrame:
     """``classes`` with ``near``: the ``MOST_NEAREST`` nearest pivots of each
-    vector, nearest first."""
-    size = kind.itemsize * pivots.shape[1] if len(pivots) else -1
+    vector, nearest first, among those of its length; -1 after an only one.
+    Pivots are numbered through over all lengths."""
+    first = dict(zip(pivots, np.cumsum([0, *map(len, pivots.values())]).tolist()))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             raw = b.column(3).to_pylist()
             near = [None] * len(raw)
-            at = [x for x, r in enumerate(raw) if len(r) == size]
-            for s in range(0, len(at), 4096):
-                part = at[s:s + 4096]
-                for x, n in zip(part, nearest_pivots(unit([raw[x] for x in part], kind), pivots, MOST_NEAREST).astype(np.int32)):
-                    near[x] = n.tobytes()
+            by: dict[int, list[int]] = {}
+            for x, r in enumerate(raw):
+                by.setdefault(len(r), []).append(x)
+            for size, at in by.items():
+                for s in range(0, len(at), 4096):
+                    part = at[s:s + 4096]
+                    got = nearest_pivots(unit([raw[x] for x in part], kind), pivots[size], MOST_NEAREST).astype(np.int32) + np.int32(first[size])
+                    got = np.pad(got, ((0, 0), (0, MOST_NEAREST - got.shape[1])), constant_values=-1)
+                    for x, n in zip(part, got):
+                        near[x] = n.tobytes()
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(near, pa.binary())], ["key", "rep", "copies", "raw", "near"])
 
     return classes.select("key", "rep", "copies", "raw").mapInArrow(work, "key binary, rep long, copies long, raw binary, near binary")
@@ -128,20 +140,23 @@ def with_nearest(classes: DataFrame, pivots: np.ndarray, kind: np.dtype) -> Data
 
 def depths(near: np.ndarray, other: np.ndarray) -> np.ndarray:
     """Per pair of descriptions, the shortest length at which they share two
-    pivots (one, if there is but one); more than ``near`` has if they never do."""
+    pivots; more than ``near`` has if they never do."""
     at = np.where(near[:, :, None] == other[:, None, :], np.maximum(*np.indices((near.shape[1],) * 2))[None] + 1, near.shape[1] + 1)
     at = np.sort(at.reshape(len(at), -1), axis=1)
-    return at[:, min(1, at.shape[1] - 1)]
+    return at[:, 1]
 
 
-def enough(near: DataFrame, many: int, nearest: int, cosine: float, kind: np.dtype) -> int:
+def enough(near: DataFrame, pivots: dict[int, np.ndarray], nearest: int, cosine: float, kind: np.dtype) -> int:
     """The described length: ``described_length``, or more if the links of a
-    fixed query set, counted against all rows, need it."""
-    k = min(described_length(many, nearest), many)
-    got = (near.filter("near is not null").orderBy(F.xxhash64("key", F.lit(1)), "key").limit(QUERIES)
-               .select("key", "raw", "near").collect())
-    if not got:
+    fixed query set of the most common length, counted against all rows of
+    that length, need it."""
+    size, many = max(((s, len(p)) for s, p in pivots.items()), key=lambda x: x[1], default=(0, 0))
+    k = described_length(many, nearest)
+    if many < 2:
         return k
+    near = near.filter(F.octet_length("raw") == size)
+    got = (near.orderBy(F.xxhash64("key", F.lit(1)), "key").limit(QUERIES)
+               .select("key", "raw", "near").collect())
     keys = [bytes(r["key"]) for r in got]
     q = unit([bytes(r["raw"]) for r in got], kind)
     q_near = np.array([np.frombuffer(bytes(r["near"]), np.int32) for r in got])
@@ -161,7 +176,7 @@ def enough(near: DataFrame, many: int, nearest: int, cosine: float, kind: np.dty
                 count += np.bincount(depths(n[i[s:s + 4096]], q_near[j[s:s + 4096]]), minlength=len(count))
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(count))), pa.array(count)], ["depth", "links"])
 
-    rows = near.filter("near is not null").select("key", "raw", "near").mapInArrow(work, "depth long, links long")
+    rows = near.select("key", "raw", "near").mapInArrow(work, "depth long, links long")
     links = np.zeros(q_near.shape[1] + 2)
     for r in rows.groupBy("depth").agg(F.sum("links").alias("links")).collect():
         links[r["depth"]] = r["links"]
@@ -182,14 +197,15 @@ def inverted_lists(near: DataFrame, many: int, k: int) -> DataFrame:
                 part = b.slice(s, 4096)
                 near = np.array([np.frombuffer(r, np.int32)[:k] for r in part.column(3).to_pylist()])
                 low, high = (f(near[:, i], near[:, j]).astype(np.int64) for f in (np.minimum, np.maximum))
-                lists = (low * many + high) if k > 1 else np.zeros((len(part), 1), np.int64)
-                rows = np.repeat(np.arange(len(part)), lists.shape[1])
+                only = near[:, 1] < 0                     # one list for all of that length
+                mask = ~only[:, None] | (np.arange(len(i)) == 0)
+                lists = np.where(only[:, None], near[:, :1].astype(np.int64) * (many + 1), low * many + high)[mask]
+                rows = np.nonzero(mask)[0]
                 flat = pa.array([r.tobytes() for r in near], pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array(lists.ravel()), *(c.take(pa.array(rows)) for c in (*part.columns[:3], flat))],
+                yield pa.RecordBatch.from_arrays([pa.array(lists), *(c.take(pa.array(rows)) for c in (*part.columns[:3], flat))],
                                                  ["list", "rep", "copies", "raw", "near"])
 
-    return (near.filter("near is not null").select("rep", "copies", "raw", "near")
-                .mapInArrow(work, "list long, rep long, copies long, raw binary, near binary"))
+    return near.select("rep", "copies", "raw", "near").mapInArrow(work, "list long, rep long, copies long, raw binary, near binary")
 
 
 def blocked(lists: DataFrame, sizes: DataFrame) -> DataFrame:
@@ -274,10 +290,10 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, nearest: int = N
     usable = all_.filter(F.col("key").isNotNull() & F.col("vec_id").isNotNull())
     classes = store(usable.groupBy("key").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"), F.min_by("raw", F.struct("vec_id", "raw")).alias("raw")), "classes")
     pivots = choose_pivots(classes, kind)
-    many = max(len(pivots), 1)
+    many = max(sum(map(len, pivots.values())), 1)
     near = store(with_nearest(classes, pivots, kind), "nearest")
     drop(classes)
-    k = enough(near, many, nearest, cosine, kind)
+    k = enough(near, pivots, nearest, cosine, kind)
     lists = inverted_lists(near, many, k)
     sizes = store(inverted_lists(near.select("rep", "copies", F.lit(b"").alias("raw"), "near"), many, k)
                   .groupBy("list").agg(F.count("*").alias("rows")).filter(F.col("rows") > LIST_ROWS), "long lists")

@@ -161,6 +161,19 @@ def test_long_lists_are_cut_into_blocks(spark, monkeypatch):
     assert len(tasks) == 120 and max(t["count"] for t in tasks) < 60
 
 
+def test_vectors_of_every_length_link(spark):
+    r = random.Random(6)
+    rows = [(i, [r.gauss(0, 1) for _ in range(16)]) for i in range(100)]
+    rows += [(100 + i, [x + r.gauss(0, 0.05) for x in rows[i][1]]) for i in range(100)]
+    some = [[r.gauss(0, 1) for _ in range(8)] for _ in range(40)]
+    rows += [(200 + i, [x + r.gauss(0, 0.02) for x in some[i % 40]]) for i in range(80)]
+    rows += [(300, [1.0, 2.0]), (301, [1.0, 2.1]), (302, [2.0, -1.0]), (303, [1.0]), (304, [1.0, 2.0, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(3)
+    links, comp = brute(rows, pivots.COSINE)
+    got = {x["vec_id"]: (x["n_links"], x["component_id"]) for x in pivots.near_duplicates(df).collect()}
+    assert got == {i: (links[i], comp[i]) for i in links}
+
+
 def frame(con, sql):
     cur = con.execute(sql)
     cols = [d[0] for d in cur.description]
