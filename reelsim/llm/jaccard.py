@@ -7,8 +7,8 @@ global n-gram order is the order of these hashes, cut into fragments.
    differ in at most ``D`` shingles, so of more than ``D`` fragments at least
    one holds the same segment of both.  Each set therefore sends one
    signature per (non-empty) fragment; ``D`` and the number of fragments
-   depend on a band of sizes, and a set also serves the band below if its
-   partners may lie there.  A set with at most ``D`` non-empty fragments
+   depend on a band of sizes, and a set also serves every band below in which
+   its partners may lie.  A set with at most ``D`` non-empty fragments
    sends its empty ones too, so no pair is lost.
 2. Sets that share a signature are a group; each gives a star around its
    smallest id, whose pairs are verified (3) and joined into components.
@@ -76,8 +76,8 @@ class Signer:
         n = len(s)
         own = int(np.searchsorted(self.tops, n))
         use = [own]
-        if own and -(-n * self.p // self.q) <= self.bands[own - 1][0]:
-            use.append(own - 1)
+        while use[-1] and -(-n * self.p // self.q) <= self.bands[use[-1] - 1][0]:
+            use.append(use[-1] - 1)
         total = np.zeros(n + 1, np.uint64)
         np.cumsum(mix(s), out=total[1:])
         out = []

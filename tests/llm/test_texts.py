@@ -64,6 +64,15 @@ def test_jaccard_small_sets_lose_no_pair(spark):
     assert {r["doc_id"]: r["component_id"] for r in jaccard.similar_groups(df, 4, 85, 100).collect()} == want
 
 
+@pytest.mark.parametrize("a,b,p", [(16, 26, 60), (6, 11, 50), (16, 20, 80)])
+def test_contained_sets_share_a_signature(a, b, p):
+    """The smaller set may lie several bands of sizes below the larger."""
+    sign = jaccard.Signer(p, 100)
+    for seed in range(50):
+        s = np.random.default_rng(seed).choice(1 << 62, b, replace=False).astype(np.uint64) * np.uint64(4)
+        assert set(sign(np.sort(s[:a])).tolist()) & set(sign(np.sort(s)).tolist())
+
+
 @pytest.mark.parametrize("k,hot", [(35, 1000), (35, 1), (8, 2)])
 def test_repeats_are_removed(odd_documents, monkeypatch, k, hot):
     from reelsim.llm import common
