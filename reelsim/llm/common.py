@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import uuid
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +21,11 @@ HOT_ROWS = 1000
 # Spark's own switch: the shuffle files of an execution go when it ends.
 FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
+# Bytes of an Arrow batch that a task gets at once, where the session does
+# not set its own bound; a longer row still travels whole.
+BATCH_BYTES = 16 << 20
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
 _STORED: dict[str, list[str]] = {}
 
 
@@ -27,6 +33,33 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Bound the Arrow batches of Python tasks by bytes, not by rows alone.
+    A bound that the session was given stays."""
+    default = spark._jvm.org.apache.spark.sql.internal.SQLConf().getConfString(BATCH_SETTING)
+    if spark.conf.get(BATCH_SETTING) == default:
+        spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
+
+
+def trimmed(work: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``work`` of a ``mapInArrow``; when it ends, the reused worker process
+    hands its free memory back, which it would else keep until its executor
+    ends."""
+    def run(batches: Iterator) -> Iterator:
+        import ctypes
+
+        import pyarrow as pa
+        try:
+            yield from work(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL(None).malloc_trim(0)
+            except (AttributeError, OSError):             # another C library
+                pass
+    return run
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint folder, remembered for
     :func:`release`."""

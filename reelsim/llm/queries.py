@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelsim.llm import jaccard, mixing, packing, pivots, quality, sketch, splitters, superkmer, url_lists, warc
+from reelsim.llm import jaccard, mixing, packing, periodic, pivots, quality, sketch, splitters, superkmer, url_lists, warc
 from reelsim.llm.common import scratch_path, table
 
 JACCARD_WORDS, JACCARD_PERCENT = 4, 85
@@ -86,11 +86,53 @@ def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similar_groups(table(spark, sf_dir, "documents"), JACCARD_WORDS, JACCARD_PERCENT, 100)
 
 
+def op13_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.find_runs(table(spark, sf_dir, "documents"), plant=True)
+
+
 QUERIES = {f.__name__: f for f in (op1_quality, op2_warc, op3_splitters, op4_sketch, op5_superkmer, op6_url_lists, op7_mixing,
-                                   op8_packing, op9_pivots, op10_jaccard)}
+                                   op8_packing, op9_pivots, op10_jaccard, op13_periodic)}
 
 WORD = "[^\\x20\\x09-\\x0D]+"
 
+
+
+def crc32_sql(text: str) -> str:
+    """The unsigned crc32 of an ASCII text, a bit at a time."""
+    bits = f"flatten(list_transform(range(1, length({text}) + 1), lambda i: [CAST(ascii(substr({text}, i, 1)) AS BIGINT), 0, 0, 0, 0, 0, 0, 0]))"
+    step = "lambda c, x: xor(xor(c, x) >> 1, 3988292384 * (xor(c, x) & 1))"
+    return f"xor(list_reduce(list_concat([4294967295::BIGINT], {bits}), {step}), 4294967295)"
+
+
+def periodic_sql(levels: int = 14) -> str:
+    """Runs by places whose next copy of a gram of 2 ** level words lies at
+    one lag, without any splitting; texts of less than 3 * 2 ** levels words."""
+    grams = [f"""h{x} AS (SELECT doc_id, i, hash(h, lead(h, {2 ** (x - 1)}) OVER w) AS h, i + {2 ** x} <= n AS whole, n
+  FROM h{x - 1} WINDOW w AS (PARTITION BY doc_id ORDER BY i))""" for x in range(1, levels + 1)]
+    lags = [f"""l{x} AS (SELECT doc_id, i, lead(i) OVER (PARTITION BY doc_id, h ORDER BY i) - i AS q, {2 ** x} AS g
+  FROM h{x} WHERE whole QUALIFY q >= {2 ** (x - 1)} AND q < {2 ** x})""" for x in range(1, levels + 1)]
+    every = " UNION ALL ".join(f"SELECT * FROM l{x}" for x in range(1, levels + 1))
+    return f"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{WORD}') AS ws, {crc32_sql("CAST(doc_id AS VARCHAR)")} AS h FROM documents),
+p AS (SELECT *, len(ws) AS n, h // 10 AS g, h % 10 = 0 AND len(ws) > 0 AS hit FROM w),
+a AS (SELECT *, CASE WHEN hit THEN g % n ELSE n END AS a, CASE WHEN hit THEN 1 + (n - g % n) // (3 + g % 8) ELSE 1 END AS p FROM p),
+x AS (SELECT doc_id, n, ws, a, p, unnest(range(n)) AS i FROM a),
+t AS (SELECT doc_id, n, i, ws[CASE WHEN i < a THEN i ELSE a + (i - a) % p END + 1] AS word FROM x),
+h0 AS (SELECT doc_id, i, hash(word) AS h, TRUE AS whole, n FROM t),
+{", ".join(grams + lags)},
+l AS ({every}),
+k AS (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q, g ORDER BY i) AS stretch FROM l),
+r AS (SELECT doc_id, min(i) AS s, max(i) - min(i) + q + g AS m, q FROM k GROUP BY doc_id, q, g, stretch
+      HAVING max(i) - min(i) + q + g >= greatest(24, 3 * q)),
+d AS (SELECT DISTINCT doc_id, unnest(range(s + q, s + m)) AS i FROM r),
+c AS (SELECT t.doc_id, string_agg(word, ' ' ORDER BY t.i) AS kept FROM t ANTI JOIN d USING (doc_id, i) GROUP BY t.doc_id),
+f AS (SELECT doc_id, count(*) AS n_runs, string_agg(s || ',' || m || ',' || q || chr(10), '' ORDER BY s, q) AS runs,
+             first({{'s': s, 'm': m, 'q': q}} ORDER BY m / q DESC, s, q) AS b FROM r GROUP BY doc_id)
+SELECT p.doc_id, coalesce(f.n_runs, 0) AS n_runs, CAST(b.s AS BIGINT) AS start, CAST(b.m AS BIGINT) AS length, CAST(b.q AS BIGINT) AS period,
+       CAST(1000 * b.m // b.q AS BIGINT) AS exponent_milli, sha256(coalesce(f.runs, '')) AS runs_sha256, sha256(coalesce(c.kept, '')) AS collapsed_sha256
+FROM p LEFT JOIN f ON f.doc_id = p.doc_id LEFT JOIN c ON c.doc_id = p.doc_id"""
+
+
 ORACLE_SQL = {
     "op2_warc": """
 WITH p AS (SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS n, sha256(coalesce(html, '')) AS d FROM pages),
@@ -150,4 +192,5 @@ r AS (SELECT doc_id AS n, doc_id AS t FROM documents UNION SELECT l.b, r.t FROM
 m AS (SELECT n, min(t) AS c FROM r GROUP BY n)
 SELECT d.doc_id, CAST(coalesce(z.n, 0) AS BIGINT) AS n_shingles, m.c AS component_id
 FROM documents d JOIN m ON m.n = d.doc_id LEFT JOIN z ON z.doc_id = d.doc_id""",
+    "op13_periodic": periodic_sql(),
 }
