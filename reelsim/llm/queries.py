@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelsim.llm import jaccard, mixing, packing, periodic, pivots, quality, sketch, splitters, superkmer, url_lists, warc
+from reelsim.llm import alignment, jaccard, mixing, packing, periodic, pivots, quality, sketch, splitters, superkmer, url_lists, warc
 from reelsim.llm.common import scratch_path, table
 
 JACCARD_WORDS, JACCARD_PERCENT = 4, 85
@@ -86,12 +86,21 @@ def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similar_groups(table(spark, sf_dir, "documents"), JACCARD_WORDS, JACCARD_PERCENT, 100)
 
 
+def aligned_tokenizers() -> tuple[str, str]:
+    import public_tokenizers
+    return public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents"), *aligned_tokenizers())
+
+
 def op13_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic.find_runs(table(spark, sf_dir, "documents"), plant=True)
 
 
 QUERIES = {f.__name__: f for f in (op1_quality, op2_warc, op3_splitters, op4_sketch, op5_superkmer, op6_url_lists, op7_mixing,
-                                   op8_packing, op9_pivots, op10_jaccard, op13_periodic)}
+                                   op8_packing, op9_pivots, op10_jaccard, op12_alignment, op13_periodic)}
 
 WORD = "[^\\x20\\x09-\\x0D]+"
 
