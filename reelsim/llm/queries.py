@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelsim.llm import alignment, jaccard, mixing, packing, periodic, pivots, quality, sketch, splitters, superkmer, url_lists, warc
+from reelsim.llm import alignment, jaccard, langid, mixing, packing, periodic, pivots, quality, sketch, splitters, superkmer, url_lists, warc
 from reelsim.llm.common import scratch_path, table
 
 JACCARD_WORDS, JACCARD_PERCENT = 4, 85
@@ -86,6 +86,12 @@ def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similar_groups(table(spark, sf_dir, "documents"), JACCARD_WORDS, JACCARD_PERCENT, 100)
 
 
+def op11_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held = F.coalesce(langid.fold() == 0, F.lit(False))
+    return langid.predict(docs, langid.fit(docs)).select("doc_id", held.alias("held_out"), "lang_pred", "score", "rejected")
+
+
 def aligned_tokenizers() -> tuple[str, str]:
     import public_tokenizers
     return public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
@@ -100,7 +106,7 @@ def op13_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_quality, op2_warc, op3_splitters, op4_sketch, op5_superkmer, op6_url_lists, op7_mixing,
-                                   op8_packing, op9_pivots, op10_jaccard, op12_alignment, op13_periodic)}
+                                   op8_packing, op9_pivots, op10_jaccard, op11_langid, op12_alignment, op13_periodic)}
 
 WORD = "[^\\x20\\x09-\\x0D]+"
 
