@@ -9,6 +9,11 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 SF_SMALL = "/root/testdata/sf0.001"
 
 
+@pytest.fixture(scope="session")
+def sf_small():
+    return SF_SMALL
+
+
 @pytest.fixture(scope="session")
 def spark():
     from pyspark.sql import SparkSession

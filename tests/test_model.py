@@ -161,12 +161,11 @@ def test_split_load_rename_and_required_columns(spark, tmp_path):
         normalise(spark.createDataFrame([("x",)], "title string"))
 
 
-def test_vocabulary_threshold_path_is_exact(spark, monkeypatch):
+def test_vocabulary_threshold_path_is_exact(spark, sf_small, monkeypatch):
     from pyspark.sql import functions as F
     from reelsim.operators import tfidf
     from reelsim.sources.tables import films
-    from conftest import SF_SMALL
-    docs = tfidf.docs_from_tokens(Recommender.fit(films(spark, SF_SMALL)).catalog)
+    docs = tfidf.docs_from_tokens(Recommender.fit(films(spark, sf_small)).catalog)
     tf = tfidf.term_counts(docs.repartition("row_id"))
     for cap in (50, 1000):
         plain = [tuple(r) for r in tfidf.select_vocabulary(tf, 2, cap).collect()]
