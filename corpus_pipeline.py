@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelsim.llm import jaccard, mixing, packing, quality, superkmer
-from reelsim.llm.common import drop, store, table
+from reelsim.llm.common import drop, forget, store, stored, table
 from reelsim.llm.queries import tokenizer_path
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -80,5 +80,9 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = store(stage(spark, docs, sf_dir), name)
+        before = stored(spark)
+        out = store(stage(spark, docs, sf_dir), name)
+        # what this stage stored for itself goes, and so does its input
+        forget(spark, [p for p in stored(spark) if p not in before or p == getattr(docs, "_stored_path", None)], keep=out)
+        docs = out
     return STAGES[-1][1](spark, docs, sf_dir)
