@@ -30,6 +30,7 @@ _STORED: dict[str, list[str]] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bound_batches(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
@@ -71,8 +72,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def _tidy(spark: SparkSession) -> None:
     """Shuffle files of finished jobs go when the driver's JVM collects what
     refers to them, which it would do much later by itself."""
-    if spark.sparkContext.master.startswith("local["):
-        return                                            # one large heap, short runs
     gc.collect()
     spark._jvm.System.gc()
 
@@ -85,6 +84,7 @@ def store(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     schema = df.schema
+    bound_batches(spark)
     _tidy(spark)
     before = spark.conf.get(FREE_SHUFFLES, "false")
     spark.conf.set(FREE_SHUFFLES, "true")
@@ -110,6 +110,20 @@ def drop(*stored: DataFrame) -> None:
         _delete(df.sparkSession, df._stored_path)
 
 
+def stored(spark: SparkSession) -> list[str]:
+    """The folders that :func:`scratch_path` gave out and that are still
+    there."""
+    return list(_STORED.get(spark.sparkContext.applicationId, []))
+
+
+def forget(spark: SparkSession, paths: list[str], keep: DataFrame) -> None:
+    """Delete these folders, but for the one of the stored table ``keep``."""
+    for path in paths:
+        if path != keep._stored_path:
+            _STORED[spark.sparkContext.applicationId].remove(path)
+            _delete(spark, path)
+
+
 def release(spark: SparkSession) -> None:
     """Delete every folder that :func:`scratch_path` gave out in this
     session.  Call it once the results that read them are written."""

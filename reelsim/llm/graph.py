@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelsim.llm.common import split_join, store
+from reelsim.llm.common import drop, split_join, store
 
 MAX_ROUNDS = 60
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
-    """``(node, component)`` for every node of ``edges``: the smallest node
-    that links reach.  Alternating large-star and small-star rounds; every
+    """``(node, component)`` for every node of ``edges``, stored: the smallest
+    node that links reach.  Alternating large-star and small-star rounds; every
     round is written to the shared folder, so no lineage grows and a lost
     executor costs one round.  Aggregations combine before they shuffle, so
     a hub with a third of all edges is one row per task.
@@ -29,6 +29,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
                  .filter(F.col("y") > F.col("x"))
                  .select(F.col("m").alias("u"), F.col("y").alias("v")).distinct())
         large = store(large, "large-star")
+        drop(cur)
         # small star: a node's smaller neighbours and itself move to the least of them
         low = large.groupBy("v").agg(F.min("u").alias("m"), F.count("*").alias("n"))
         moved = split_join(large, low, "v", "n", large.count(), "inner", F.xxhash64("u"))
@@ -36,6 +37,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
                       .unionByName(low.select(F.col("m").alias("u"), "v"))
                       .filter(F.col("u") != F.col("v")).distinct())
         nxt = store(small, "small-star")
+        drop(large)
         # done when every node has one smaller neighbour and that is a root
         roots = nxt.select(F.col("u").alias("r")).distinct().join(nxt.select("v").distinct(), F.col("r") == F.col("v"), "left_semi")
         twice = nxt.groupBy("v").agg(F.count("*").alias("n")).filter("n > 1")
@@ -45,4 +47,6 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     else:
         raise RuntimeError(f"components did not settle in {MAX_ROUNDS} rounds")
     top = cur.select(F.col("u").alias("node")).distinct().withColumn("component", F.col("node"))
-    return cur.select(F.col("v").alias("node"), F.col("u").alias("component")).unionByName(top)
+    out = store(cur.select(F.col("v").alias("node"), F.col("u").alias("component")).unionByName(top), "components")
+    drop(cur)
+    return out

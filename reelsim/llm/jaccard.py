@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelsim.llm.common import drop, shuffle_partitions, split_join, store
+from reelsim.llm.common import drop, shuffle_partitions, split_join, store, trimmed
 from reelsim.llm.graph import components
 from reelsim.llm.words import ODD, mix, shingle_sets
 
@@ -50,6 +50,8 @@ FRAGMENTS = 8
 STEP = 2
 BLOCK = 2048
 HELD = 1 << 20
+# Set keys by which a task leaves out copies of a set it has signed.
+SEEN = 1 << 18
 
 
 def bands(p: int, q: int, most: int = 1 << 40) -> tuple[tuple[int, int, int], ...]:
@@ -112,7 +114,7 @@ def document_sets(docs: DataFrame, n: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(size, pa.int64()), pa.array(key, pa.binary())],
                                              ["doc_id", "n_shingles", "set_key"])
 
-    return docs.select("doc_id", "text").mapInArrow(work, "doc_id long, n_shingles long, set_key binary")
+    return docs.select("doc_id", "text").mapInArrow(trimmed(work), "doc_id long, n_shingles long, set_key binary")
 
 
 def signatures(docs: DataFrame, n: int, p: int, q: int) -> DataFrame:
@@ -135,6 +137,8 @@ def signatures(docs: DataFrame, n: int, p: int, q: int) -> DataFrame:
                 key = _set_key(s)
                 if key in seen:
                     continue
+                if len(seen) >= SEEN:
+                    seen.clear()                          # a copy that is signed again costs a row, no link
                 seen.add(key)
                 sigs.append(sign(s))
                 rows.append(t)
@@ -147,7 +151,7 @@ def signatures(docs: DataFrame, n: int, p: int, q: int) -> DataFrame:
                 yield flush()
 
     known = docs.select("doc_id", "text").filter(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
-    return known.mapInArrow(work, "sig long, node long, size int")
+    return known.mapInArrow(trimmed(work), "sig long, node long, size int")
 
 
 def stars(sigs: DataFrame) -> DataFrame:
@@ -170,7 +174,7 @@ def stars(sigs: DataFrame) -> DataFrame:
 
     n_parts = shuffle_partitions(sigs.sparkSession)
     dealt = sigs.repartition(n_parts, "sig").sortWithinPartitions("sig", "node")
-    return dealt.mapInArrow(work, "sig long, a long, b long, na int, nb int")
+    return dealt.mapInArrow(trimmed(work), "sig long, a long, b long, na int, nb int")
 
 
 def segments(docs: DataFrame, nodes: DataFrame, n: int) -> DataFrame:
@@ -201,18 +205,18 @@ def segments(docs: DataFrame, nodes: DataFrame, n: int) -> DataFrame:
 
     # the nodes are no fixed share of the table, so the same join at any size
     texts = docs.select("doc_id", "text").join(nodes.hint("merge"), F.col("doc_id") == F.col("node"), "left_semi")
-    cut = texts.mapInArrow(work, "node long, fragment int, seg array<long>")
+    cut = texts.mapInArrow(trimmed(work), "node long, fragment int, seg array<long>")
     return cut.groupBy("node", "fragment").agg(F.first("seg").alias("seg"))
 
 
 def verified(pairs: DataFrame, seg: DataFrame, p: int, q: int) -> DataFrame:
-    """The links among ``pairs(a, b, na, nb)``: partial overlaps are counted
+    """The links among stored ``pairs(a, b, na, nb)``, stored: partial overlaps are counted
     in every fragment by itself and summed per pair.  After every
     ``STEP`` fragments, pairs go that could not link even if all that is
     left of both sets were shared."""
     live = pairs.select("a", "b", "na", "nb", F.lit(0).cast("long").alias("o"), F.col("na").cast("long").alias("la"),
                         F.col("nb").cast("long").alias("lb"))
-    live = before = store(live, "pairs")
+    before = None
     for f in range(0, FRAGMENTS, STEP):
         part = seg.filter((F.col("fragment") >= f) & (F.col("fragment") < f + STEP))
         left = part.select(F.col("node").alias("b"), "fragment", F.col("seg").alias("seg_b"))
@@ -226,9 +230,12 @@ def verified(pairs: DataFrame, seg: DataFrame, p: int, q: int) -> DataFrame:
                             (F.col("la") - F.coalesce("sa", none)).alias("la"), (F.col("lb") - F.coalesce("sb", none)).alias("lb"))
                     .filter((p + q) * (F.col("o") + F.least("la", "lb")) >= p * (F.col("na") + F.col("nb"))))
         live = store(live, "pairs")
-        drop(before)
+        if before is not None:
+            drop(before)
         before = live
-    return live.filter((p + q) * F.col("o") >= p * (F.col("na") + F.col("nb"))).select("a", "b")
+    links = store(live.filter((p + q) * F.col("o") >= p * (F.col("na") + F.col("nb"))).select("a", "b"), "links")
+    drop(live)
+    return links
 
 
 def frequencies(seg: DataFrame) -> DataFrame:
@@ -276,7 +283,7 @@ def frequencies(seg: DataFrame) -> DataFrame:
 
     n_parts = shuffle_partitions(seg.sparkSession)
     dealt = seg.select(F.explode("seg").alias("shingle"), "node").repartition(n_parts, "shingle").sortWithinPartitions("shingle")
-    return dealt.mapInArrow(work, "node long, shingle long, df int")
+    return dealt.mapInArrow(trimmed(work), "node long, shingle long, df int")
 
 
 def prefix_pairs(members: DataFrame, seg: DataFrame, p: int, q: int) -> DataFrame:
@@ -330,12 +337,13 @@ def prefix_pairs(members: DataFrame, seg: DataFrame, p: int, q: int) -> DataFram
 
     n_parts = shuffle_partitions(members.sparkSession)
     dealt = shared.repartition(n_parts, "shingle").sortWithinPartitions("shingle")
-    return dealt.mapInArrow(work, "a long, b long, na int, nb int").distinct()
+    return dealt.mapInArrow(trimmed(work), "a long, b long, na int, nb int").distinct()
 
 
 def similar_groups(docs: DataFrame, n: int = 5, p: int = 80, q: int = 100) -> DataFrame:
     """``(doc_id, n_shingles, component_id)`` per row of ``docs``: the size
-    of its set and the smallest doc_id that links reach."""
+    of its set and the smallest doc_id that links reach.  Stored tables go as
+    soon as their readers are stored."""
     sets = store(document_sets(docs, n), "sets")
     total = sets.count()
     named = sets.filter(F.col("doc_id").isNotNull() & F.col("set_key").isNotNull())
@@ -343,6 +351,7 @@ def similar_groups(docs: DataFrame, n: int = 5, p: int = 80, q: int = 100) -> Da
     many = store(classes.filter("copies > 1"), "classes")
     member = split_join(sets, many, "set_key", "copies", total, "left", F.xxhash64("doc_id"))
     member = store(member.select("doc_id", "n_shingles", F.coalesce("rep", "doc_id").alias("rep")), "members")
+    drop(sets, many)
 
     # copies of one set met across tasks are one class already
     rep_of = member.select(F.col("doc_id").alias("node"), F.col("rep").alias("of")).distinct()
@@ -354,21 +363,31 @@ def similar_groups(docs: DataFrame, n: int = 5, p: int = 80, q: int = 100) -> Da
     nodes = (cand.select(F.col("a").alias("node"), F.col("na").alias("n"))
                  .unionByName(cand.select(F.col("b").alias("node"), F.col("nb").alias("n"))).distinct())
     nodes = store(nodes, "nodes")
-    seg = store(segments(docs, nodes, n), "segments")
 
     swap = F.col("a") > F.col("b")
     pairs = (cand.filter(q * F.least("na", "nb") >= p * F.greatest("na", "nb"))
                  .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"),
                          F.when(swap, F.col("nb")).otherwise(F.col("na")).alias("na"),
                          F.when(swap, F.col("na")).otherwise(F.col("nb")).alias("nb")).distinct())
-    links = store(verified(pairs, seg, p, q), "links")
-    comp = store(components(links), "components")
+    pairs = store(pairs, "star pairs")
+    drop(cand)
+    seg = store(segments(docs, nodes, n), "segments")
+    links = verified(pairs, seg, p, q)
+    drop(pairs)
+    comp = components(links)
 
     label = nodes.join(comp, "node", "left").select("node", "n", F.coalesce("component", "node").alias("label"))
-    rest = store(prefix_pairs(store(label, "labels"), seg, p, q), "rest")
+    label = store(label, "labels")
+    drop(nodes)
+    rest = store(prefix_pairs(label, seg, p, q), "rest")
+    drop(label)
     if not rest.isEmpty():
         more = verified(rest, seg, p, q)
-        comp = store(components(links.unionByName(more)), "components")
+        drop(seg, comp)
+        comp = components(links.unionByName(more))
+        drop(links, more, rest)
+    else:
+        drop(seg, links, rest)
 
     sizes = member.groupBy("rep").agg(F.count("*").alias("copies"))
     final = comp.join(sizes, F.col("node") == F.col("rep")).select("rep", "component", "copies")

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from reelsim.llm.common import shuffle_partitions
+from reelsim.llm.common import shuffle_partitions, trimmed
 from reelsim.llm.words import chunks, hash_ranges, text_bytes
 
 SIZE = 4096
@@ -82,6 +82,10 @@ class Encoder:
         self.low[ord("A"):ord("Z") + 1] += 32
         self.clear()
 
+    def forget(self):
+        """Give the memory back; :meth:`clear` makes it anew."""
+        self.keys = self.place = self.flat = None
+
     def clear(self):
         self.keys = np.zeros(SLOTS, np.uint64)
         self.place = np.zeros(SLOTS, np.int64)            # first id and number of ids
@@ -187,10 +191,13 @@ class Encoder:
 
 
 def encoder(path: str) -> Encoder:
-    """One encoder per worker process, whatever function asks."""
+    """One encoder per worker process, whatever function asks; what it
+    remembers goes with the task (see :func:`pack`)."""
     kept = sys.modules.setdefault("_reelsim_encoders", types.ModuleType("_reelsim_encoders")).__dict__
     if path not in kept:
         kept[path] = Encoder(path)
+    elif kept[path].keys is None:
+        kept[path].clear()
     return kept[path]
 
 
@@ -300,8 +307,9 @@ def pack(docs: DataFrame, path: str, size: int = SIZE, with_ids: bool = False) -
                     yield flush()
         if held:
             yield flush()
+        enc.forget()
 
     n_parts = shuffle_partitions(docs.sparkSession)
     # order-preserving: one range of doc_ids per task, sorted
     dealt = docs.select("doc_id", "text").repartitionByRange(n_parts, "doc_id").sortWithinPartitions("doc_id", "text")
-    return dealt.mapInArrow(work, PIECE + (", ids array<int>" if with_ids else ""))
+    return dealt.mapInArrow(trimmed(work), PIECE + (", ids array<int>" if with_ids else ""))

@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from reelsim.llm.common import drop, shuffle_partitions, split_join, store
+from reelsim.llm.common import drop, shuffle_partitions, split_join, store, trimmed
 from reelsim.llm.graph import components
 
 COSINE = 0.9
@@ -76,7 +76,7 @@ def described(vectors: DataFrame) -> DataFrame:
                 key.append(hashlib.blake2b((unit([raw[-1]], kind).round(DIGITS) + 0.0).tobytes(), digest_size=16).digest() if ok else None)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(key, pa.binary()), pa.array(raw, pa.binary())], ["vec_id", "key", "raw"])
 
-    return vectors.select("vec_id", "embedding").mapInArrow(work, "vec_id long, key binary, raw binary")
+    return vectors.select("vec_id", "embedding").mapInArrow(trimmed(work), "vec_id long, key binary, raw binary")
 
 
 def unit(raws: list[bytes], kind: np.dtype) -> np.ndarray:
@@ -135,7 +135,7 @@ def with_nearest(classes: DataFrame, pivots: dict[int, np.ndarray], kind: np.dty
                         near[x] = n.tobytes()
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(near, pa.binary())], ["key", "rep", "copies", "raw", "near"])
 
-    return classes.select("key", "rep", "copies", "raw").mapInArrow(work, "key binary, rep long, copies long, raw binary, near binary")
+    return classes.select("key", "rep", "copies", "raw").mapInArrow(trimmed(work), "key binary, rep long, copies long, raw binary, near binary")
 
 
 def depths(near: np.ndarray, other: np.ndarray) -> np.ndarray:
@@ -176,7 +176,7 @@ def enough(near: DataFrame, pivots: dict[int, np.ndarray], nearest: int, cosine:
                 count += np.bincount(depths(n[i[s:s + 4096]], q_near[j[s:s + 4096]]), minlength=len(count))
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(count))), pa.array(count)], ["depth", "links"])
 
-    rows = near.select("key", "raw", "near").mapInArrow(work, "depth long, links long")
+    rows = near.select("key", "raw", "near").mapInArrow(trimmed(work), "depth long, links long")
     links = np.zeros(q_near.shape[1] + 2)
     for r in rows.groupBy("depth").agg(F.sum("links").alias("links")).collect():
         links[r["depth"]] = r["links"]
@@ -205,7 +205,7 @@ def inverted_lists(near: DataFrame, many: int, k: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(lists), *(c.take(pa.array(rows)) for c in (*part.columns[:3], flat))],
                                                  ["list", "rep", "copies", "raw", "near"])
 
-    return near.select("rep", "copies", "raw", "near").mapInArrow(work, "list long, rep long, copies long, raw binary, near binary")
+    return near.select("rep", "copies", "raw", "near").mapInArrow(trimmed(work), "list long, rep long, copies long, raw binary, near binary")
 
 
 def blocked(lists: DataFrame, sizes: DataFrame) -> DataFrame:
@@ -325,7 +325,7 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, nearest: int = N
         close()
         yield flush()
 
-    found = store(dealt.mapInArrow(work, "rep long, top long, links long"), "found")
+    found = store(dealt.mapInArrow(trimmed(work), "rep long, top long, links long"), "found")
     counts = found.groupBy("rep").agg(F.sum("links").alias("links"))
     comp = components(found.filter("rep != top"), "rep", "top")
     per_class = (near.select("key", "rep", "copies").join(counts, "rep", "left")

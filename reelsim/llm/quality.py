@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from reelsim.llm.common import with_fields
+from reelsim.llm.common import trimmed, with_fields
 from reelsim.llm.words import Words, chunks, grams, text_bytes
 
 # Documented bound of the training sample: so many documents of each label.
@@ -178,7 +178,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_label: int = SAMPLE_PER_LABEL) -
             flat = pa.ListArray.from_arrays(np.arange(len(f) + 1, dtype=np.int32) * FEATURES, f.ravel())
             yield pa.RecordBatch.from_arrays([b.column(0), flat], ["quality", "f"])
 
-    got = rows.mapInArrow(work, "quality int, f array<double>").toPandas()
+    got = rows.mapInArrow(trimmed(work), "quality int, f array<double>").toPandas()
     x = np.array(got["f"].tolist()).reshape(len(got), FEATURES)
     q = got["quality"].to_numpy()
     order = np.lexsort((*x.T, q))                        # the same fit whatever the row order
@@ -197,7 +197,7 @@ def score(docs: DataFrame, ranker: Ranker | None, keep: tuple[str, ...] = ("doc_
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(s)], [*keep, "score"])
 
     slim = docs.select(*keep)
-    return slim.mapInArrow(work, with_fields(slim.schema, score=T.DoubleType()))
+    return slim.mapInArrow(trimmed(work), with_fields(slim.schema, score=T.DoubleType()))
 
 
 def predictions(scored: DataFrame) -> DataFrame:

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from reelsim.llm.common import shuffle_partitions, store, with_fields
+from reelsim.llm.common import shuffle_partitions, store, trimmed, with_fields
 
 OVERHEAD = 16
 OVERFULL = 2.0
@@ -89,7 +89,7 @@ def with_range(df: DataFrame, splitters: list[Key]) -> DataFrame:
                 out[x] += np.searchsorted(b[low[x]:high[x]], k2[x], "right")
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out.astype(np.int32))], [*batch.schema.names, "_range"])
 
-    return df.mapInArrow(work, schema)
+    return df.mapInArrow(trimmed(work), schema)
 
 
 def exact_splitters(keys: DataFrame, shards: int, ranges: int) -> tuple[list[Key], list[tuple[int, int, int]]]:

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from reelsim.llm.common import drop, hot_limit, shuffle_partitions, split_join, store, with_fields
+from reelsim.llm.common import drop, hot_limit, shuffle_partitions, split_join, store, trimmed, with_fields
 from reelsim.llm.words import Words, chunks, grams, mix, text_bytes
 
 WINDOW = 35
@@ -91,7 +91,7 @@ def repeated_spans(docs: DataFrame, k: int = WINDOW, m: int = GRAM) -> DataFrame
                          pa.array(first.astype(np.int32)), pa.array(n.astype(np.int32))],
                         ["mini", "_id", "_h", "first", "n"])
 
-    found = store(slim.mapInArrow(scan, "mini long, _id long, _h long, first int, n int"), "super-k-mers")
+    found = store(slim.mapInArrow(trimmed(scan), "mini long, _id long, _h long, first int, n int"), "super-k-mers")
     total = found.count()
     again = found.groupBy("mini").agg(F.count("*").alias("seen")).filter("seen > 1")
     limit = hot_limit(total)
@@ -170,7 +170,7 @@ def repeated_spans(docs: DataFrame, k: int = WINDOW, m: int = GRAM) -> DataFrame
             if packed:
                 yield flush()
 
-    parts = texts.mapInArrow(pack, "bucket long, packed binary, _id long, _h long, first int, many boolean, n int, stay boolean")
+    parts = texts.mapInArrow(trimmed(pack), "bucket long, packed binary, _id long, _h long, first int, many boolean, n int, stay boolean")
     dealt = parts.repartition(n_parts, "bucket").sortWithinPartitions("bucket")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -218,7 +218,7 @@ def repeated_spans(docs: DataFrame, k: int = WINDOW, m: int = GRAM) -> DataFrame
             close()
         yield flush()
 
-    spans = dealt.mapInArrow(count, "_id long, _h long, first int, n int")
+    spans = dealt.mapInArrow(trimmed(count), "_id long, _h long, first int, n int")
     spans = store(spans.groupBy("_id", "_h").agg(F.collect_set(F.struct("first", "n")).alias("spans")), "spans")
     drop(per_doc)
     return spans
@@ -270,4 +270,4 @@ def remove_repeats(docs: DataFrame, k: int = WINDOW, m: int = GRAM, keep: tuple[
                 yield flush(len(b))
 
     schema = with_fields(docs.select(*cols).schema, n_words=T.LongType(), n_removed=T.LongType(), kept_text=T.StringType())
-    return both.mapInArrow(cut, schema)
+    return both.mapInArrow(trimmed(cut), schema)

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelsim.llm.common import shuffle_partitions, split_join, store
+from reelsim.llm.common import shuffle_partitions, split_join, store, trimmed
 from reelsim.llm.files import open_store, whole_file
 
 DEDUP_BYTES = 100
@@ -143,7 +143,7 @@ def normalise(spark: SparkSession, source: str, target: str) -> None:
 
     if n:
         # one task per file; the driver gets one row per file's sum
-        (files.repartition(min(n, 4 * shuffle_partitions(spark)), "path").mapInArrow(work, "archive string, records long")
+        (files.repartition(min(n, 4 * shuffle_partitions(spark)), "path").mapInArrow(trimmed(work), "archive string, records long")
               .agg(F.sum("records")).collect())
 
 
