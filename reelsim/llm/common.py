@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -69,13 +68,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
-def _tidy(spark: SparkSession) -> None:
-    """Shuffle files of finished jobs go when the driver's JVM collects what
-    refers to them, which it would do much later by itself."""
-    gc.collect()
-    spark._jvm.System.gc()
-
-
 def store(df: DataFrame, name: str) -> DataFrame:
     """Cut lineage: write ``df`` as Parquet in the shared checkpoint folder
     and read it back (columnar, readable after any executor is lost).  The
@@ -85,7 +77,6 @@ def store(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     schema = df.schema
     bound_batches(spark)
-    _tidy(spark)
     before = spark.conf.get(FREE_SHUFFLES, "false")
     spark.conf.set(FREE_SHUFFLES, "true")
     try:
