@@ -79,6 +79,8 @@ def resolve_titles(queries: DataFrame, titles: DataFrame, index: DataFrame, freq
             best = easy.groupBy(qid).agg(F.min(F.struct("tier", "row_id", "title_key")).alias("b"))
             return best.select(qid, "b.row_id", "b.tier", F.col("b.title_key").alias("matched_key"))
     rest = keep(rest)
+    # the gram index is only built when it is needed
+    index, freq = (x() if callable(x) else x for x in (index, freq))
 
     words = F.split(F.col("q"), r"(?U)\s+")
     k3 = rest.select(qid, F.flatten(F.transform(words, lambda w: query_grams(w, GRAM_LEN))).alias("grams"))

@@ -124,7 +124,7 @@ def filter_heads(catalog: DataFrame, filter_keys: DataFrame, m: int,
 def rank_with_padding(scored: DataFrame, queries: DataFrame, catalog: DataFrame, n: int,
                       qid: str = "query_id", exclude_col: str | None = None,
                       filter_col: str | None = None, exclude_masked: bool = True,
-                      bounded: bool | None = None) -> DataFrame:
+                      bounded: bool | None = None, filtered: bool = False) -> DataFrame:
     """Top ``n`` catalogue rows per query, padded with score-0 rows.
 
     Rows sharing no term with the query score 0 and still fill the list,
@@ -136,13 +136,15 @@ def rank_with_padding(scored: DataFrame, queries: DataFrame, catalog: DataFrame,
     to leave out) and ``filter_col`` (normalised genre regex or null; a
     request whose filter is no regex gets no rows).
     ``scored`` must already leave out excluded rows (see
-    :func:`cosine_scores`); with ``exclude_masked=False`` the excluded row
+    :func:`cosine_scores`); ``filtered`` says that it holds no row that a
+    genre filter leaves out; with ``exclude_masked=False`` the excluded row
     instead stays in the list with score -1 (notebook behaviour, V12).
     """
     qcols = [qid] + [c for c in (exclude_col, filter_col) if c]
     q = queries.select(*qcols)
     if filter_col:
         q = q.filter(pattern_valid(filter_col))
+    if filter_col and not filtered:
         # genre of each scored row; scored rows are the small side
         scored = (scored.join(maybe_broadcast(q.select(qid, filter_col), bounded), qid)
                         .join(catalog.select("row_id", "genre_src"), "row_id")

@@ -222,15 +222,18 @@ def q_title_suggestions(spark, sf):
 
 
 # ---- recommendations ---------------------------------------------------
+def _title_of_first(rec: Recommender) -> str:
+    return rec.catalog.select("row_id", "title").orderBy("row_id").first()["title"]
+
+
 def q_recommend_by_title(spark, sf):
     rec = _rec(spark, sf)
-    return _rec_out(rec.by_title(_first_title(rec), 5, bounded=True))
+    return _rec_out(rec.recommend_by_title(_title_of_first(rec)))
 
 
 def q_recommend_by_title_genre(spark, sf):
     rec = _rec(spark, sf)
-    q = _first_title(rec).withColumn("gf", F.lit(DEMO_GENRE_FILTER))
-    return _rec_out(rec.by_title(q, 5, filter_col="gf", bounded=True))
+    return _rec_out(rec.recommend_by_title(_title_of_first(rec), DEMO_GENRE_FILTER))
 
 
 def q_recommend_by_title_filters(spark, sf):
@@ -247,26 +250,33 @@ def q_recommend_many(spark, sf):
     return _rec_out(rec.by_title(_first_title(rec), 2000, bounded=True))
 
 
+def _asked(rec: Recommender) -> DataFrame:
+    """Requests of the batch searches: every row whose id is divisible by
+    20."""
+    return rec.catalog.filter(F.col("row_id") % 20 == 0)
+
+
+def _batch_by_title(rec: Recommender) -> DataFrame:
+    return rec.by_title(_asked(rec).select(F.col("row_id").alias(QID), F.col("title").alias("text")), 5, bounded=False)
+
+
 def q_recommend_batch(spark, sf):
-    rec = _rec(spark, sf)
-    return _rec_out(rec.by_title(evaluate.sample_queries(rec), 5, bounded=True))
+    return _rec_out(_batch_by_title(_rec(spark, sf)))
 
 
-def _sample_descriptions(rec: Recommender) -> DataFrame:
-    s = evaluate.eval_sample(rec.catalog).select(F.col("row_id").alias("rid"))
-    return (rec.catalog.join(s, rec.catalog.row_id == s.rid)
-               .select(F.col("row_id").alias(QID), F.col("description").alias("text")))
+def _asked_descriptions(rec: Recommender) -> DataFrame:
+    return _asked(rec).select(F.col("row_id").alias(QID), F.col("description").alias("text"))
 
 
 def q_recommend_by_description(spark, sf):
     rec = _rec(spark, sf)
-    return _rec_out(rec.by_description(_sample_descriptions(rec), 5, bounded=True))
+    return _rec_out(rec.by_description(_asked_descriptions(rec), 5, bounded=False))
 
 
 def q_recommend_by_description_genre(spark, sf):
     rec = _rec(spark, sf)
-    q = _sample_descriptions(rec).withColumn("gf", F.lit(DEMO_GENRE_FILTER))
-    return _rec_out(rec.by_description(q, 5, filter_col="gf", bounded=True))
+    q = _asked_descriptions(rec).withColumn("gf", F.lit(DEMO_GENRE_FILTER))
+    return _rec_out(rec.by_description(q, 5, filter_col="gf", bounded=False))
 
 
 def _fixed_query(rec: Recommender, text: str) -> DataFrame:
@@ -276,13 +286,11 @@ def _fixed_query(rec: Recommender, text: str) -> DataFrame:
 
 
 def q_recommend_by_description_unknown(spark, sf):
-    rec = _rec(spark, sf)
-    return _rec_out(rec.by_description(_fixed_query(rec, UNKNOWN_QUERY), 5, bounded=True))
+    return _rec_out(_rec(spark, sf).recommend_by_description(UNKNOWN_QUERY))
 
 
 def q_recommend_by_description_stopwords(spark, sf):
-    rec = _rec(spark, sf)
-    return _rec_out(rec.by_description(_fixed_query(rec, STOPWORD_QUERY), 5, bounded=True))
+    return _rec_out(_rec(spark, sf).recommend_by_description(STOPWORD_QUERY))
 
 
 def q_recommend_by_genre(spark, sf):
@@ -356,16 +364,22 @@ def _batch_results(spark, sf) -> DataFrame:
     return store_table(rec.by_title(evaluate.sample_queries(rec), 5, bounded=True), "eval_results")
 
 
+def _asked_results(spark, sf) -> DataFrame:
+    """Answers to every twentieth row, stored once."""
+    from reelsim.session import store_table
+    return store_table(_batch_by_title(_rec(spark, sf)), "batch_results")
+
+
 def q_result_cards(spark, sf):
-    return present.result_cards(_batch_results(spark, sf))
+    return present.result_cards(_asked_results(spark, sf))
 
 
 def q_score_table(spark, sf):
-    return present.score_table(_batch_results(spark, sf))
+    return present.score_table(_asked_results(spark, sf))
 
 
 def q_match_chart(spark, sf):
-    return present.match_chart(_batch_results(spark, sf))
+    return present.match_chart(_asked_results(spark, sf))
 
 
 # ---- round trips -----------------------------------------------------------

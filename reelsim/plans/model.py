@@ -13,11 +13,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from reelsim.functions.genres import genre_filter_key, pattern_valid
+from reelsim.functions.genres import ALL_GENRES, genre_filter_key, genre_matches, pattern_valid
 from reelsim.functions.text import clean_tokens, raw_tokens
-from reelsim.operators import browse, lookup, tfidf
-from reelsim.operators.similarity import (SCORE_DECIMALS, cosine_scores, maybe_broadcast,
-                                          rank_with_padding)
+from reelsim.operators import browse, impact, lookup, tfidf, tiles
+from reelsim.operators.similarity import SCORE_DECIMALS, maybe_broadcast, rank_with_padding
 from reelsim.plans.prepare import TextParams, prepare_catalog
 
 OUTPUT_COLUMNS = ("title", "description", "ratings", "genre", "expanded_genres")
@@ -44,6 +43,8 @@ class Recommender:
         self.titles = catalog.select("row_id", "title", "title_key", "name_only")
         self._index: DataFrame | None = None
         self._freq: DataFrame | None = None
+        self._tiles: tuple[DataFrame, DataFrame, DataFrame] | None = None
+        self._sizes: dict | None = None
         self._stored = False
         self._kept: list[DataFrame] = []
         self._requests: list[DataFrame] = []
@@ -70,6 +71,30 @@ class Recommender:
             self._freq = fr
         return self._freq
 
+    @property
+    def by_document(self) -> tuple[DataFrame, DataFrame, DataFrame]:
+        """``(term ids, genre ids, vectors)``: the model by document, built
+        on first use (stored when the model is)."""
+        if self._tiles is None:
+            ids, genres = tiles.term_ids(self.model.vocabulary), tiles.genre_ids(self.catalog)
+            make = tiles.store_vectors if self._stored else tiles.document_vectors
+            self._tiles = ids, genres, make(self.model.postings, self.catalog, ids, genres)
+        return self._tiles
+
+    @property
+    def blocks(self) -> DataFrame:
+        """Postings with the band and level of their block."""
+        if "level" in self.model.postings.columns:
+            return self.model.postings
+        return impact.with_blocks(self.model.postings, self.model.vocabulary)
+
+    @property
+    def block_sizes(self) -> dict:
+        """Rows and greatest weight per block, counted on first use."""
+        if self._sizes is None:
+            self._sizes = impact.block_sizes(self.blocks)
+        return self._sizes
+
     def _keep(self, df: DataFrame, bounded: bool | None = True) -> DataFrame:
         """Compute a per-request table once: cached in memory until
         :meth:`release` when the batch is known to be small, otherwise
@@ -153,14 +178,14 @@ class Recommender:
             self.model.vocabulary = store_table(self.model.vocabulary, "vocabulary")
             if self.model.vocabulary.isEmpty():
                 raise ValueError(f"no term occurs in {self.params.min_df} or more descriptions: nothing to fit")
-            self.model.postings = store_table(self.model.postings, "postings")
+            self.model.postings = store_table(self.blocks, "postings", ("band", "level"))
         finally:
             if tf is not None:
                 tf.unpersist()
                 self.model.term_counts = None
         self.model.n_docs = F.lit(self.catalog.count()).cast("long")
         self.titles = self.catalog.select("row_id", "title", "title_key", "name_only")
-        self._index = self._freq = None
+        self._index = self._freq = self._tiles = None
         self._stored = True
         return self
 
@@ -196,7 +221,7 @@ class Recommender:
     def resolve(self, queries: DataFrame, text_col: str = "text",
                 bounded: bool | None = None) -> DataFrame:
         """``(query_id, row_id, tier, matched_key)``."""
-        return lookup.resolve_titles(queries, self.titles, self.index, self.freq,
+        return lookup.resolve_titles(queries, self.titles, lambda: self.index, lambda: self.freq,
                                      QID, text_col, bounded,
                                      keep=lambda df: self._keep(df, bounded))
 
@@ -210,25 +235,29 @@ class Recommender:
 
     # ---- the query API -------------------------------------------------
     def by_title(self, queries: DataFrame, n: int = 5, text_col: str = "text",
-                 filter_col: str | None = None, bounded: bool | None = None,
-                 exclude_masked: bool = True) -> DataFrame:
+                 filter_col: str | None = None, bounded: bool | None = None) -> DataFrame:
         """Most similar rows to a title (V6): resolve, score against every
-        document, leave the movie itself out, optional genre regex, top n.
-        Unknown titles give no rows."""
+        document that the optional genre regex lets through, leave the movie
+        itself out, top n.  Unknown titles give no rows."""
         # one small row per query, read several ways below (exclusion,
         # filter, padding, query vectors): compute it once
         res = self._keep(self.resolve(queries, text_col, bounded), bounded)
-        q = res.select(QID, F.col("row_id").alias("_self"))
+        q = res.select(QID, F.col("row_id").alias("_self"), F.lit(None).cast("string").alias("_gf"))
         if filter_col:
-            q = q.join(queries.select(QID, genre_filter_key(F.col(filter_col)).alias("_gf")), QID)
-        qv = self.vectors_of_rows(res.select(QID, "row_id"), bounded, keep_self=True)
-        scored = cosine_scores(qv, self.model.postings, QID, bounded, exclude_col="_self",
-                               exclude_masked=exclude_masked)
+            q = q.drop("_gf").join(queries.select(QID, genre_filter_key(F.col(filter_col)).alias("_gf")), QID)
+        vectors = self.by_document[2].select(F.col("row_id").alias("_self"), "ids", "ws")
+        scored = self._scored(q.join(vectors, "_self"), n)
         ranked = rank_with_padding(scored, q, self.catalog, n, QID, exclude_col="_self",
-                                   filter_col="_gf" if filter_col else None,
-                                   exclude_masked=exclude_masked, bounded=bounded)
+                                   filter_col="_gf" if filter_col else None, bounded=bounded, filtered=True)
         return self._results(ranked, bounded=bounded)
 
+    def _scored(self, vectors: DataFrame, n: int) -> DataFrame:
+        """Top ``n`` scored rows per query vector, tile by tile."""
+        _, genres, docs = self.by_document
+        scored = tiles.tile_top_n(vectors, docs, genres, n, QID)
+        self._requests.append(scored)
+        return scored
+
     def by_description(self, queries: DataFrame, n: int = 5, text_col: str = "text",
                        filter_col: str | None = None, bounded: bool | None = None,
                        skip_empty: bool = True) -> DataFrame:
@@ -244,10 +273,12 @@ class Recommender:
             q = q.filter(F.size("_toks") > 0)
         docs = q.select(QID, tfidf.uni_bi_grams(F.col("_toks")).alias("terms"))
         qv = tfidf.transform(self.model, docs, "terms", QID)
-        scored = cosine_scores(qv, self.model.postings, QID, bounded)
-        qq = q.select(QID, *([genre_filter_key(F.col(filter_col)).alias("_gf")] if filter_col else []))
+        gf = genre_filter_key(F.col(filter_col)) if filter_col else F.lit(None).cast("string")
+        qq = q.select(QID, gf.alias("_gf"))
+        vectors = tiles.as_vectors(qv, self.by_document[0], QID).join(qq, QID)
+        scored = self._scored(vectors.withColumn("_self", F.lit(None).cast("long")), n)
         ranked = rank_with_padding(scored, qq, self.catalog, n, QID,
-                                   filter_col="_gf" if filter_col else None, bounded=bounded)
+                                   filter_col="_gf" if filter_col else None, bounded=bounded, filtered=True)
         return self._results(ranked, bounded=bounded)
 
     def by_genre(self, queries: DataFrame, n: int = 5, genre_col: str = "genre") -> DataFrame:
@@ -291,13 +322,44 @@ class Recommender:
         fields = [T.StructField(QID, T.LongType())] + [T.StructField(k, T.StringType()) for k in cols]
         return spark.createDataFrame([(0, *cols.values())], T.StructType(fields))
 
+    def _search(self, vector: DataFrame, genre_filter: str | None, n: int, own: int | None = None) -> DataFrame:
+        """One request over ``vector(term, w)``, reading only the blocks that
+        can matter (``operators.impact``)."""
+        bands = self.model.vocabulary.select("term", impact.band_of(F.col("df")).alias("band"))
+        # one request's terms: at most the vocabulary
+        terms = tuple((r["term"], r["band"], r["w"]) for r in vector.join(bands, "term").collect())
+        q = self._one(_gf=genre_filter).select(QID, F.lit(own).cast("long").alias("_self"), genre_filter_key("_gf").alias("_gf"))
+        filtered = genre_filter not in (None, "", ALL_GENRES)
+        ids, genres, vectors = self.by_document
+        allowed = None
+        if filtered:
+            # the pattern is tested on the distinct genre strings
+            pattern = self._one(p=genre_filter).select(genre_filter_key("p").alias("p")).filter(pattern_valid("p"))
+            met = genres.join(F.broadcast(pattern), genre_matches(F.col("genre_src"), F.col("p"))).select("genre_id")
+            allowed = vectors.select("row_id", "genre_id").join(met, "genre_id", "left_semi").select("row_id")
+        found = impact.search(impact.Request(terms), self.blocks, self.block_sizes, vectors, ids, n, own, allowed)
+        ranked = rank_with_padding(found.withColumn(QID, F.lit(0).cast("long")), q, self.catalog, n, QID,
+                                   exclude_col="_self" if own is not None else None,
+                                   filter_col="_gf" if filtered else None, bounded=True, filtered=True)
+        return self._results(ranked, bounded=True).orderBy("rank")
+
     def recommend_by_title(self, title: str, genre_filter: str | None = None, n: int = 5) -> DataFrame:
-        q = self._one(text=title, gf=genre_filter)
-        return self.by_title(q, n, filter_col="gf", bounded=True).orderBy("rank")
+        """One title (V6), by the pruned search."""
+        row = self.resolve(self._one(text=title), bounded=True).select("row_id").first()
+        if row is None:
+            return self.by_title(self._one(text=title).limit(0), n, bounded=True)
+        ids, _, vectors = self.by_document
+        own = vectors.filter(F.col("row_id") == row["row_id"]).select(F.explode(F.arrays_zip("ids", "ws")).alias("v"))
+        own = own.select(F.col("v.ids").alias("term_id"), F.col("v.ws").alias("w")).join(ids, "term_id")
+        return self._search(own.select("term", "w"), genre_filter, n, row["row_id"])
 
     def recommend_by_description(self, text: str, genre_filter: str | None = None, n: int = 5) -> DataFrame:
-        q = self._one(text=text, gf=genre_filter)
-        return self.by_description(q, n, filter_col="gf", bounded=True).orderBy("rank")
+        """One free text (V7), by the pruned search; blank text gives no rows."""
+        q = self._query_terms(self._one(text=text), "text").filter(F.size("_toks") > 0)
+        if q.isEmpty():
+            return self.by_description(self._one(text=text).limit(0), n, bounded=True)
+        docs = q.select(QID, tfidf.uni_bi_grams(F.col("_toks")).alias("terms"))
+        return self._search(tfidf.transform(self.model, docs, "terms", QID).select("term", "w"), genre_filter, n)
 
     def recommend_by_genre(self, genre: str, n: int = 5) -> DataFrame:
         return self.by_genre(self._one(genre=genre), n).orderBy("rank")

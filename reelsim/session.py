@@ -86,13 +86,13 @@ def cache_small(df: DataFrame) -> DataFrame:
     return df
 
 
-def store_table(df: DataFrame, name: str = "table") -> DataFrame:
+def store_table(df: DataFrame, name: str = "table", folders: tuple[str, ...] = ()) -> DataFrame:
     """Cut lineage by writing ``df`` as a Parquet table in the shared
     checkpoint folder and reading it back.  Unlike an RDD checkpoint the
     stored table is columnar: later scans read only the columns they use
-    and get filter pushdown."""
+    and get filter pushdown.  ``folders`` are partition columns."""
     path = scratch_path(df.sparkSession, name)
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").partitionBy(*folders).parquet(path)
     out = df.sparkSession.read.parquet(path)
     out._stored_path = path
     return out

@@ -1,7 +1,8 @@
 """Model store: Parquet tables instead of pickles.
 
 Layout under ``path``: catalog/, vocabulary/, postings/, model_meta/.
-``postings`` is written sorted within partitions by term so Parquet
+``postings`` has a folder per band of document frequency and level of weight
+(see ``operators.impact``), and is sorted by term within them so Parquet
 min/max statistics let a term filter skip row groups.
 """
 
@@ -22,8 +23,8 @@ def save_model(rec, path: str) -> str:
     cat = rec.catalog.drop("tokens") if "tokens" in rec.catalog.columns else rec.catalog
     cat.write.mode("overwrite").parquet(os.path.join(path, "catalog"))
     rec.model.vocabulary.write.mode("overwrite").parquet(os.path.join(path, "vocabulary"))
-    (rec.model.postings.sortWithinPartitions("term")
-        .write.mode("overwrite").parquet(os.path.join(path, "postings")))
+    (rec.blocks.sortWithinPartitions("band", "level", "term")
+        .write.mode("overwrite").partitionBy("band", "level").parquet(os.path.join(path, "postings")))
     params = asdict(rec.params)
     params["text"]["stop_words"] = list(params["text"]["stop_words"]) if params["text"]["stop_words"] else None
     params |= {"use_idf": rec.model.use_idf, "norm": rec.model.norm}
