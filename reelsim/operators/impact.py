@@ -109,30 +109,32 @@ def reading_order(bands: dict[int, tuple[float, float]], sizes: dict) -> list[tu
 
 
 def search(request: Request, blocks: DataFrame, sizes: dict, vectors: DataFrame, ids: DataFrame, n: int,
-           leave_out: int | None = None, allowed: DataFrame | None = None, first: float = FIRST_CEILING) -> DataFrame:
-    """``(row_id, score)`` of the documents that can be among the best ``n``
-    (all of those that are, with their exact scores).
+           leave_out: int | None = None, allowed: DataFrame | None = None, first: float = FIRST_CEILING) -> list[tuple[int, float]]:
+    """``(row_id, score)`` of the ``n`` (at most ``HELD``) best documents that
+    share a term with the request, best first, with their exact scores.
 
     ``blocks(row_id, term, w, band, level)``; ``vectors(row_id, ids, ws)``
     and ``ids(term, term_id)`` score the survivors; ``allowed(row_id)`` is
     joined before anything is scored.
     """
+    if n > HELD:
+        raise ValueError(f"a pruned search answers at most {HELD} rows")
     spark = blocks.sparkSession
-    bands = request.by_band()
-    order = reading_order(bands, sizes)
+    order = reading_order(request.by_band(), sizes)
     query = spark.createDataFrame([(t, w) for t, _, w in request.terms], "term string, _qw double")
     goal = first
     while True:
         read = len(order) if goal <= 0 else next((i for i, x in enumerate(order, 1) if x[2] <= goal), len(order))
         top = order[read - 1][2] if read else 0.0
         met = partial_scores(blocks, query, order[:read], leave_out, allowed)
-        best = met.orderBy(F.round("score", RANK_DECIMALS).desc(), F.col("row_id").desc()).limit(HELD + 1).collect()
-        nth = best[n - 1]["score"] if len(best) >= n else 0.0
+        found = [tuple(r) for r in met.orderBy(F.round("score", RANK_DECIMALS).desc(), F.col("row_id").desc()).limit(HELD + 1).collect()]
+        nth = found[n - 1][1] if 0 < n <= len(found) else 0.0
         if top <= 0:                              # everything is read
-            return spark.createDataFrame([(r["row_id"], r["score"]) for r in best[:max(n, 0)]], "row_id long, score double") if n <= HELD else met
-        near = [r["row_id"] for r in best if r["score"] + top >= nth - MARGIN]
+            return found[:n]
+        near = [row for row, score in found if score + top >= nth - MARGIN]
         if top < nth - MARGIN and len(near) <= HELD:
-            return full_scores(near, vectors, ids, query)
+            exact = full_scores(near, vectors, ids, query).collect()
+            return sorted(map(tuple, exact), key=lambda x: (-round(x[1], RANK_DECIMALS), -x[0]))[:n]
         goal = min(top / 2, nth - 2 * MARGIN) if nth > 2 * MARGIN else 0.0
 
 
@@ -156,7 +158,7 @@ def partial_scores(blocks: DataFrame, query: DataFrame, read: list, leave_out: i
 def full_scores(rows: list[int], vectors: DataFrame, ids: DataFrame, query: DataFrame) -> DataFrame:
     """Exact scores of at most ``HELD`` rows; vectors are stored in the order
     of rows, so the literal filter skips most row groups."""
-    known = query.join(ids, "term").select("term_id", "_qw")
+    known = query.join(ids.select("term", "term_id"), "term").select("term_id", "_qw")
     some = vectors.filter(F.col("row_id").isin(rows)).select("row_id", F.explode(F.arrays_zip("ids", "ws")).alias("v"))
     some = some.select("row_id", F.col("v.ids").alias("term_id"), F.col("v.ws").alias("w"))
     return some.join(F.broadcast(known), "term_id").groupBy("row_id").agg(F.sum(F.col("w") * F.col("_qw")).alias("score"))

@@ -8,8 +8,10 @@ Model tables:
 Plan shape of :func:`fit`: documents are hash-partitioned on ``row_id``
 once; term counts (group by row_id, term) and the per-document norm reuse
 that partitioning, so the only other shuffle is the partial-aggregated
-document-frequency count on ``term``.  The vocabulary is capped by
-``max_features`` -- a proven bound -- and is broadcast to weigh postings.
+document-frequency count on ``term``.  Two passes: the vocabulary first, then
+the counts of its terms alone, so the counts of all terms are never kept.
+The vocabulary is capped by ``max_features`` -- a proven bound -- and is
+broadcast to weigh postings; without a cap it is joined as the planner sees fit.
 """
 
 from __future__ import annotations
@@ -24,9 +26,6 @@ from reelsim.functions.text import uni_bi_grams
 
 MAX_FEATURES = 20_000
 MIN_DF = 2
-# Above this many rows in the final top-k merge (shuffle partitions x
-# max_features) the vocabulary cut first filters by an exact cf threshold.
-TOPK_MERGE_ROWS = 5_000_000
 
 
 @dataclass
@@ -37,7 +36,7 @@ class TfidfModel:
     sublinear_tf: bool = True
     use_idf: bool = True
     norm: bool = True
-    term_counts: DataFrame | None = None   # (row_id, term, tf) the model was built from
+    weigh: Callable[[DataFrame], DataFrame] | None = None   # postings from a (stored) vocabulary
 
     def persist(self) -> "TfidfModel":
         self.vocabulary = self.vocabulary.persist()
@@ -65,20 +64,19 @@ def select_vocabulary(tf: DataFrame, min_df: int = MIN_DF,
                .filter(F.col("df") >= min_df))
     if max_features is None:
         return stats
-    parts = int(tf.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    if parts * max_features > TOPK_MERGE_ROWS:
-        # Exact pre-filter before the top-k: the cf of the max_features-th
-        # term is the largest cf whose running count of terms (from the top)
-        # reaches max_features.  Only terms at or above it can be in the
-        # vocabulary, so the final top-k merges ~max_features rows instead of
-        # partitions x max_features.  The running count is over distinct cf
-        # values, a small table.
-        per_cf = stats.groupBy("cf").agg(F.count(F.lit(1)).alias("_n"))
-        running = F.sum("_n").over(Window.orderBy(F.desc("cf"))
-                                   .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        cut = (per_cf.withColumn("_cum", running).filter(F.col("_cum") >= max_features)
-                     .agg(F.max("cf")).scalar())
-        stats = stats.filter(F.col("cf") >= F.coalesce(cut, F.lit(0)))
+    # Exact filter before the top-k: the cf of the max_features-th term is
+    # the largest cf whose running count of terms (from the top) reaches
+    # max_features.  Only terms at or above it can be in the vocabulary, so
+    # the top-k merges about max_features rows instead of partitions x
+    # max_features.  The running count goes over the distinct cf values; as
+    # they sum to at most the number of tokens T, there are fewer than
+    # sqrt(2 T) of them.
+    per_cf = stats.groupBy("cf").agg(F.count(F.lit(1)).alias("_n"))
+    running = F.sum("_n").over(Window.orderBy(F.desc("cf"))
+                               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    cut = (per_cf.withColumn("_cum", running).filter(F.col("_cum") >= max_features)
+                 .agg(F.max("cf")).scalar())
+    stats = stats.filter(F.col("cf") >= F.coalesce(cut, F.lit(0)))
     return stats.orderBy(F.desc("cf"), F.asc("term")).limit(max_features)
 
 
@@ -93,9 +91,10 @@ def tf_weight(tf: Column, sublinear: bool = True) -> Column:
 
 
 def _weigh(tf: DataFrame, vocabulary: DataFrame, sublinear: bool, use_idf: bool,
-           norm: bool, id_col: str) -> DataFrame:
-    # vocabulary has at most max_features rows: broadcast is size-bounded
-    joined = tf.join(F.broadcast(vocabulary.select("term", "idf")), "term")
+           norm: bool, id_col: str, capped: bool = False) -> DataFrame:
+    # a capped vocabulary has at most max_features rows: broadcast is size-bounded
+    known = vocabulary.select("term", "idf")
+    joined = tf.join(F.broadcast(known) if capped else known, "term")
     raw = tf_weight(F.col("tf"), sublinear) * (F.col("idf") if use_idf else F.lit(1.0))
     joined = joined.withColumn("_raw", raw)
     if norm:
@@ -131,8 +130,16 @@ def fit(docs: DataFrame, terms_col: str = "terms", min_df: int = MIN_DF,
     vocab = select_vocabulary(tf, min_df, max_features)
     vocab = vocab.withColumn("idf", smooth_idf(F.col("df"), n_docs)) if use_idf \
         else vocab.withColumn("idf", F.lit(1.0))
-    postings = _weigh(tf, vocab, sublinear_tf, use_idf, norm, id_col)
-    return TfidfModel(vocab, postings, n_docs, sublinear_tf, use_idf, norm, term_counts=tf)
+
+    def weigh(vocabulary: DataFrame) -> DataFrame:
+        # at most max_features rows; without that cap the planner decides
+        known = vocabulary.select("term")
+        known = F.broadcast(known) if max_features else known
+        kept = (docs.select(id_col, F.explode(terms_col).alias("term")).join(known, "term", "left_semi")
+                    .groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf")))
+        return _weigh(kept, vocabulary, sublinear_tf, use_idf, norm, id_col, bool(max_features))
+
+    return TfidfModel(vocab, weigh(vocab), n_docs, sublinear_tf, use_idf, norm, weigh=weigh)
 
 
 def bag_of_words(model: TfidfModel) -> TfidfModel:
@@ -144,6 +151,19 @@ def bag_of_words(model: TfidfModel) -> TfidfModel:
                       model.n_docs, sublinear_tf=False, use_idf=False, norm=False)
 
 
+def top_terms(postings: DataFrame, k: int) -> DataFrame:
+    """``(row_id, kind, rank, term, value)``: every document's ``k`` terms of
+    the largest count (``bow``) and of the largest weight (``tfidf``), ties
+    by term (T4, V16).  One fold per document, over its own terms, gives
+    both lists, so the postings are shuffled once."""
+    both = postings.groupBy("row_id").agg(
+        F.collect_list(F.struct((-F.col("tf")).alias("by"), "term", F.col("tf").cast("double").alias("value"))).alias("bow"),
+        F.collect_list(F.struct((-F.round("w", 9)).alias("by"), "term", F.round("w", 6).alias("value"))).alias("tfidf"))
+    head = lambda c: F.transform(F.slice(F.sort_array(c), 1, k), lambda x, i: F.struct(
+        F.lit(c).alias("kind"), (i + 1).alias("rank"), x["term"].alias("term"), x["value"].alias("value")))
+    return both.select("row_id", F.inline(F.concat(head("bow"), head("tfidf"))))
+
+
 def transform(model: TfidfModel, docs: DataFrame, terms_col: str = "terms",
               id_col: str = "query_id") -> DataFrame:
     """Weigh new documents (queries) with a fitted vocabulary (V4):

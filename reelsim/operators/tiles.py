@@ -40,8 +40,9 @@ VECTOR = "row_id long, genre_id long, ids array<int>, ws array<double>"
 
 
 def term_ids(vocabulary: DataFrame) -> DataFrame:
-    """``(term, term_id)``: dense numbers in the order of the terms."""
-    return dense_index(vocabulary.select("term"), ["term"], "term_id").select("term", F.col("term_id").cast("int").alias("term_id"))
+    """``(term, df, term_id)``: dense numbers in the order of the terms."""
+    numbered = dense_index(vocabulary.select("term", "df"), ["term"], "term_id")
+    return numbered.withColumn("term_id", F.col("term_id").cast("int"))
 
 
 def genre_ids(catalog: DataFrame) -> DataFrame:
@@ -53,7 +54,7 @@ def genre_ids(catalog: DataFrame) -> DataFrame:
 def as_vectors(weights: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     """``(key, ids, ws)``: one row of ascending term numbers and weights per
     key, at most the vocabulary's size; from ``weights(key, term, w)``."""
-    rows = weights.select(key, "term", "w").join(ids, "term")
+    rows = weights.select(key, "term", "w").join(ids.select("term", "term_id"), "term")
     one = rows.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("term_id", "w"))).alias("v"))
     return one.select(key, F.col("v.term_id").alias("ids"), F.col("v.w").alias("ws"))
 

@@ -179,17 +179,7 @@ def q_raw_tfidf_weights(spark, sf):
 
 
 def q_top_terms_bow_vs_tfidf(spark, sf):
-    from pyspark.sql import Window
-    rec = _rec(spark, sf, dedupe=False)
-    p = rec.model.postings
-    wb = Window.partitionBy("row_id").orderBy(F.desc("tf"), "term")
-    wt = Window.partitionBy("row_id").orderBy(F.round("w", 9).desc(), "term")
-    bow = p.select("row_id", F.lit("bow").alias("kind"), F.row_number().over(wb).alias("rank"),
-                   "term", F.col("tf").cast("double").alias("value"))
-    tfi = p.select("row_id", F.lit("tfidf").alias("kind"), F.row_number().over(wt).alias("rank"),
-                   "term", F.round("w", 6).alias("value"))
-    out = bow.filter("rank <= 10").unionByName(tfi.filter("rank <= 10"))
-    return _long(out, "rank")
+    return _long(tfidf.top_terms(_rec(spark, sf, dedupe=False).model.postings, 10), "rank")
 
 
 # ---- lookup ------------------------------------------------------------

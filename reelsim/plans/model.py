@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from reelsim.functions.genres import ALL_GENRES, genre_filter_key, genre_matches, pattern_valid
 from reelsim.functions.text import clean_tokens, raw_tokens
+from reelsim.functions.titles import normalise_query
 from reelsim.operators import browse, impact, lookup, tfidf, tiles
 from reelsim.operators.similarity import SCORE_DECIMALS, maybe_broadcast, rank_with_padding
 from reelsim.plans.prepare import TextParams, prepare_catalog
@@ -169,24 +170,18 @@ class Recommender:
 
     def _store_model(self) -> "Recommender":
         from reelsim.session import store_table
-        # term counts feed both the vocabulary and the postings: keep them
-        # (memory, spilling to disk) while both are written, then drop them
-        tf = self.model.term_counts
-        if tf is not None:
-            tf.persist()
-        try:
-            self.model.vocabulary = store_table(self.model.vocabulary, "vocabulary")
-            if self.model.vocabulary.isEmpty():
-                raise ValueError(f"no term occurs in {self.params.min_df} or more descriptions: nothing to fit")
-            self.model.postings = store_table(self.blocks, "postings", ("band", "level"))
-        finally:
-            if tf is not None:
-                tf.unpersist()
-                self.model.term_counts = None
+        self.model.vocabulary = store_table(self.model.vocabulary, "vocabulary")
+        if self.model.vocabulary.isEmpty():
+            raise ValueError(f"no term occurs in {self.params.min_df} or more descriptions: nothing to fit")
+        # weighed by the stored vocabulary: its terms alone are counted again
+        self.model.postings = self.model.weigh(self.model.vocabulary) if self.model.weigh else self.model.postings
+        self.model.postings = store_table(self.blocks, "postings", ("band", "level"))
+        self.model.weigh = None
         self.model.n_docs = F.lit(self.catalog.count()).cast("long")
         self.titles = self.catalog.select("row_id", "title", "title_key", "name_only")
-        self._index = self._freq = self._tiles = None
+        self._index = self._freq = self._tiles = self._sizes = None
         self._stored = True
+        _ = self.by_document, self.block_sizes
         return self
 
     def save(self, path: str) -> str:
@@ -211,8 +206,8 @@ class Recommender:
         return queries.withColumn("_toks", toks)
 
     def _results(self, ranked: DataFrame, score_col: str = "similarity_score",
-                 bounded: bool | None = None) -> DataFrame:
-        cat = self.catalog.select("row_id", *OUTPUT_COLUMNS)
+                 bounded: bool | None = None, catalog: DataFrame | None = None) -> DataFrame:
+        cat = (self.catalog if catalog is None else catalog).select("row_id", *OUTPUT_COLUMNS)
         # ranked holds n rows per query: the small side
         out = cat.join(F.broadcast(ranked) if bounded else ranked, "row_id")
         return out.select(QID, "rank", "row_id", *OUTPUT_COLUMNS,
@@ -323,43 +318,58 @@ class Recommender:
         return spark.createDataFrame([(0, *cols.values())], T.StructType(fields))
 
     def _search(self, vector: DataFrame, genre_filter: str | None, n: int, own: int | None = None) -> DataFrame:
-        """One request over ``vector(term, w)``, reading only the blocks that
-        can matter (``operators.impact``)."""
-        bands = self.model.vocabulary.select("term", impact.band_of(F.col("df")).alias("band"))
+        """One request over ``vector(term, df, w)``, reading only the blocks
+        that can matter (``operators.impact``); the list is filled up with
+        the highest rows of score 0, as in a batch."""
         # one request's terms: at most the vocabulary
-        terms = tuple((r["term"], r["band"], r["w"]) for r in vector.join(bands, "term").collect())
-        q = self._one(_gf=genre_filter).select(QID, F.lit(own).cast("long").alias("_self"), genre_filter_key("_gf").alias("_gf"))
-        filtered = genre_filter not in (None, "", ALL_GENRES)
+        terms = vector.select("term", impact.band_of(F.col("df")).alias("band"), "w").collect()
         ids, genres, vectors = self.by_document
         allowed = None
-        if filtered:
+        if genre_filter not in (None, "", ALL_GENRES):
             # the pattern is tested on the distinct genre strings
             pattern = self._one(p=genre_filter).select(genre_filter_key("p").alias("p")).filter(pattern_valid("p"))
             met = genres.join(F.broadcast(pattern), genre_matches(F.col("genre_src"), F.col("p"))).select("genre_id")
             allowed = vectors.select("row_id", "genre_id").join(met, "genre_id", "left_semi").select("row_id")
-        found = impact.search(impact.Request(terms), self.blocks, self.block_sizes, vectors, ids, n, own, allowed)
-        ranked = rank_with_padding(found.withColumn(QID, F.lit(0).cast("long")), q, self.catalog, n, QID,
-                                   exclude_col="_self" if own is not None else None,
-                                   filter_col="_gf" if filtered else None, bounded=True, filtered=True)
-        return self._results(ranked, bounded=True).orderBy("rank")
+        found = impact.search(impact.Request(tuple(map(tuple, terms))), self.blocks, self.block_sizes, vectors, ids, n, own, allowed)
+        if len(found) < n:
+            rows = allowed if allowed is not None else self.catalog.select("row_id")
+            met = {row for row, _ in found} | {own}
+            fill = [r["row_id"] for r in rows.orderBy(F.desc("row_id")).limit(n + 1).collect() if r["row_id"] not in met]
+            found += [(row, 0.0) for row in fill[:n - len(found)]]
+        ranked = self.catalog.sparkSession.createDataFrame([(0, i, row, score) for i, (row, score) in enumerate(found, 1)],
+                                                           f"{QID} long, rank int, row_id long, score double")
+        some = self.catalog.filter(F.col("row_id").isin([row for row, _ in found]))
+        return self._results(ranked, bounded=True, catalog=some).orderBy("rank")
+
+    def _resolve_one(self, title: str) -> int | None:
+        """The row of one title: an exact key or name by a filter that
+        reaches the scan, else by the tiers."""
+        key = normalise_query(F.lit(title))
+        exact = self.titles.filter((key != "") & ((F.col("title_key") == key) | (F.col("name_only") == key)))
+        tier = F.when(F.col("title_key") == key, 1).otherwise(2)
+        row = exact.agg(F.min(F.struct(tier.alias("tier"), "row_id")).alias("b")).first()["b"]
+        row = row or self.resolve(self._one(text=title), bounded=True).select("row_id").first()
+        return row["row_id"] if row else None
 
     def recommend_by_title(self, title: str, genre_filter: str | None = None, n: int = 5) -> DataFrame:
-        """One title (V6), by the pruned search."""
-        row = self.resolve(self._one(text=title), bounded=True).select("row_id").first()
+        """One title (V6), by the pruned search.  Lists longer than that
+        holds, and unknown titles, are a batch of one."""
+        row = self._resolve_one(title) if n <= impact.HELD else None
         if row is None:
-            return self.by_title(self._one(text=title).limit(0), n, bounded=True)
+            return self.by_title(self._one(text=title, gf=genre_filter), n, filter_col="gf", bounded=True).orderBy("rank")
         ids, _, vectors = self.by_document
-        own = vectors.filter(F.col("row_id") == row["row_id"]).select(F.explode(F.arrays_zip("ids", "ws")).alias("v"))
+        own = vectors.filter(F.col("row_id") == row).select(F.explode(F.arrays_zip("ids", "ws")).alias("v"))
         own = own.select(F.col("v.ids").alias("term_id"), F.col("v.ws").alias("w")).join(ids, "term_id")
-        return self._search(own.select("term", "w"), genre_filter, n, row["row_id"])
+        return self._search(own, genre_filter, n, row)
 
     def recommend_by_description(self, text: str, genre_filter: str | None = None, n: int = 5) -> DataFrame:
         """One free text (V7), by the pruned search; blank text gives no rows."""
-        q = self._query_terms(self._one(text=text), "text").filter(F.size("_toks") > 0)
-        if q.isEmpty():
-            return self.by_description(self._one(text=text).limit(0), n, bounded=True)
+        q = self._query_terms(self._one(text=text, gf=genre_filter), "text").filter(F.size("_toks") > 0)
+        if n > impact.HELD or q.isEmpty():
+            return self.by_description(self._one(text=text, gf=genre_filter), n, filter_col="gf", bounded=True).orderBy("rank")
         docs = q.select(QID, tfidf.uni_bi_grams(F.col("_toks")).alias("terms"))
-        return self._search(tfidf.transform(self.model, docs, "terms", QID).select("term", "w"), genre_filter, n)
+        vector = tfidf.transform(self.model, docs, "terms", QID).join(self.model.vocabulary.select("term", "df"), "term")
+        return self._search(vector, genre_filter, n)
 
     def recommend_by_genre(self, genre: str, n: int = 5) -> DataFrame:
         return self.by_genre(self._one(genre=genre), n).orderBy("rank")
