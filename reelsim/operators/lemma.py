@@ -2,26 +2,33 @@
 
 For a lexicon too large for a literal map (``clean_tokens(lexicon=...)``),
 tokens are exploded with their positions, joined with ``lexicon(form,
-lemma)`` and put back in order per document.  The lexicon is broadcast
-only behind a row-count check; the regrouping is per document, so no
-group is larger than one document's own token array.
+lemma)`` and put back in order per document.  The planner broadcasts the
+lexicon if its statistics allow, and splits hot forms otherwise; the
+regrouping is per document, so no group is larger than one document's own
+token array.
+
+:func:`noun_lemmas` makes such a lexicon from a table of known lemmas by
+detaching noun endings, for the distinct forms of a corpus.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reelsim.operators.similarity import maybe_broadcast
+from reelsim.session import store_table
 
-LEXICON_BROADCAST_ROWS = 2_000_000
+# The noun endings of the public WordNet morphology and what
+# takes their place.
+NOUN_ENDINGS = (("s", ""), ("ses", "s"), ("ves", "f"), ("xes", "x"), ("zes", "z"), ("ches", "ch"), ("shes", "sh"), ("men", "man"), ("ies", "y"))
 
 
 def lemmatise_with_table(df: DataFrame, lexicon: DataFrame, tokens_col: str = "tokens",
                          id_col: str = "row_id") -> DataFrame:
     """Replace every token by its lemma (forms not in the lexicon stay)."""
     lex = lexicon.groupBy("form").agg(F.min("lemma").alias("lemma"))   # one lemma per form
-    lex = maybe_broadcast(lex, None, LEXICON_BROADCAST_ROWS)
     ex = df.select(id_col, F.posexplode(tokens_col).alias("_pos", "form"))
     mapped = ex.join(lex, "form", "left").select(
         id_col, "_pos", F.coalesce(F.col("lemma"), F.col("form")).alias("_tok"))
@@ -30,3 +37,53 @@ def lemmatise_with_table(df: DataFrame, lexicon: DataFrame, tokens_col: str = "t
                   .select(id_col, F.transform("_p", lambda s: s["_tok"]).alias(tokens_col)))
     out = df.drop(tokens_col).join(back, id_col, "left")
     return out.withColumn(tokens_col, F.coalesce(F.col(tokens_col), F.array().cast("array<string>")))
+
+
+def detached(form: Column) -> Column:
+    """The forms that taking off one noun ending gives, shortest ending
+    first; [] if none fits."""
+    forms = [F.when(form.endswith(a), F.concat(F.left(form, F.length(form) - len(a)), F.lit(b))) for a, b in NOUN_ENDINGS]
+    return F.array_compact(F.array(*forms))
+
+
+def noun_lemmas(forms: DataFrame, lemmas: DataFrame, exceptions: DataFrame | None = None) -> DataFrame:
+    """``(form, lemma)`` for those of ``forms(form)`` that have a lemma.
+
+    ``lemmas(lemma)`` are the known words, ``exceptions(form, lemma)`` the
+    irregular ones.  A listed form takes the shortest known word among itself
+    and its entries.  Any other takes the shortest known word among itself
+    and what detaching one ending gives; if there is none, endings are
+    detached again until something is known or nothing fits (ties: smaller
+    text).  Forms without a known word have no row and stay as they are.
+    The work goes over distinct forms, and rounds over those still unknown.
+    """
+    known = lemmas.select(F.col("lemma").alias("_known")).filter("_known != ''").distinct()
+    forms = forms.select("form").filter(F.col("form").isNotNull()).distinct()
+    none = F.array().cast("array<string>")
+    if exceptions is None:
+        left = forms.withColumn("listed", none)
+    else:
+        entries = exceptions.filter("form is not null and lemma is not null").groupBy("form").agg(F.collect_set("lemma").alias("listed"))
+        left = forms.join(entries, "form", "left").withColumn("listed", F.coalesce("listed", none))
+    irregular = F.size("listed") > 0
+    # first itself and one step; then one step more at a time
+    todo = left.select("form", F.when(irregular, none).otherwise(detached(F.col("form"))).alias("next"), "listed")
+    todo = todo.withColumn("try", F.concat(F.array("form"), "listed", "next")).select("form", "next", "try")
+    found = []
+    while True:
+        tried = todo.select("form", F.explode("try").alias("_try")).join(known, F.col("_try") == F.col("_known"))
+        best = tried.groupBy("form").agg(F.min(F.struct(F.length("_try").alias("n"), F.col("_try").alias("lemma"))).alias("b"))
+        found.append(best.select("form", "b.lemma"))
+        todo = todo.join(best.select("form"), "form", "left_anti")
+        step = F.array_distinct(F.flatten(F.transform("next", detached)))
+        todo = todo.select("form", step.alias("next")).filter(F.size("next") > 0).withColumn("try", F.col("next"))
+        todo = store_table(todo, "lemma_forms")
+        if todo.isEmpty():
+            return reduce(DataFrame.unionByName, found)
+
+
+def lemmatise_nouns(df: DataFrame, lemmas: DataFrame, exceptions: DataFrame | None = None, tokens_col: str = "tokens",
+                    id_col: str = "row_id") -> DataFrame:
+    """Replace every token by its noun lemma (see :func:`noun_lemmas`)."""
+    forms = df.select(F.explode(tokens_col).alias("form"))
+    return lemmatise_with_table(df, noun_lemmas(forms, lemmas, exceptions), tokens_col, id_col)

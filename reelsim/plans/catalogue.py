@@ -19,12 +19,12 @@ from reelsim.functions.text import bigrams, clean_text, word_count
 from reelsim.functions.titles import display_with_year, year
 from reelsim.operators import browse, tfidf
 from reelsim.operators.dedupe import keep_first
-from reelsim.operators.lemma import lemmatise_with_table
+from reelsim.operators.lemma import lemmatise_nouns, lemmatise_with_table
 from reelsim.operators.lookup import resolve_exact
 from reelsim.operators.profile import duplicate_count, histogram, null_counts
 from reelsim.plans import evaluate, present
 from reelsim.plans.model import QID, ModelParams, Recommender
-from reelsim.plans.prepare import TextParams, lineage
+from reelsim.plans.prepare import TextParams
 from reelsim.session import scratch_path
 from reelsim.sources import catalog_io
 from reelsim.sources.tables import films
@@ -87,7 +87,7 @@ def q_duplicate_titles(spark, sf):
 
 
 def q_prep_lineage(spark, sf):
-    return _long(lineage(films(spark, sf)), "rows_raw", "dropped_null_description",
+    return _long(_rec(spark, sf).lineage(films(spark, sf)), "rows_raw", "dropped_null_description",
                  "dropped_duplicates", "dropped_blank_text", "rows_retained")
 
 
@@ -117,6 +117,18 @@ def q_lemmatised_by_table(spark, sf):
     return c.select("row_id", F.array_join("tokens", " ").alias("clean_description"))
 
 
+def q_lemmatised_nouns(spark, sf):
+    """Plurals to singulars (J9): the lexicon is derived from the catalogue
+    (words of two rows at least that do not end in s), irregular forms come
+    from the demo table."""
+    c = _rec(spark, sf).catalog.select("row_id", "tokens")
+    words = c.select(F.explode(F.array_distinct("tokens")).alias("lemma")).filter(~F.col("lemma").endswith("s"))
+    lemmas = words.groupBy("lemma").agg(F.count(F.lit(1)).alias("n")).filter("n >= 2")
+    exceptions = spark.createDataFrame(sorted(DEMO_LEXICON.items()), "form string, lemma string")
+    out = lemmatise_nouns(c, lemmas, exceptions)
+    return out.select("row_id", F.array_join("tokens", " ").alias("clean_description"))
+
+
 def q_desc_length_stats(spark, sf):
     wc = films(spark, sf).select(word_count("description").alias("n"))
     return wc.agg(F.count("n").alias("n_described"), F.round(F.avg("n"), 6).alias("avg_words"),

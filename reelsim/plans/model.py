@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,7 +18,7 @@ from reelsim.functions.text import clean_tokens, raw_tokens
 from reelsim.functions.titles import normalise_query
 from reelsim.operators import browse, impact, lookup, tfidf, tiles
 from reelsim.operators.similarity import SCORE_DECIMALS, maybe_broadcast, rank_with_padding
-from reelsim.plans.prepare import TextParams, prepare_catalog
+from reelsim.plans.prepare import TextParams, lineage, prepare_catalog
 
 OUTPUT_COLUMNS = ("title", "description", "ratings", "genre", "expanded_genres")
 QID = "query_id"
@@ -46,6 +46,7 @@ class Recommender:
         self._freq: DataFrame | None = None
         self._tiles: tuple[DataFrame, DataFrame, DataFrame] | None = None
         self._sizes: dict | None = None
+        self._prepared: dict | None = None
         self._stored = False
         self._kept: list[DataFrame] = []
         self._requests: list[DataFrame] = []
@@ -130,7 +131,8 @@ class Recommender:
         tables and title index: the text pipeline runs once.
         """
         params = params or ModelParams()
-        catalog = prepare_catalog(films, params.text, dedupe=dedupe)
+        seen = Observation("prepared") if materialize else None
+        catalog = prepare_catalog(films, params.text, dedupe=dedupe, seen=seen)
         n_docs = None
         if materialize:
             from reelsim.session import store_table
@@ -146,7 +148,17 @@ class Recommender:
                           params.sublinear_tf, num_partitions=params.num_partitions,
                           to_terms=to_terms, n_docs=n_docs)
         rec = cls(catalog, model, params)
-        return rec._store_model() if materialize else rec
+        if not materialize:
+            return rec
+        rec._prepared = seen.get
+        return rec._store_model()
+
+    def lineage(self, films: DataFrame) -> DataFrame:
+        """Rows per preparation step (A19) of a model fitted on ``films``
+        with ``materialize=True``."""
+        if self._prepared is None:
+            raise ValueError("the steps are counted while a fit is stored: fit with materialize=True")
+        return lineage(films, self._prepared["deduped"], self._prepared["kept"] or 0)
 
     def persist(self) -> "Recommender":
         """Keep the model tables in executor memory (spilling to disk);

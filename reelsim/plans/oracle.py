@@ -11,6 +11,7 @@ closed-form ILS) against the definitions.
 from __future__ import annotations
 
 from reelsim.functions.text import default_stop_words
+from reelsim.operators.lemma import NOUN_ENDINGS
 from reelsim.plans import catalogue as C
 
 
@@ -229,6 +230,31 @@ HIST_OUT = ("SELECT CAST(e.bin AS BIGINT) AS bin, round(e.lo, 6) AS lo, round(e.
 WORDS = "CASE WHEN description IS NOT NULL THEN len(regexp_extract_all(description, '\\S+')) END"
 
 
+def _with_recursive(text: str) -> str:
+    return text.replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+def _noun_lemmas() -> list[str]:
+    """Every chain of detached noun endings, then the first step that meets a
+    known word (the form itself and one step count as one)."""
+    steps = " UNION ALL ".join(f"""SELECT form, left(t, length(t) - {len(a)}) || {_lit(b)} AS t, step + 1 AS step FROM chain
+        WHERE ends_with(t, {_lit(a)})""" for a, b in NOUN_ENDINGS)
+    listed = ", ".join(f"({_lit(k)}, {_lit(v)})" for k, v in sorted(C.DEMO_LEXICON.items()))
+    return [
+        "spot AS (SELECT row_id, i, tokens[i] AS token FROM (SELECT row_id, tokens, unnest(range(1, len(tokens) + 1)) AS i FROM catalog))",
+        """known AS (SELECT token AS t FROM spot WHERE NOT ends_with(token, 's') GROUP BY token
+                     HAVING count(DISTINCT row_id) >= 2)""",
+        f"listed(form, t) AS (VALUES {listed})",
+        "forms AS (SELECT DISTINCT token AS form FROM spot)",
+        f"""chain AS (SELECT form, form AS t, 0 AS step FROM forms WHERE form NOT IN (SELECT form FROM listed)
+                      UNION ALL SELECT * FROM ({steps}))""",
+        """tries AS (SELECT form, t, greatest(step, 1) AS step FROM chain
+                     UNION ALL SELECT form, t, 1 FROM listed UNION ALL SELECT form, form, 1 FROM listed)""",
+        """lemma_of AS (SELECT form, t AS lemma FROM (SELECT DISTINCT form, t, step FROM tries JOIN known USING (t))
+                        QUALIFY row_number() OVER (PARTITION BY form ORDER BY step, length(t), t) = 1)""",
+    ]
+
+
 def _weights_out() -> str:
     return "SELECT row_id, term, tf, round(w, 6) AS w FROM postings"
 
@@ -292,6 +318,9 @@ def oracle_sql() -> dict[str, str]:
             array_to_string({CLEAN('description')}, ' ') AS clean_description FROM films"""),
         "lemmatised_tokens": sql(lexicon=C.DEMO_LEXICON, final="SELECT row_id, clean_description FROM catalog"),
         "lemmatised_by_table": sql(lexicon=C.DEMO_LEXICON, final="SELECT row_id, clean_description FROM catalog"),
+        "lemmatised_nouns": _with_recursive(sql(*_noun_lemmas(), final="""SELECT row_id,
+            array_to_string(list_transform(list_sort(list({'i': i, 't': coalesce(lemma, token)})), lambda x: x.t), ' ') AS clean_description
+            FROM spot LEFT JOIN lemma_of ON lemma_of.form = spot.token GROUP BY row_id""")),
         "csv_split_load": sql(final=f"""SELECT row_number() OVER (ORDER BY row_id % 5 = 4, row_id) - 1 AS row_id,
             {films_cols.removeprefix('row_id, ')} FROM films"""),
         "column_rename_cases": sql(final="""SELECT 'renamed' AS kind, row_id, title, description, ratings,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from reelsim.functions.text import clean_tokens
@@ -45,13 +45,15 @@ def clean(df: DataFrame, text: TextParams | None = None, text_col: str = "descri
 
 
 def prepare_catalog(films: DataFrame, text: TextParams | None = None,
-                    dedupe: bool = True) -> DataFrame:
+                    dedupe: bool = True, seen: Observation | None = None) -> DataFrame:
     """Normalised films -> catalogue.
 
     Steps: drop null descriptions (F1); first row per exact title (W2,
     which subsumes the (title, description) de-dupe W1); clean text and
     drop rows without tokens (F2, F3); title keys (X2, X3).
     ``dedupe=False`` gives the notebook catalogue (cleaning only).
+    ``seen`` observes, when the catalogue is written, the rows that are left
+    after the de-dupe and how many of them keep a token (A19).
     """
     # tokens are a column before the de-dupe: the blank-row filter after it
     # then tests that column instead of re-running the cleaning (filters
@@ -59,26 +61,17 @@ def prepare_catalog(films: DataFrame, text: TextParams | None = None,
     df = with_tokens(films, text)
     if dedupe:
         df = keep_first(df.filter(F.col("description").isNotNull()), ["title"])
+    if seen is not None:
+        df = df.observe(seen, F.count(F.lit(1)).alias("deduped"), F.sum((F.size("tokens") > 0).cast("long")).alias("kept"))
     return with_title_keys(drop_blank(df))
 
 
-def lineage(films: DataFrame, text: TextParams | None = None) -> DataFrame:
-    """Rows dropped and kept per preparation step, one row.
-
-    Two passes: one aggregate over the source (rows, rows with a
-    description) and one over the de-duplicated rows (rows, rows that keep
-    at least one token after cleaning)."""
-    text = text or TextParams()
+def lineage(films: DataFrame, deduped: int, kept: int) -> DataFrame:
+    """Rows dropped and kept per preparation step, one row (A19).  The counts
+    after the de-dupe were observed while the catalogue was written; what is
+    left is one aggregate over the source."""
     src = films.agg(F.count(F.lit(1)).alias("n0"), F.count("description").alias("n1"))
-    deduped = keep_first(films.filter(F.col("description").isNotNull()), ["title"])
-    toks = clean_tokens(F.col("description"), stop_words=text.stop_words,
-                        min_len=text.min_len, lexicon=text.lexicon)
-    dd = deduped.agg(F.count(F.lit(1)).alias("n2"),
-                     F.sum((F.size(toks) > 0).cast("long")).alias("n3"))
-    # one scalar subquery for both counts of the second pass
-    d = dd.select(F.struct("n2", "n3").alias("d")).scalar()
-    n0, n1 = F.col("n0"), F.col("n1")
-    n2, n3 = d["n2"], F.coalesce(d["n3"], F.lit(0))
+    n0, n1, n2, n3 = F.col("n0"), F.col("n1"), F.lit(deduped), F.lit(kept)
     return src.select(
         n0.alias("rows_raw"),
         (n0 - n1).alias("dropped_null_description"),
