@@ -107,22 +107,24 @@ def realise(measured: DataFrame, plan: DataFrame, key: str = "doc_id", max_repea
     size = plan.agg(F.sum("docs").alias("n"), F.sum("quota").alias("q")).first()
     total, blocks = size["n"] or 0, max(1, ceil((size["q"] or 0) / block_tokens))
     bits = max(1, min(20, (max(total, 1) // STRETCH_ROWS).bit_length()))
-    names = measured.columns
-    copies = split_join(measured, plan.select("source", "docs", "total", "quota"), "source", "docs", total, "inner",
-                        F.xxhash64(key))
+    # the input's columns travel in one struct, so none of them clashes
+    row = F.struct(*[F.col(f"`{c}`") for c in measured.columns]).alias("row")
+    slim = measured.select("source", "tokens", F.col(key).alias("key"), row)
+    copies = split_join(slim, plan.select("source", "docs", "total", "quota"), "source", "docs", total, "inner",
+                        F.xxhash64("key"))
     copies = (copies.withColumn("copy", F.explode(F.sequence(F.lit(0), F.ceil(F.col("quota") / F.col("total")).cast("int") - 1)))
-                    .withColumn("_h", F.xxhash64(key, "copy", F.lit("mixing")))
+                    .withColumn("_h", F.xxhash64("key", "copy", F.lit("mixing")))
                     .withColumn("_b", F.shiftright("_h", 64 - bits)))
     # tokens of the stretches before, per source and pass
     sums = (copies.groupBy("source", "copy", "_b").agg(F.sum("tokens").alias("_t")))
     w = Window.partitionBy("source", "copy").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.select("source", "copy", "_b", F.coalesce(F.sum("_t").over(w), F.lit(0)).alias("_before"))
-    inside = Window.partitionBy("source", "copy", "_b").orderBy("_h", key).rowsBetween(Window.unboundedPreceding, 0)
+    inside = Window.partitionBy("source", "copy", "_b").orderBy("_h", "key").rowsBetween(Window.unboundedPreceding, 0)
     run = copies.withColumn("_run", F.sum("tokens").over(inside) - F.col("tokens"))
     at = F.col("copy") * F.col("total") + F.col("_before") + F.col("_run")
     out = run.join(sums, ["source", "copy", "_b"]).withColumn("_at", at).filter(F.col("_at") < F.col("quota"))
     place = F.col("_at") / F.col("quota")
-    return out.select(*[F.col(f"`{c}`") for c in names], "copy", F.floor(place * blocks).cast("int").alias("block"), place.alias("place"))
+    return out.select("row.*", "copy", F.floor(place * blocks).cast("int").alias("block"), place.alias("place"))
 
 
 def permute(realised: DataFrame, key: str = "doc_id") -> DataFrame:
