@@ -332,7 +332,9 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, nearest: int = N
                         .join(comp.withColumnRenamed("node", "rep"), "rep", "left")
                         .select("key", "copies", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
                                 F.coalesce("component", "rep").alias("component")))
-    out = split_join(all_.select("vec_id", "key"), store(per_class, "per-class"), "key", "copies", total, "left", F.xxhash64("vec_id"))
+    # rows without an id take no part, whatever their vector
+    mine = all_.select("vec_id", F.when(F.col("vec_id").isNotNull(), F.col("key")).alias("key"))
+    out = split_join(mine, store(per_class, "per-class"), "key", "copies", total, "left", F.xxhash64("vec_id"))
     comp_id = F.when(F.col("vec_id").isNotNull(), F.coalesce("component", "vec_id"))
     return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), comp_id.alias("component_id"),
                       (F.col("vec_id") == comp_id).alias("kept"))
