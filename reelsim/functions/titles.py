@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -50,27 +52,28 @@ def _substr_of(s: Column, k: int):
     return lambda i: F.substring(s, i, k)
 
 
-def substring_grams(s: str | Column, max_len: int = 3) -> Column:
-    """Distinct substrings of length 1..max_len of ``s`` (the n-gram keys of
+# Lengths of the substrings that the lookup index holds.
+GRAM_LENGTHS = (1, 2, 3, 4, 5, 8)
+
+
+def _grams_of_length(s: Column, k: int) -> Column:
+    starts = F.when(F.length(s) >= k, F.sequence(F.lit(1), F.length(s) - k + 1)).otherwise(
+        F.array().cast("array<int>"))
+    return F.transform(starts, _substr_of(s, k))
+
+
+def substring_grams(s: str | Column, lengths: Sequence[int] = GRAM_LENGTHS) -> Column:
+    """Distinct substrings of ``s`` of the given lengths (the n-gram keys of
     the title lookup index).  Any substring query of length >= k contains a
     k-gram, so an equi-join on grams finds every candidate exactly."""
-    s = _c(s)
-    n = F.length(s)
-    parts = []
-    for k in range(1, max_len + 1):
-        starts = F.when(n >= k, F.sequence(F.lit(1), n - k + 1)).otherwise(
-            F.array().cast("array<int>"))
-        parts.append(F.transform(starts, _substr_of(s, k)))
-    return F.array_distinct(F.concat(*parts))
-
-
-def query_grams(q: str | Column, max_len: int = 3) -> Column:
-    """Lookup keys of a query string: its ``max_len``-grams, or the whole
-    string when it is shorter.  A title containing the query contains all
-    of them."""
+    return F.array_distinct(F.concat(*[_grams_of_length(_c(s), k) for k in lengths]))
+
+
+def query_grams(q: str | Column, lengths: Sequence[int] = GRAM_LENGTHS) -> Column:
+    """Lookup keys of a query string: its grams of the greatest indexed
+    length that fits.  A title containing the query contains all of them."""
     q = _c(q)
-    n = F.length(q)
-    starts = F.sequence(F.lit(1), F.greatest(n - max_len + 1, F.lit(1)))
-    return F.when(n >= max_len, F.array_distinct(
-        F.transform(starts, lambda i: F.substring(q, i, max_len)))).when(
-        n > 0, F.array(q)).otherwise(F.array().cast("array<string>"))
+    out = F.array().cast("array<string>")
+    for k in sorted(lengths):
+        out = F.when(F.length(q) >= k, F.array_distinct(_grams_of_length(q, k))).otherwise(out)
+    return out

@@ -2,26 +2,45 @@
 
 Substring matching runs through an n-gram index instead of testing every
 (query, title) pair: each catalogue row is indexed under the distinct
-1-3 character substrings of its title key.  A query is looked up under
-its rarest key gram (an equi-join), and only those candidates are checked
-with the exact predicate.  Every title that contains the query contains
-that gram, so the result is exact.
+substrings of 1 to 5 and of 8 characters of its title key.  A distinct
+query text is looked up once, under the rarest of its longest grams (an
+equi-join), and only those candidates are checked with the exact predicate.
+Every title that contains the query contains that gram, so the result is
+exact.  Long grams keep the candidates near the matches; short suggestion
+queries, whose grams are in very many titles, are answered from the heads of
+their lists (:func:`gram_heads`), which hold no more rows than are shown.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from reelsim.functions.titles import normalise_query, query_grams, substring_grams
 from reelsim.operators.similarity import maybe_broadcast
 
-GRAM_LEN = 3
+# Suggestion queries of up to so many characters are answered by heads.
+HEAD_LENGTH = 4
+HEAD_ROWS = 8
 
 
 def gram_index(titles: DataFrame, key_col: str = "title_key") -> DataFrame:
-    """``(gram, row_id)`` for the distinct 1..3-grams of each key."""
-    return titles.select("row_id", F.explode(substring_grams(F.col(key_col), GRAM_LEN)).alias("gram"))
+    """``(gram, row_id)`` for the distinct indexed grams of each key."""
+    return titles.select("row_id", F.explode(substring_grams(F.col(key_col))).alias("gram"))
+
+
+def gram_heads(titles: DataFrame, rows: int = HEAD_ROWS) -> DataFrame:
+    """``(gram, match_rank, row_id, title)``: of every substring of up to
+    ``HEAD_LENGTH`` characters the first ``rows`` titles, those whose name
+    starts with it before those that contain it, each in row order.  A title
+    that repeats counts with its first row.  The limit is planned before the
+    shuffle, so a gram of every name is ``rows`` rows per partition."""
+    first = titles.groupBy("title").agg(F.min(F.struct("row_id", "name_only")).alias("f")).select("title", "f.*")
+    grams = first.select("row_id", "title", "name_only", F.explode(substring_grams("name_only", range(1, HEAD_LENGTH + 1))).alias("gram"))
+    grams = grams.withColumn("match_rank", F.when(F.col("name_only").startswith(F.col("gram")), 0).otherwise(1))
+    w = Window.partitionBy("gram").orderBy("match_rank", "row_id")
+    return (grams.withColumn("_n", F.row_number().over(w)).filter(F.col("_n") <= rows)
+                 .select("gram", "match_rank", "row_id", "title"))
 
 
 def gram_frequency(index: DataFrame) -> DataFrame:
@@ -64,8 +83,17 @@ def resolve_titles(queries: DataFrame, titles: DataFrame, index: DataFrame, freq
     keep = keep or (lambda df: df)
     # the normalised queries and the unresolved rest are each read several
     # times below; ``keep`` computes them once (cache or stored table)
-    q = keep(queries.select(qid, normalise_query(F.col(text_col)).alias("q"))
-                    .filter(F.col("q") != ""))
+    asked = keep(queries.select(qid, normalise_query(F.col(text_col)).alias("q"))
+                        .filter(F.col("q") != ""))
+    found = _resolve_texts(asked.select("q").distinct(), titles, index, freq, bounded, short_circuit, keep)
+    return asked.join(found, "q").select(qid, "row_id", "tier", "matched_key")
+
+
+def _resolve_texts(q: DataFrame, titles: DataFrame, index, freq, bounded: bool | None, short_circuit: bool, keep) -> DataFrame:
+    """:func:`resolve_titles` for distinct texts ``q``: a text that many
+    requests share is looked up once."""
+    qid = "_text"
+    q = q.select("q", F.col("q").alias(qid))
     t = titles.select("row_id", "title_key", "name_only")
     tier1 = q.join(t, q.q == t.title_key).select(qid, "row_id", F.lit(1).alias("tier"), "title_key")
     tier2 = q.join(t, q.q == t.name_only).select(qid, "row_id", F.lit(2).alias("tier"), "title_key")
@@ -77,49 +105,56 @@ def resolve_titles(queries: DataFrame, titles: DataFrame, index: DataFrame, freq
         # then not planned at all
         if rest.isEmpty():
             best = easy.groupBy(qid).agg(F.min(F.struct("tier", "row_id", "title_key")).alias("b"))
-            return best.select(qid, "b.row_id", "b.tier", F.col("b.title_key").alias("matched_key"))
+            return best.select(F.col(qid).alias("q"), "b.row_id", "b.tier", F.col("b.title_key").alias("matched_key"))
     rest = keep(rest)
     # the gram index is only built when it is needed
     index, freq = (x() if callable(x) else x for x in (index, freq))
 
     words = F.split(F.col("q"), r"(?U)\s+")
-    k3 = rest.select(qid, F.flatten(F.transform(words, lambda w: query_grams(w, GRAM_LEN))).alias("grams"))
+    k3 = rest.select(qid, F.flatten(F.transform(words, lambda w: query_grams(w))).alias("grams"))
     c3 = (candidates(k3, index, freq, qid, bounded).join(rest, qid).join(t, "row_id")
           .filter(F.forall(F.split(F.col("q"), r"(?U)\s+"), lambda w: F.col("name_only").contains(w)))
           .select(qid, "row_id", F.lit(3).alias("tier"), "title_key"))
-    k4 = rest.select(qid, query_grams(F.col("q"), GRAM_LEN).alias("grams"))
+    k4 = rest.select(qid, query_grams(F.col("q")).alias("grams"))
     c4 = (candidates(k4, index, freq, qid, bounded).join(rest, qid).join(t, "row_id")
           .filter(F.col("title_key").contains(F.col("q")))
           .select(qid, "row_id", F.lit(4).alias("tier"), "title_key"))
 
     allm = easy.unionByName(c3).unionByName(c4)
     best = allm.groupBy(qid).agg(F.min(F.struct("tier", "row_id", "title_key")).alias("b"))
-    return best.select(qid, "b.row_id", "b.tier", F.col("b.title_key").alias("matched_key"))
+    return best.select(F.col(qid).alias("q"), "b.row_id", "b.tier", F.col("b.title_key").alias("matched_key"))
 
 
-def suggest_titles(queries: DataFrame, titles: DataFrame, index: DataFrame, freq: DataFrame,
-                   limit: int = 8, qid: str = "query_id", text_col: str = "text",
+def suggest_titles(queries: DataFrame, titles: DataFrame, index, freq, heads,
+                   limit: int = HEAD_ROWS, qid: str = "query_id", text_col: str = "text",
                    min_chars: int = 0, bounded: bool | None = None) -> DataFrame:
     """Raw titles whose name starts with the query, then those whose name
     contains it, each in row order; first ``limit`` (V10, U1, T6, W7).
 
+    Texts of up to ``HEAD_LENGTH`` characters join ``heads`` (a function of
+    the limit), others the gram index (``index`` and ``freq``, functions too).
     ``min_chars`` is the input gate of the search box (F10; 2 there).
     Returns ``(qid, rank, row_id, title)``.
     """
     q = queries.select(qid, F.col(text_col).alias("_raw"), normalise_query(F.col(text_col)).alias("q"))
     q = q.filter((F.col("q") != "") & (F.length(F.coalesce(F.col("_raw"), F.lit(""))) >= min_chars))
-    keys = q.select(qid, query_grams(F.col("q"), GRAM_LEN).alias("grams"))
+    short = q.filter(F.length("q") <= HEAD_LENGTH).join(heads(limit), F.col("q") == F.col("gram"))
+    keys = q.filter(F.length("q") > HEAD_LENGTH).select(F.col("q").alias("_text"), "q").distinct()
+    grams = keys.select("_text", query_grams(F.col("q")).alias("grams"))
     t = titles.select("row_id", "title", "name_only")
-    cand = (candidates(keys, index, freq, qid, bounded).join(q, qid).join(t, "row_id")
+    cand = (candidates(grams, index(), freq(), "_text", bounded).join(keys, "_text").join(t, "row_id")
             .filter(F.col("name_only").contains(F.col("q")))
             .withColumn("match_rank", F.when(F.col("name_only").startswith(F.col("q")), 0).otherwise(1)))
-    # first-seen raw title per query (no-op on a title-deduplicated catalogue)
-    first = cand.groupBy(qid, "title").agg(F.min(F.struct("row_id", "match_rank")).alias("f"))
-    first = first.select(qid, "title", "f.row_id", "f.match_rank")
-    from pyspark.sql import Window
+    # first-seen raw title per text (no-op on a title-deduplicated catalogue)
+    first = cand.groupBy("q", "title").agg(F.min(F.struct("row_id", "match_rank")).alias("f"))
+    first = first.select("q", "title", "f.row_id", "f.match_rank")
+    w = Window.partitionBy("q").orderBy("match_rank", "row_id")
+    top = first.withColumn("_n", F.row_number().over(w)).filter(F.col("_n") <= limit)
+    cols = [qid, "match_rank", "row_id", "title"]
+    both = short.select(*cols).unionByName(q.join(top, "q").select(*cols))
     w = Window.partitionBy(qid).orderBy("match_rank", "row_id")
-    return (first.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= limit)
-                 .select(qid, "rank", "row_id", "title"))
+    return (both.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= limit)
+                .select(qid, "rank", "row_id", "title"))
 
 
 def resolve_exact(queries: DataFrame, titles: DataFrame, qid: str = "query_id",

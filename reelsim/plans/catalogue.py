@@ -219,7 +219,7 @@ def _suggest_words(rec: Recommender) -> DataFrame:
 def q_title_suggestions(spark, sf):
     rec = _rec(spark, sf)
     from reelsim.operators.lookup import suggest_titles
-    s = suggest_titles(_suggest_words(rec), rec.titles, rec.index, rec.freq, 8, "query", bounded=False)
+    s = suggest_titles(_suggest_words(rec), rec.titles, lambda: rec.index, lambda: rec.freq, rec.heads, 8, "query", bounded=False)
     return _long(s, "rank")
 
 
@@ -445,7 +445,7 @@ def q_dense_row_index(spark, sf):
 def q_title_suggestions_gated(spark, sf):
     rec = _rec(spark, sf)
     from reelsim.operators.lookup import suggest_titles
-    s = suggest_titles(_suggest_words(rec), rec.titles, rec.index, rec.freq, 6, "query",
+    s = suggest_titles(_suggest_words(rec), rec.titles, lambda: rec.index, lambda: rec.freq, rec.heads, 6, "query",
                        min_chars=2, bounded=False)
     return _long(s, "rank")
 

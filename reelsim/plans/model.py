@@ -46,6 +46,7 @@ class Recommender:
         self._freq: DataFrame | None = None
         self._tiles: tuple[DataFrame, DataFrame, DataFrame] | None = None
         self._sizes: dict | None = None
+        self._heads: tuple[int, DataFrame] | None = None
         self._prepared: dict | None = None
         self._stored = False
         self._kept: list[DataFrame] = []
@@ -73,6 +74,18 @@ class Recommender:
             self._freq = fr
         return self._freq
 
+    def heads(self, limit: int) -> DataFrame:
+        """First titles of every short substring, built on first use for
+        lists of ``limit`` rows or fewer."""
+        if self._heads is None or self._heads[0] < limit:
+            rows = max(limit, lookup.HEAD_ROWS)
+            made = lookup.gram_heads(self.titles, rows)
+            if self._stored:
+                from reelsim.session import store_table
+                made = store_table(made, "title_heads")
+            self._heads = rows, made
+        return self._heads[1]
+
     @property
     def by_document(self) -> tuple[DataFrame, DataFrame, DataFrame]:
         """``(term ids, genre ids, vectors)``: the model by document, built
@@ -191,7 +204,7 @@ class Recommender:
         self.model.weigh = None
         self.model.n_docs = F.lit(self.catalog.count()).cast("long")
         self.titles = self.catalog.select("row_id", "title", "title_key", "name_only")
-        self._index = self._freq = self._tiles = self._sizes = None
+        self._index = self._freq = self._tiles = self._sizes = self._heads = None
         self._stored = True
         _ = self.by_document, self.block_sizes
         return self
@@ -297,7 +310,7 @@ class Recommender:
     def suggest(self, queries: DataFrame, limit: int = 8, text_col: str = "text",
                 min_chars: int = 0, bounded: bool | None = None) -> DataFrame:
         """Title suggestions."""
-        return lookup.suggest_titles(queries, self.titles, self.index, self.freq, limit,
+        return lookup.suggest_titles(queries, self.titles, lambda: self.index, lambda: self.freq, self.heads, limit,
                                      QID, text_col, min_chars, bounded)
 
     def rejected(self, queries: DataFrame, filter_col: str) -> DataFrame:
