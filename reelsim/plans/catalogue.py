@@ -420,6 +420,14 @@ def q_model_roundtrip(spark, sf):
     return _long(Recommender.load(spark, path).stats(), "total_movies", "tfidf_features", "total_genres")
 
 
+def q_model_roundtrip_search(spark, sf):
+    """A search on a model that was written and read back."""
+    path = scratch_path(spark, "model")
+    rec = _rec(spark, sf)
+    rec.save(path)
+    return _rec_out(Recommender.load(spark, path).recommend_by_title(_title_of_first(rec)))
+
+
 def q_clean_description_text(spark, sf):
     """Cleaning applied to every raw description, blank rows included."""
     f = films(spark, sf)

@@ -374,6 +374,7 @@ def oracle_sql() -> dict[str, str]:
                       CAST(row_number() OVER (PARTITION BY query ORDER BY match_rank, row_id) AS BIGINT) AS rank
                FROM cand) WHERE rank <= 8"""),
         "recommend_by_title": sql(*by_rows(TIER1_OF_FIRST), final=REC_OUT),
+        "model_roundtrip_search": sql(*by_rows(TIER1_OF_FIRST), final=REC_OUT),
         "recommend_by_title_genre": sql(*by_rows(TIER1_OF_FIRST, genre=C.DEMO_GENRE_FILTER), final=REC_OUT),
         "recommend_by_title_filters": sql(*by_rows(_under_filters(), n=10, filters=True), final=REC_OUT),
         "recommend_many": sql(*by_rows(TIER1_OF_FIRST, n=2000), final=REC_OUT),

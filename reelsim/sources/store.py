@@ -62,4 +62,6 @@ def load_model(spark: SparkSession, path: str):
     model = TfidfModel(rd("vocabulary"), rd("postings"), meta.select("n_docs").scalar(),
                        sublinear_tf=params.sublinear_tf,
                        **weights)
-    return Recommender(rd("catalog"), model, params)
+    rec = Recommender(rd("catalog"), model, params)
+    rec._stored = True                # what it derives on first use is stored too
+    return rec
