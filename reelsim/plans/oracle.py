@@ -455,10 +455,10 @@ def oracle_sql() -> dict[str, str]:
         "model_roundtrip": stats,
         "result_cards": sql(*asked, final=f"SELECT {_cards_cols()} FROM ranked"),
         "score_table": sql(*asked, final="""SELECT query_id, rank, title AS "Title",
-            coalesce(printf('%.1f%%', CAST(round(CAST(similarity_score AS DECIMAL(20,4)) * 100, 1) AS DOUBLE)), '—')
+            coalesce(format('{:.1f}%', CAST(similarity_score AS DOUBLE) * 100), '—')
               AS "Similarity Score",
             ratings AS "Ratings" FROM ranked"""),
         "match_chart": sql(*asked, final="""SELECT query_id, rank, substr(title, 1, 22) || '…' AS movie,
-            CAST(round(CAST(similarity_score AS DECIMAL(20,4)) * 100, 1) AS DOUBLE) AS score FROM ranked"""),
+            CAST(format('{:.1f}', CAST(similarity_score AS DOUBLE) * 100) AS DOUBLE) AS score FROM ranked"""),
     }
     return out
