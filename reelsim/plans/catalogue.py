@@ -377,7 +377,7 @@ def q_result_cards(spark, sf):
 
 
 def q_score_table(spark, sf):
-    return present.score_table(_asked_results(spark, sf))
+    return present.score_table(_asked_results(spark, sf), scored=True)
 
 
 def q_match_chart(spark, sf):

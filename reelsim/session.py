@@ -95,11 +95,32 @@ def store_table(df: DataFrame, name: str = "table", folders: tuple[str, ...] = (
     df.write.mode("overwrite").partitionBy(*folders).parquet(path)
     out = df.sparkSession.read.parquet(path)
     out._stored_path = path
+    _stored.append(path)
     return out
 
 
+# Paths of tables stored by this process and not yet deleted.
+_stored: list[str] = []
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+    if path in _stored:
+        _stored.remove(path)
+
+
 def drop_table(df: DataFrame) -> None:
     """Delete a table of :func:`store_table`; nothing may read it any more."""
-    spark = df.sparkSession
-    path = spark._jvm.org.apache.hadoop.fs.Path(df._stored_path)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    _delete(df.sparkSession, df._stored_path)
+
+
+def release_tables(spark: SparkSession) -> int:
+    """Delete every table that :func:`store_table` has left in the shared
+    folder: models not saved, indexes, numbered sources, lines of CSV files.
+    Call it when all results are written; nothing that reads them works
+    afterwards.  Returns how many there were."""
+    paths = list(_stored)
+    for path in paths:
+        _delete(spark, path)
+    return len(paths)

@@ -69,3 +69,17 @@ def test_empty_files_headers_alone_and_compressed_files(spark, tmp_path):
         (tmp_path / name).write_bytes(data)
     (tmp_path / "d.csv.gz").write_bytes(gzip.compress(b'x,y\n"3\n4",5\n'))
     assert sorted(_read(spark, tmp_path)[0]) == [("1", "2"), ("3\n4", "5")]
+
+
+def test_stored_tables_are_deleted_on_release(spark, tmp_path, monkeypatch):
+    import os
+
+    from reelsim import session
+    monkeypatch.setattr(session, "_stored", [])            # not those of other tests
+    (tmp_path / "a.csv").write_text("x,y\n1,2\n")
+    lines = stored_lines(spark, str(tmp_path / "a.csv"))
+    other = session.store_table(spark.range(3))
+    session.drop_table(other)
+    assert os.path.exists(lines._stored_path) and not os.path.exists(other._stored_path)
+    assert session.release_tables(spark) == 1
+    assert not os.path.exists(lines._stored_path)
