@@ -5,7 +5,9 @@ table but ``MOST_PIVOTS`` at most.  A vector is described by its nearest
 pivots in order: ``NEAREST`` of up to 64, one more for each further factor of
 four (``described_length``), and as many more (``MOST_NEAREST`` at most) as it
 takes to find ``RECALL`` of the links of a fixed query set, which are counted
-against all rows (``enough``).  Inverted lists are kept for pairs of pivots, so two
+against all rows (``enough``).  Where those are fewer than ``LEAST_LINKS``, the
+length must also find as great a share of planted partners, made at the least
+cosine in random directions.  Inverted lists are kept for pairs of pivots, so two
 vectors meet where they share at least two of them; the shared-pivot count is
 read off the descriptions.  A pair that meets in several lists is counted
 only in the list of its two smallest shared pivots.  Candidates are verified
@@ -45,6 +47,7 @@ from reelsim.llm.graph import components
 COSINE = 0.9
 NEAREST, MOST_NEAREST = 6, 24
 QUERIES, RECALL = 256, 0.95
+LEAST_LINKS = 1000
 LEAST_PIVOTS, MOST_PIVOTS = 64, 4096
 BLOCK = 1024
 DIGITS = 12
@@ -149,7 +152,7 @@ def depths(near: np.ndarray, other: np.ndarray) -> np.ndarray:
 def enough(near: DataFrame, pivots: dict[int, np.ndarray], nearest: int, cosine: float, kind: np.dtype) -> int:
     """The described length: ``described_length``, or more if the links of a
     fixed query set of the most common length, counted against all rows of
-    that length, need it."""
+    that length, need it, or, where links are rare, planted partners do."""
     size, many = max(((s, len(p)) for s, p in pivots.items()), key=lambda x: x[1], default=(0, 0))
     k = described_length(many, nearest)
     if many < 2:
@@ -181,11 +184,31 @@ def enough(near: DataFrame, pivots: dict[int, np.ndarray], nearest: int, cosine:
     for r in rows.groupBy("depth").agg(F.sum("links").alias("links")).collect():
         links[r["depth"]] = r["links"]
     found = np.cumsum(links)
-    while k < q_near.shape[1] and found[k] < RECALL * found[-1]:
+    planted = np.zeros(len(found))
+    if found[-1] < LEAST_LINKS:
+        planted = np.cumsum(planted_depths(q, q_near, pivots, size, cosine))
+    while k < q_near.shape[1] and (found[k] < RECALL * found[-1] or planted[k] < RECALL * planted[-1]):
         k += 1
     return k
 
 
+def planted_depths(q: np.ndarray, q_near: np.ndarray, pivots: dict[int, np.ndarray], size: int, cosine: float) -> np.ndarray:
+    """How many planted partners of the queries are first met at each length:
+    ``LEAST_LINKS`` or more, each at ``cosine`` from its query in a random
+    direction (the seed is fixed).  One component has no such partners."""
+    rng = np.random.default_rng(0)
+    first = sum(len(p) for s, p in list(pivots.items())[:list(pivots).index(size)])
+    count = np.zeros(q_near.shape[1] + 2, np.int64)
+    for _ in range(-(-LEAST_LINKS // len(q)) if q.shape[1] > 1 else 0):
+        away = rng.standard_normal(q.shape)
+        away -= (away * q).sum(axis=1, keepdims=True) * q
+        away /= np.linalg.norm(away, axis=1, keepdims=True)
+        near = nearest_pivots(cosine * q + np.sqrt(1 - cosine ** 2) * away, pivots[size], q_near.shape[1]) + first
+        near = np.pad(near, ((0, 0), (0, q_near.shape[1] - near.shape[1])), constant_values=-2)
+        count += np.bincount(depths(near, q_near), minlength=len(count))
+    return count
+
+
 def inverted_lists(near: DataFrame, many: int, k: int) -> DataFrame:
     """``(list, rep, copies, raw, near)``: a row for each pair of a vector's
     ``k`` nearest pivots; ``near`` are those pivots, nearest first."""

@@ -240,3 +240,20 @@ def test_pipeline_keeps_one_row_of_repeated_and_null_ids(spark):
     assert order((r["doc_id"], r["text"]) for r in kept.collect()) == order(want)
     left = corpus_pipeline.repeated_passages(spark, kept, SF)
     assert order((r["doc_id"], r["text"]) for r in left.collect()) == order(want)
+
+
+def test_length_is_measured_where_no_links_are_known(spark):
+    rng = np.random.default_rng(5)
+    unit = lambda v: v / np.linalg.norm(v, axis=1, keepdims=True)
+    refs, x = unit(rng.standard_normal((4096, 8))), unit(rng.standard_normal((300, 8)))
+    lone = [v for i, v in enumerate(x) if (x[:i] @ v < pivots.COSINE).all()]
+    rows = [(bytes([i // 256, i % 256]), i, 1, v.tobytes()) for i, v in enumerate(lone)]
+    classes = spark.createDataFrame(rows, "key binary, rep long, copies long, raw binary")
+    kind, by = np.dtype(np.float64), {64: refs}
+    k = pivots.enough(pivots.with_nearest(classes, by, kind), by, pivots.NEAREST, pivots.COSINE, kind)
+    assert pivots.described_length(4096) < k < pivots.MOST_NEAREST
+    y = unit(rng.standard_normal((2000, 8)))
+    away = rng.standard_normal(y.shape)
+    z = pivots.COSINE * y + math.sqrt(1 - pivots.COSINE ** 2) * unit(away - (away * y).sum(axis=1, keepdims=True) * y)
+    a, b = (pivots.nearest_pivots(v, refs, k) for v in (y, z))
+    assert ((a[:, :, None] == b[:, None, :]).sum(axis=(1, 2)) >= 2).mean() >= 0.9
