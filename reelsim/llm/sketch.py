@@ -1,10 +1,11 @@
 """Threshold-scaled sketches of documents, native DataFrame functions only.
 
 A document's sketch is every distinct 64-bit hash of its ``WORDS``-word
-shingles that lies below a fixed fraction of the hash range, and the least
-hash if none does.  The fraction is the same for all documents, so sketches
-merge by union and compare at any sizes: overlaps of two sketches estimate
-Jaccard and containment.
+shingles that lies below a fixed fraction of the hash range (``kept``).  The
+fraction is the same for all documents, so sketches merge by union and compare
+at any sizes: overlaps of two sketches estimate Jaccard and containment.  The
+least hash of all (``least``) is carried beside them; it merges by minimum and
+stands in for the kept hashes where there are none, as in short texts.
 
 Defined results: words are runs of other than space and ``\\x09``-``\\x0D``,
 lower-cased; fewer than ``WORDS`` words give one hash of all of them; null
@@ -30,7 +31,8 @@ BLANKS = "[ \\t\\n\\x0B\\f\\r]+"
 
 
 def add_sketch(df: DataFrame, text: str, out: str, n: int = WORDS, fraction: float = FRACTION) -> DataFrame:
-    """``df`` with the sketch of column ``text``: an ascending ``array<long>``."""
+    """``df`` with the sketch of column ``text``: ``kept``, an ascending
+    ``array<long>``, and ``least``, null without words."""
     cols = [F.col(f"`{c}`") for c in df.columns]
     words = F.filter(F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), BLANKS), lambda w: w != "")
     # two projections: the word hashes are computed once, not once per shingle
@@ -42,16 +44,22 @@ def add_sketch(df: DataFrame, text: str, out: str, n: int = WORDS, fraction: flo
     step = step.select(*cols, hashes.alias("_s"))
     limit = F.lit(int(fraction * 2 ** 64) - 2 ** 63)
     step = step.select(*cols, "_s", F.array_sort(F.array_distinct(F.filter("_s", lambda x: x < limit))).alias("_k"))
-    least = F.when((F.size("_k") == 0) & (F.size("_s") > 0), F.array(F.array_min("_s"))).otherwise(F.col("_k"))
-    return step.select(*cols, least.alias(out))
+    return step.select(*cols, F.struct(F.col("_k").alias("kept"), F.array_min("_s").alias("least")).alias(out))
+
+
+def hashes_of(sketch: str) -> Column:
+    """The hashes that stand for a document: those kept, or its least."""
+    kept, least = F.col(sketch)["kept"], F.col(sketch)["least"]
+    return F.when((F.size(kept) == 0) & least.isNotNull(), F.array(least)).otherwise(kept)
 
 
 def fingerprint(sketch: str) -> Column:
     """The sketch as text: 16 hex digits for each hash, ascending."""
-    return F.array_join(F.transform(F.col(sketch), lambda x: F.lower(F.lpad(F.hex(x), 16, "0"))), "")
+    return F.array_join(F.transform(hashes_of(sketch), lambda x: F.lower(F.lpad(F.hex(x), 16, "0"))), "")
 
 
 def jaccard(a: str, b: str) -> Column:
+    a, b = hashes_of(a), hashes_of(b)
     both = F.size(F.array_intersect(a, b))
     union = F.size(a) + F.size(b) - both
     return F.when(union == 0, F.lit(1.0)).otherwise(both / union)
@@ -59,13 +67,15 @@ def jaccard(a: str, b: str) -> Column:
 
 def containment(a: str, b: str) -> Column:
     """Estimated share of ``a``'s shingles that ``b`` holds."""
+    a, b = hashes_of(a), hashes_of(b)
     return F.when(F.size(a) == 0, (F.size(b) == 0).cast("double")).otherwise(F.size(F.array_intersect(a, b)) / F.size(a))
 
 
-def merge(sketches: str) -> Column:
-    """Aggregate: the sketch of the union of all documents of a group whose
-    sketches lie in array column ``sketches`` (exploded by the caller)."""
-    return F.array_sort(F.collect_set(sketches))
+def merge(sketch: str) -> Column:
+    """Aggregate: the sketch of the union of all documents of a group, equal
+    to that made from all their shingles at once."""
+    kept = F.array_sort(F.array_distinct(F.flatten(F.collect_set(F.col(sketch)["kept"]))))
+    return F.struct(kept.alias("kept"), F.min(F.col(sketch)["least"]).alias("least"))
 
 
 def _range_of(value: Column, splits: list[int]) -> Column:
