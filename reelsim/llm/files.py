@@ -20,10 +20,15 @@ def open_store(uri: str):
 @contextmanager
 def whole_file(uri: str):
     """Write a file that appears under its name only when complete, so a
-    task that runs twice leaves one whole file."""
+    task that runs twice leaves one whole file; a task that fails takes its
+    part away."""
     store, path = open_store(uri)
     part = f"{path}.{uuid.uuid4().hex}.tmp"
     store.create_dir(path.rpartition("/")[0], recursive=True)
-    with store.open_output_stream(part, compression=None) as out:
-        yield out
+    try:
+        with store.open_output_stream(part, compression=None) as out:
+            yield out
+    except BaseException:
+        store.delete_file(part)
+        raise
     store.move(part, path)

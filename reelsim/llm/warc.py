@@ -81,31 +81,39 @@ def write_archives(pages: DataFrame, path: str, per_file: int = 50_000) -> None:
      .option("maxRecordsPerFile", per_file).text(path))
 
 
+def inflated(stream) -> Iterator[bytes]:
+    """A gzip stream of any number of members, inflated once, in pieces of
+    at most ``READ_BYTES`` however far it inflates."""
+    unzip, inside = zlib.decompressobj(31), False
+    while raw := stream.read(READ_BYTES):
+        while raw:
+            yield unzip.decompress(raw, READ_BYTES)
+            raw, inside = unzip.unconsumed_tail, not unzip.eof
+            if unzip.eof:
+                raw, unzip = unzip.unused_data, zlib.decompressobj(31)
+    if inside:
+        raise ValueError("truncated gzip stream")
+
+
 def records_of(stream) -> Iterator[bytes]:
-    """Raw records of a gzip stream, inflated once; memory is one record."""
-    unzip, buf = zlib.decompressobj(31), bytearray()
-    need = None
-    ended = False
-    while not ended or buf:
-        if need is None:
-            at = buf.find(b"\r\n\r\n")
-            if at >= 0:
+    """Raw records of a gzip stream; memory is one record and one piece."""
+    buf, need = bytearray(), None
+    for piece in inflated(stream):
+        buf += piece
+        while True:
+            if need is None:
+                at = buf.find(b"\r\n\r\n")
+                if at < 0:
+                    break
                 size = next(int(x.split(b":")[1]) for x in bytes(buf[:at]).split(b"\r\n") if x.lower().startswith(b"content-length:"))
                 need = at + 4 + size + 4
-        if need is not None and len(buf) >= need:
+            if len(buf) < need:
+                break
             yield bytes(buf[:need])
             del buf[:need]
             need = None
-            continue
-        if ended:
-            raise ValueError("truncated WARC record")
-        raw = stream.read(READ_BYTES)
-        ended = not raw
-        while raw:
-            buf += unzip.decompress(raw)
-            raw = unzip.unused_data
-            if unzip.eof:
-                unzip = zlib.decompressobj(31)
+    if buf:
+        raise ValueError("truncated WARC record")
 
 
 def headers(record: bytes) -> tuple[dict[str, str], bytes]:
