@@ -11,13 +11,14 @@ within ``size`` ids before ``j`` is a sliding minimum of ``best[i] + p[i]``,
 kept in a monotone queue; windows of a power of two are further transitions.
 So the work is linear in the number of boundaries.
 
-The table is range-partitioned by ``doc_id``; every task packs its own
-stretch of the order, a million ids at a time, and splits what is left at
+The table is range-partitioned by ``doc_id`` (rows of one id, or without
+one, may lie in several ranges); every task packs its own stretch of the order, a million ids at a time, and splits what is left at
 the end of a stretch into powers of two.  Memory is bounded by a stretch (or
 by one document, if that is longer).
 
 Defined results: a null or empty text is the end id alone; rows without a
-doc_id come first; repeated rows are packed as often as they occur; an
+doc_id come first; rows of one id follow each other in hash order of their
+texts; repeated rows are packed as often as they occur; an
 empty table gives no piece.  Other columns are ignored.
 """
 
@@ -33,6 +34,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from reelsim.llm.common import shuffle_partitions, trimmed
 from reelsim.llm.words import chunks, hash_ranges, text_bytes
@@ -310,6 +312,10 @@ def pack(docs: DataFrame, path: str, size: int = SIZE, with_ids: bool = False) -
         enc.forget()
 
     n_parts = shuffle_partitions(docs.sparkSession)
-    # order-preserving: one range of doc_ids per task, sorted
-    dealt = docs.select("doc_id", "text").repartitionByRange(n_parts, "doc_id").sortWithinPartitions("doc_id", "text")
+    # order-preserving: one range of doc_ids per task, sorted; rows that repeat
+    # an id or have none are told apart by their texts, and equal rows by
+    # their places in the stored table, so a range can end among them
+    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("_h"), F.monotonically_increasing_id().alias("_row"))
+    dealt = rows.repartitionByRange(n_parts, "doc_id", "_h", "_row").sortWithinPartitions("doc_id", "_h", "_row")
+    dealt = dealt.select("doc_id", "text")
     return dealt.mapInArrow(trimmed(work), PIECE + (", ids array<int>" if with_ids else ""))
