@@ -8,8 +8,9 @@ mapped to 0..1 so that the cut lands on ``CUT``.
 
 Defined results: a null or empty text has all-zero features and gets the
 score those give; labels that are null or of unknown documents are ignored;
-a document labelled twice counts with its smaller label; without documents
-of both labels every score is 0.5; repeated documents get equal scores; an
+a document labelled twice counts with its smaller label, an id of several
+rows teaches once, with its least text; without documents of both labels
+every score is 0.5; repeated documents get equal scores; an
 empty table gives an empty result.  Only ``doc_id`` and ``text`` are read,
 and only the text is scored, so extra columns never clash.
 """
@@ -170,7 +171,9 @@ def fit(docs: DataFrame, labels: DataFrame, per_label: int = SAMPLE_PER_LABEL) -
                            .orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_label))
     # at most 2 * per_label rows of two numbers: a fixed bound
     ids = F.broadcast(take(0).unionByName(take(1)).select(F.col("doc_id").alias("_id"), "quality"))
-    rows = docs.select("doc_id", "text").join(ids, F.col("doc_id") == F.col("_id")).select("quality", "text")
+    # one row per labelled id, however often it repeats: the least text
+    rows = (docs.select("doc_id", "text").join(ids, F.col("doc_id") == F.col("_id"))
+                .groupBy("_id").agg(F.first("quality").alias("quality"), F.min("text").alias("text")).select("quality", "text"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
