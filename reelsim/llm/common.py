@@ -143,7 +143,8 @@ def split_join(left: DataFrame, right: DataFrame, key: str, count: str, total: i
 
     Hot keys (above :func:`hot_limit` of ``total`` left rows, so at most
     ``1 / HOT_SHARE`` rows) are broadcast; every other key is shuffled.
-    Left rows of hot keys shuffle on ``spread`` instead of the key.
+    Left rows of hot keys, and those without a key, shuffle on ``spread``
+    instead of the key.
     ``how`` is ``inner`` or ``left``; right columns other than the key
     come out under their own names.
     """
@@ -154,8 +155,8 @@ def split_join(left: DataFrame, right: DataFrame, key: str, count: str, total: i
     cold = right.filter(F.col(count) <= limit)
     cold = cold.select(F.lit(0).cast("bigint").alias("_s"), F.col(key).alias("_ck"), F.struct(*cols).alias("_cold"))
     j = left.join(F.broadcast(hot), F.col(key) == F.col("_hk"), "left")
-    # rows already answered get a salt that no cold row carries
-    j = j.withColumn("_ls", F.when(F.col("_hot").isNotNull(), F.pmod(spread, F.lit(1 << 30)) + 1)
+    # rows already answered, or without a key, get a salt that no cold row carries
+    j = j.withColumn("_ls", F.when(F.col("_hot").isNotNull() | F.col(key).isNull(), F.pmod(spread, F.lit(1 << 30)) + 1)
                              .otherwise(F.lit(0)).cast("bigint"))
     j = j.join(cold, (F.col(key) == F.col("_ck")) & (F.col("_ls") == F.col("_s")), "left")
     j = j.withColumn("_r", F.coalesce("_hot", "_cold"))

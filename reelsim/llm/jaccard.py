@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelsim.llm.common import drop, shuffle_partitions, split_join, store, trimmed
+from reelsim.llm.common import drop, hot_limit, shuffle_partitions, split_join, store, trimmed
 from reelsim.llm.graph import components
 from reelsim.llm.words import ODD, mix, shingle_sets
 
@@ -50,6 +50,10 @@ FRAGMENTS = 8
 STEP = 2
 BLOCK = 2048
 HELD = 1 << 20
+# Sets that share a prefix shingle are cut into blocks of about GROUP of them
+# once they are more, or more than one in MOST_SPLIT of all prefix rows.
+GROUP = 1 << 14
+MOST_SPLIT = 1 << 20
 # Set keys by which a task leaves out copies of a set it has signed.
 SEEN = 1 << 18
 
@@ -287,8 +291,12 @@ def frequencies(seg: DataFrame) -> DataFrame:
 
 
 def prefix_pairs(members: DataFrame, seg: DataFrame, p: int, q: int) -> DataFrame:
-    """``(a, b, na, nb)`` of ``members(node, n, label)`` with different labels
-    that may link, by prefixes in the order of document frequency."""
+    """``(a, b, na, nb)``, stored, of ``members(node, n, label)`` with
+    different labels that may link, by prefixes in the order of document
+    frequency.  Sets whose prefixes hold one shingle are a group; a long group
+    is cut into blocks by hash, and each pair of blocks is work of its own.
+    Within it sets are in order of size, so tiles whose sizes cannot link are
+    not compared."""
     found = frequencies(seg)
     alone = found.filter("shingle is null").groupBy("node").agg(F.sum("df").alias("alone"))
     length = F.col("n") - F.ceil(F.col("n") * p / q).cast("int") + 1
@@ -302,42 +310,67 @@ def prefix_pairs(members: DataFrame, seg: DataFrame, p: int, q: int) -> DataFram
     shared = (order.select("node", "label", "n", "alone", F.posexplode(F.slice("s", F.lit(1), F.col("length") - F.col("alone"))).alias("i", "t"))
                    .select(F.col("t.shingle").alias("shingle"), "node", "label", "n", (F.col("alone") + F.col("i")).alias("pos")))
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
+    shared = store(shared, "prefixes")
+    # groups of a shingle beyond the limit are cut into blocks; there are at
+    # most 2 ** 20 of them, since together they hold no more than all rows
+    limit = max(GROUP, -(-shared.count() // MOST_SPLIT))
+    long = shared.groupBy("shingle").agg(F.count("*").alias("rows")).filter(F.col("rows") > limit)
+    long = long.select(F.col("shingle").alias("_long"), F.ceil(F.col("rows") / GROUP).cast("int").alias("blocks"))
+    cut = shared.join(F.broadcast(long), F.col("shingle") == F.col("_long"), "left")
+    own, other = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"), F.col("other")
+    cut = cut.withColumn("own", F.coalesce(own, F.lit(0)))
+    # a row meets every block of its group, its own included
+    cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.coalesce("blocks", F.lit(1)) - 1)))
+    cut = cut.select("shingle", F.least("own", other).alias("i"), F.greatest("own", other).alias("j"), "own", "node", "label", "n", "pos")
 
-        def pairs(node, label, n, pos):
-            for i in range(0, len(node), BLOCK):
-                for j in range(i, len(node), BLOCK):
-                    x, y = slice(i, i + BLOCK), slice(j, j + BLOCK)
-                    room = np.minimum((n[x] - pos[x])[:, None], (n[y] - pos[y])[None, :])
-                    ok = (label[x][:, None] != label[y][None, :]) & ((p + q) * room >= p * (n[x][:, None] + n[y][None, :]))
-                    u, v = np.nonzero(ok)
-                    u, v = u + i, v + j
-                    u, v = u[node[u] < node[v]], v[node[u] < node[v]]
-                    if i != j:
-                        s, t = np.nonzero(ok)
-                        s, t = s + i, t + j
-                        back = node[s] > node[t]
-                        u, v = np.concatenate((u, t[back])), np.concatenate((v, s[back]))
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def meet(left, right):
+            """Pairs of two blocks, each ascending in size; of a block with
+            itself if they are the same."""
+            for i in range(0, len(left[0]), BLOCK):
+                node, label, n, pos = (c[i:i + BLOCK] for c in left)
+                for j in range(i if left is right else 0, len(right[0]), BLOCK):
+                    node2, label2, n2, pos2 = (c[j:j + BLOCK] for c in right)
+                    if p * n2[0] > q * n[-1]:
+                        break                             # so are all that follow
+                    if p * n[0] > q * n2[-1]:
+                        continue
+                    room = np.minimum((n - pos)[:, None], (n2 - pos2)[None, :])
+                    ok = (label[:, None] != label2[None, :]) & ((p + q) * room >= p * (n[:, None] + n2[None, :]))
+                    u, v = np.nonzero(np.triu(ok, 1) if left is right and i == j else ok)
                     if len(u):
-                        yield pa.RecordBatch.from_arrays([pa.array(c) for c in (node[u], node[v], n[u].astype(np.int32), n[v].astype(np.int32))],
+                        x, y = node[u], node2[v]
+                        swap = x > y
+                        cols = (np.minimum(x, y), np.maximum(x, y), np.where(swap, n2[v], n[u]), np.where(swap, n[u], n2[v]))
+                        yield pa.RecordBatch.from_arrays([pa.array(c) for c in (*cols[:2], *(c.astype(np.int32) for c in cols[2:]))],
                                                          ["a", "b", "na", "nb"])
 
+        def group(cols):
+            i, j, own, rows = cols[1][0], cols[2][0], cols[3], [c.astype(np.int64) for c in cols[4:]]
+            if i == j:
+                yield from meet(rows, rows)
+            else:
+                yield from meet([c[own == i] for c in rows], [c[own == j] for c in rows])
+
+        held = None
         for b in batches:
-            cols = [b.column(x).to_numpy() for x in range(5)]
+            cols = [b.column(x).to_numpy() for x in range(8)]
             if held is not None:
                 cols = [np.concatenate(x) for x in zip(held, cols)]
-            at = np.flatnonzero(np.concatenate(([True], cols[0][1:] != cols[0][:-1], [True])))
+            new = np.any([c[1:] != c[:-1] for c in cols[:3]], axis=0)
+            at = np.flatnonzero(np.concatenate(([True], new, [True])))
             held = [c[at[-2]:] for c in cols]             # the last group may go on
             for x, y in zip(at[:-2], at[1:-1]):
                 if y - x > 1:
-                    yield from pairs(*(c[x:y] for c in cols[1:]))
+                    yield from group([c[x:y] for c in cols])
         if held is not None and len(held[0]) > 1:
-            yield from pairs(*held[1:])
+            yield from group(held)
 
     n_parts = shuffle_partitions(members.sparkSession)
-    dealt = shared.repartition(n_parts, "shingle").sortWithinPartitions("shingle")
-    return dealt.mapInArrow(trimmed(work), "a long, b long, na int, nb int").distinct()
+    dealt = cut.repartition(n_parts, "shingle", "i", "j").sortWithinPartitions("shingle", "i", "j", "n")
+    pairs = store(dealt.mapInArrow(trimmed(work), "a long, b long, na int, nb int").distinct(), "rest")
+    drop(shared)
+    return pairs
 
 
 def similar_groups(docs: DataFrame, n: int = 5, p: int = 80, q: int = 100) -> DataFrame:
@@ -379,7 +412,7 @@ def similar_groups(docs: DataFrame, n: int = 5, p: int = 80, q: int = 100) -> Da
     label = nodes.join(comp, "node", "left").select("node", "n", F.coalesce("component", "node").alias("label"))
     label = store(label, "labels")
     drop(nodes)
-    rest = store(prefix_pairs(label, seg, p, q), "rest")
+    rest = prefix_pairs(label, seg, p, q)
     drop(label)
     if not rest.isEmpty():
         more = verified(rest, seg, p, q)
@@ -390,6 +423,9 @@ def similar_groups(docs: DataFrame, n: int = 5, p: int = 80, q: int = 100) -> Da
         drop(seg, links, rest)
 
     sizes = member.groupBy("rep").agg(F.count("*").alias("copies"))
-    final = comp.join(sizes, F.col("node") == F.col("rep")).select("rep", "component", "copies")
+    # classes with many copies are named even if they link with nothing, so
+    # that their rows are spread
+    final = sizes.join(comp, F.col("node") == F.col("rep"), "left").select("rep", "component", "copies")
+    final = final.filter(F.col("component").isNotNull() | (F.col("copies") > hot_limit(total)))
     out = split_join(member, final, "rep", "copies", total, "left", F.xxhash64("doc_id"))
     return out.select("doc_id", "n_shingles", F.coalesce("component", "rep").alias("component_id"))
