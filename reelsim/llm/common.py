@@ -153,11 +153,12 @@ def split_join(left: DataFrame, right: DataFrame, key: str, count: str, total: i
     hot = right.filter(F.col(count) > limit)
     hot = hot.select(F.col(key).alias("_hk"), F.struct(*cols).alias("_hot"))
     cold = right.filter(F.col(count) <= limit)
-    cold = cold.select(F.lit(0).cast("bigint").alias("_s"), F.col(key).alias("_ck"), F.struct(*cols).alias("_cold"))
+    # a second join key, computed from the key on both sides: a constant one
+    # would be folded away, and rows dealt by the key alone
+    cold = cold.select(F.xxhash64(key).alias("_s"), F.col(key).alias("_ck"), F.struct(*cols).alias("_cold"))
     j = left.join(F.broadcast(hot), F.col(key) == F.col("_hk"), "left")
-    # rows already answered, or without a key, get a salt that no cold row carries
-    j = j.withColumn("_ls", F.when(F.col("_hot").isNotNull() | F.col(key).isNull(), F.pmod(spread, F.lit(1 << 30)) + 1)
-                             .otherwise(F.lit(0)).cast("bigint"))
+    # rows already answered, or without a key, meet no cold row: any salt will do
+    j = j.withColumn("_ls", F.when(F.col("_hot").isNotNull() | F.col(key).isNull(), spread).otherwise(F.xxhash64(key)))
     j = j.join(cold, (F.col(key) == F.col("_ck")) & (F.col("_ls") == F.col("_s")), "left")
     j = j.withColumn("_r", F.coalesce("_hot", "_cold"))
     if how == "inner":
