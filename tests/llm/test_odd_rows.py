@@ -168,3 +168,24 @@ def test_a_failed_task_leaves_no_part(tmp_path):
             out.write(b"half")
             raise RuntimeError
     assert [p for p in tmp_path.rglob("*") if p.is_file()] == []
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_split_join_deals_hot_and_null_keys_over_tasks(spark, monkeypatch, how):
+    monkeypatch.setattr(common, "HOT_ROWS", 10)
+    rows = [(i, "hot" if i % 3 == 0 else None if i % 3 == 1 else f"k{i % 50}") for i in range(3000)]
+    left = common.store(spark.createDataFrame(rows, "i long, k string"), "left")
+    right = common.store(spark.createDataFrame([("hot", 1000, 1), ("k5", 10, 2), ("k7", 5, 3), ("other", 3, 4)], "k string, n long, v int"), "right")
+    broadcast = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        j = common.split_join(left, right, "k", "n", len(rows), how, F.xxhash64("i"))
+        plan = j._jdf.queryExecution().executedPlan().toString()
+        got = {(r.i, r.k): r.v for r in j.collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    value = {"hot": 1, "k5": 2, "k7": 3}
+    assert got == {x: value.get(x[1]) for x in rows if how == "left" or x[1] in value}
+    if how == "left":
+        assert "hashpartitioning(k#" in plan and "_ls#" in plan.split("hashpartitioning(k#")[1].split(")")[0]
+    release(spark)
