@@ -36,3 +36,19 @@ def test_noun_lemmas(spark):
     out = {r.row_id: r.tokens for r in lemmatise_nouns(docs, lemmas, listed).collect()}
     assert out == {1: ["two", "box", "mice", "box"], 2: [], 3: ["goose"]}
     assert noun_lemmas(forms.limit(0), lemmas).count() == 0
+
+
+def test_rows_rewritten_where_they_are_read(spark):
+    """Rows of one id are no shuffle; ids that repeat or are missing go the
+    way of positions, with the same results."""
+    from reelsim.operators.lemma import _by_position, lemmatise_with_table
+    lex = spark.createDataFrame([("heroes", "hero"), ("heroes", "heron"), ("a", "a"), ("b", None)], "form string, lemma string")
+    one = spark.createDataFrame([(1, "x", ["heroes", "a", "b"]), (2, "y", []), (3, "z", None)], "row_id long, t string, tokens array<string>")
+    got = lemmatise_with_table(one, lex)
+    assert got.columns == ["row_id", "t", "tokens"]
+    assert "Exchange hashpartitioning(form" not in got._jdf.queryExecution().executedPlan().toString()
+    assert {tuple(r) for r in got.selectExpr("row_id", "t", "try_element_at(tokens, 1)").collect()} == {(1, "x", "hero"), (2, "y", None), (3, "z", None)}
+    both = one.unionByName(spark.createDataFrame([(1, "w", ["heroes"]), (None, "n", ["heroes"])], one.schema))
+    plain = _by_position(both, lex.groupBy("form").agg({"lemma": "min"}).toDF("form", "lemma"), "tokens", "row_id")
+    key = lambda d: sorted(map(str, d.collect()))
+    assert key(lemmatise_with_table(both, lex)) == key(plain)
