@@ -52,8 +52,10 @@ def _substr_of(s: Column, k: int):
     return lambda i: F.substring(s, i, k)
 
 
-# Lengths of the substrings that the lookup index holds.
-GRAM_LENGTHS = (1, 2, 3, 4, 5, 8)
+# Lengths of the substrings that the lookup index holds: without a gap, as a
+# number of seven digits would be looked up by five of them, which a tenth of a
+# thousandth of all numbers share however many there are.
+GRAM_LENGTHS = (1, 2, 3, 4, 5, 6, 7, 8)
 
 
 def _grams_of_length(s: Column, k: int) -> Column:

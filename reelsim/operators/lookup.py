@@ -2,7 +2,7 @@
 
 Substring matching runs through an n-gram index instead of testing every
 (query, title) pair: each catalogue row is indexed under the distinct
-substrings of 1 to 5 and of 8 characters of its title key.  A distinct
+substrings of 1 to 8 characters of its title key.  A distinct
 query text is looked up once, under the rarest of its longest grams (an
 equi-join), and only those candidates are checked with the exact predicate.
 Every title that contains the query contains that gram, so the result is

@@ -42,3 +42,9 @@ def test_genre_pieces(spark):
     got = [r.p for r in df.select(genre_pieces("g").alias("p")).collect()]
     assert got == [["War", ""], ["Action", "Drama", "Sci-Fi", "War"]]
     assert df.select(primary_genre("g").alias("p")).collect()[1].p == "Action"
+
+
+def test_words_of_seven_characters_are_one_gram(spark):
+    from reelsim.functions.titles import query_grams
+    got = spark.createDataFrame([("1234567",), ("123456",)], "q string").select(query_grams("q").alias("g")).collect()
+    assert [r.g for r in got] == [["1234567"], ["123456"]]
