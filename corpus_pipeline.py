@@ -28,10 +28,16 @@ def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 10: one row of each group stays, the one with the smallest
-    doc_id.  Groups are formed of rows, each under an id of its own, so rows
-    that repeat a doc_id and rows without one (which come last in the order)
-    are grouped by their texts like any other.  Rows without words link with
-    nothing; of those that repeat a doc_id one stays."""
+    doc_id.  Groups are formed of rows, so rows that repeat a doc_id and rows
+    without one (which come last in the order) are grouped by their texts like
+    any other: if there are such rows, the table is stored once more with a
+    number for every row; otherwise the doc_id is that number.  Rows without
+    words link with nothing; of those that repeat a doc_id one stays."""
+    shared = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")).filter(F.col("doc_id").isNull() | (F.col("rows") > 1))
+    if shared.isEmpty():
+        groups = jaccard.similar_groups(docs.select("doc_id", "text"), 5, 80, 100)
+        gone = store(groups.filter("component_id != doc_id").select("doc_id"), "gone")
+        return docs.select(*COLUMNS).join(gone, "doc_id", "left_anti").select(*COLUMNS)
     rows = store(docs.select(*COLUMNS).withColumn("_row", F.monotonically_increasing_id()), "rows")
     groups = jaccard.similar_groups(rows.select(F.col("_row").alias("doc_id"), "text"), 5, 80, 100)
     groups = groups.select(F.col("doc_id").alias("_row"), "n_shingles", "component_id")

@@ -11,7 +11,8 @@ minimiser repeats.
 2. Super-k-mers whose minimiser occurs again travel as one packed string of
    words to their minimiser's bucket.  Those of a hot minimiser (see
    ``common.hot_limit``) travel window by window instead, to the bucket of
-   the window itself; equal strings of a batch travel once.
+   the window itself; equal strings of a batch travel once, and neighbouring
+   copies of one document report themselves as one run of windows.
 3. Each bucket is sorted, and its windows are counted exactly, by their
    words.  Windows seen again go back to their documents as spans.
 4. Every word that such a window covers is removed.
@@ -68,6 +69,15 @@ def superkmers(w: Words, k: int, m: int) -> tuple[np.ndarray, np.ndarray, np.nda
     return g[where[at]], doc[at], s[at] - w.first[doc[at]], np.diff(np.append(at, len(s)))
 
 
+def merged(stay: np.ndarray, doc: np.ndarray, first: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``(rows, windows)``: the rows that begin a run and the windows of the
+    run.  Rows that ``stay`` are one run if they follow each other in one
+    document without a gap; any other row is a run of its own."""
+    on = stay[1:] & stay[:-1] & (doc[1:] == doc[:-1]) & (first[1:] == first[:-1] + n[:-1])
+    at = np.flatnonzero(np.concatenate(([True], ~on)))
+    return at, np.add.reduceat(n, at)
+
+
 def _keyed(docs: DataFrame, keep: tuple[str, ...]) -> DataFrame:
     return docs.select(F.coalesce(F.col("doc_id"), F.lit(-1 << 63)).alias("_id"),
                        F.xxhash64("text").alias("_h"), *[F.col(c).alias(f"c_{c}") for c in keep])
@@ -130,15 +140,16 @@ def repeated_spans(docs: DataFrame, k: int = WINDOW, m: int = GRAM) -> DataFrame
             def flush():
                 if not packed:
                     return None
-                many = np.array([seen[sent[p]] > 1 for p in packed])
+                stay = np.array([x is None for x in bucket])
+                at, n = merged(stay, np.array(doc), np.array(begin), np.array([p.count(b" ") + 2 - k for p in packed]))
+                many = np.array([seen[sent[packed[x]]] > 1 for x in at])
                 # copies only report themselves: they need no bucket, an own key spreads them
-                keys = [x if x is not None else (i * 0x9E3779B97F4A7C15 >> 3) % (1 << 62) for i, x in enumerate(bucket)]
-                stay = pa.array([x is None for x in bucket])
-                take = pa.array(doc)
+                keys = [bucket[x] if bucket[x] is not None else (i * 0x9E3779B97F4A7C15 >> 3) % (1 << 62) for i, x in enumerate(at)]
+                take = pa.array(np.array(doc)[at])
                 out = pa.RecordBatch.from_arrays(
-                    [pa.array(keys, pa.int64()), pa.array([None if x is None else p for x, p in zip(bucket, packed)], pa.binary()),
-                     ids.take(take), hs.take(take), pa.array(begin, pa.int32()), pa.array(many),
-                     pa.array([p.count(b" ") + 2 - k for p in packed], pa.int32()), stay],
+                    [pa.array(keys, pa.int64()), pa.array([None if stay[x] else packed[x] for x in at], pa.binary()),
+                     ids.take(take), hs.take(take), pa.array(np.array(begin)[at], pa.int32()), pa.array(many),
+                     pa.array(n, pa.int32()), pa.array(stay[at])],
                     ["bucket", "packed", "_id", "_h", "first", "many", "n", "stay"])
                 for x in (bucket, packed, doc, begin, seen):
                     x.clear()
@@ -151,7 +162,7 @@ def repeated_spans(docs: DataFrame, k: int = WINDOW, m: int = GRAM) -> DataFrame
                 raw = w.data.tobytes()
                 for t in range(i, j):
                     f = int(w.first[t - i])
-                    for x in range(int(at[t]), int(at[t + 1])):
+                    for x in int(at[t]) + np.argsort(first[at[t]:at[t + 1]], kind="stable"):
                         a = f + int(first[x])
                         if not hot[x]:
                             z = a + int(n[x]) + k - 1

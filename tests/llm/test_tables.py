@@ -257,3 +257,16 @@ def test_length_is_measured_where_no_links_are_known(spark):
     z = pivots.COSINE * y + math.sqrt(1 - pivots.COSINE ** 2) * unit(away - (away * y).sum(axis=1, keepdims=True) * y)
     a, b = (pivots.nearest_pivots(v, refs, k) for v in (y, z))
     assert ((a[:, :, None] == b[:, None, :]).sum(axis=(1, 2)) >= 2).mean() >= 0.9
+
+
+def test_near_duplicates_stores_no_text_of_unique_ids(spark, monkeypatch):
+    import corpus_pipeline
+    text = " ".join(f"w{i}" for i in range(60))
+    rows = [(5, text), (3, text), (9, text + " end"), (7, "one two three four five six"), (2, None), (1, "  ")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    held, plain = [], corpus_pipeline.store
+    monkeypatch.setattr(corpus_pipeline, "store", lambda df, name: held.append(df.columns) or plain(df, name))
+    kept = corpus_pipeline.near_duplicates(spark, docs, SF)
+    assert kept.columns == list(corpus_pipeline.COLUMNS)
+    assert sorted(r["doc_id"] for r in kept.collect()) == [1, 2, 3, 7]
+    assert not any("text" in c for c in held)

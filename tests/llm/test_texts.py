@@ -294,3 +294,27 @@ def test_scratch_is_released(spark, odd_documents):
     release(spark)
     assert not any(os.path.exists(p.removeprefix("file:")) for p in paths)
 
+
+
+def test_copies_of_a_hot_passage_report_runs(spark, monkeypatch):
+    """Copies inside a batch are one row per document, not one per window."""
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    from reelsim.llm import common
+    monkeypatch.setattr(common, "HOT_ROWS", 1)
+    made, plain = [], DataFrame.mapInArrow
+
+    def spy(df, work, schema, *args, **kw):
+        out = plain(df, work, schema, *args, **kw)
+        if "packed binary" in str(schema):
+            made.append(out)
+        return out
+
+    monkeypatch.setattr(DataFrame, "mapInArrow", spy)
+    words = lambda name, n: " ".join(f"{name}{x * 7919 % 1009}" for x in range(n))
+    docs = spark.createDataFrame([(i, f"{words(f'a{i}x', 40)} {words('p', 300)} {words(f'b{i}x', 40)}") for i in range(20)], "doc_id long, text string")
+    monkeypatch.setattr(superkmer, "drop", lambda *t: None)
+    got = superkmer.remove_repeats(docs.coalesce(1)).collect()
+    assert [r["n_removed"] for r in got] == [300] * 20
+    stay = made[0].filter("stay").agg(F.count("*").alias("rows"), F.sum("n").alias("windows")).first()
+    assert stay["windows"] >= 8 * 200 and stay["rows"] <= 40
