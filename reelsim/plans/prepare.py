@@ -55,13 +55,18 @@ def prepare_catalog(films: DataFrame, text: TextParams | None = None,
     ``seen`` observes, when the catalogue is written, the rows that are left
     after the de-dupe and how many of them keep a token (A19).
     """
-    # tokens are a column before the de-dupe: the blank-row filter after it
-    # then tests that column instead of re-running the cleaning (filters
-    # are pushed below the semi-join)
-    df = with_tokens(films, text)
-    if dedupe:
-        df = keep_first(df.filter(F.col("description").isNotNull()), ["title"])
-    if seen is not None:
+    if seen is None:
+        # tokens are a column before the de-dupe: the blank-row filter after it
+        # then tests that column instead of re-running the cleaning (filters
+        # are pushed below the semi-join)
+        df = with_tokens(films, text)
+        if dedupe:
+            df = keep_first(df.filter(F.col("description").isNotNull()), ["title"])
+    else:
+        # no filter is pushed below an observation, so the tokens need not
+        # pass the de-dupe; nor do the texts, as long as its ids can be sent
+        df = keep_first(films.filter(F.col("description").isNotNull()), ["title"], stored=True) if dedupe else films
+        df = with_tokens(df, text)
         df = df.observe(seen, F.count(F.lit(1)).alias("deduped"), F.sum((F.size("tokens") > 0).cast("long")).alias("kept"))
     return with_title_keys(drop_blank(df))
 
