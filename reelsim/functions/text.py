@@ -41,13 +41,14 @@ def default_stop_words() -> tuple[str, ...]:
     return tuple(out)
 
 
-def word_tokens(text: str | Column) -> Column:
-    """Lower-case, keep runs of ``a-z`` only; null or blank text -> [].
+def word_tokens(text: str | Column, min_len: int = 1) -> Column:
+    """Lower-case, keep runs of ``a-z`` of ``min_len`` letters at least; null
+    or blank text -> [].
 
     Equal to: lower, replace ``[^a-z\\s]`` by blank, squeeze blanks, split.
     """
     col = F.col(text) if isinstance(text, str) else text
-    toks = F.regexp_extract_all(F.lower(col), F.lit("[a-z]+"), 0)
+    toks = F.regexp_extract_all(F.lower(col), F.lit(f"[a-z]{{{max(min_len, 1)},}}"), 0)
     return F.coalesce(toks, F.array().cast("array<string>"))
 
 
@@ -63,16 +64,10 @@ def clean_tokens(text: str | Column,
     through :func:`reelsim.operators.lemma.lemmatise_with_table`).
     """
     stops = list(default_stop_words() if stop_words is None else stop_words)
-    toks = word_tokens(text)
-
-    def keep(w: Column) -> Column:
-        cond = F.length(w) >= min_len
-        if stops:
-            # more than 10 literals -> Catalyst turns this into a hash InSet
-            cond = cond & ~w.isin(*stops)
-        return cond
-
-    toks = F.filter(toks, keep)
+    toks = word_tokens(text, min_len)
+    if stops:
+        # more than 10 literals -> Catalyst turns this into a hash InSet
+        toks = F.filter(toks, lambda w: ~w.isin(*stops))
     if lexicon:
         lex = F.create_map(*[F.lit(x) for kv in sorted(lexicon.items()) for x in kv])
         toks = F.transform(toks, lambda w: F.coalesce(F.try_element_at(lex, w), w))

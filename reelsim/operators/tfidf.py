@@ -23,7 +23,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from reelsim.functions.text import uni_bi_grams
+from reelsim.functions.text import bigrams, uni_bi_grams
 from reelsim.operators import counting
 
 MAX_FEATURES = 20_000
@@ -161,8 +161,8 @@ def fit(docs: DataFrame, terms_col: str = "terms", min_df: int = MIN_DF,
 
 def fit_rows(docs: DataFrame, min_df: int = MIN_DF, max_features: int = MAX_FEATURES, sublinear_tf: bool = True,
              id_col: str = "row_id", n_docs: Column | None = None) -> TfidfModel:
-    """:func:`fit` on a *stored* ``docs(row_id, tokens)``, terms being words
-    and bigrams, counted row by row (``operators.counting``).  Rows that share
+    """:func:`fit` on a *stored* ``docs(row_id, tokens)`` (a list, or one string
+    with blanks between the tokens), terms being words and bigrams, counted row by row (``operators.counting``).  Rows that share
     an id are one document: they go through :func:`fit`'s counting.
     ``by_row(docs with genre_id, terms)`` and ``weigh`` (for the ids that
     repeat; None if there are none) make the postings."""
@@ -173,24 +173,32 @@ def fit_rows(docs: DataFrame, min_df: int = MIN_DF, max_features: int = MAX_FEAT
         same = F.col(id_col).eqNullSafe(F.col("_id"))
         odd, single = single.join(repeated, same, "left_semi"), single.join(repeated, same, "left_anti")
 
+    tokens = F.col("tokens")
+    if docs.schema["tokens"].dataType.simpleString() == "string":
+        tokens = F.when(tokens != "", F.split(tokens, " ")).otherwise(F.array().cast("array<string>"))
+
     def parts(known: list[str] | None, pairs: bool) -> DataFrame:
         out = counting.term_stats(single, "tokens", known, pairs)
         if odd is None:
             return out
-        terms = uni_bi_grams(F.col("tokens")) if pairs else F.col("tokens")
+        terms = (bigrams(tokens) if known else uni_bi_grams(tokens)) if pairs else tokens
         rest = term_counts(odd.select(id_col, terms.alias("terms")), "terms", id_col)
         return out.unionByName(rest.select("term", F.lit(1).cast("long").alias("df"), F.col("tf").alias("cf")))
 
     # words first: their cut is a floor under that of all terms
     words, floor = vocabulary_cut(parts(None, False), min_df, max_features)
     frequent = words.filter((F.col("cf") >= F.coalesce(floor, F.lit(0))) | F.col("term").contains(" "))
-    sent = [r["term"] for r in frequent.select("term").limit(counting.SENT_WORDS + 1).collect()]
+    sent = [tuple(r) for r in frequent.select("term", "df", "cf").limit(counting.SENT_WORDS + 1).collect()]
     # fewer words than features (no floor), too many, or lemmas of several words: every bigram counts
-    known = sent if max_features <= len(sent) <= counting.SENT_WORDS and not any(" " in w for w in sent) else None
-    vocab = cut_vocabulary(parts(known, True), min_df, max_features).withColumn("idf", smooth_idf(F.col("df"), n_docs))
+    known = [w for w, *_ in sent] if max_features <= len(sent) <= counting.SENT_WORDS and not any(" " in w for w, *_ in sent) else None
+    counted = parts(known, True)
+    if known:
+        # words of a cf under the floor are not among the terms, the others are counted
+        counted = counted.unionByName(docs.sparkSession.createDataFrame(sent, "term string, df long, cf long"))
+    vocab = cut_vocabulary(counted, min_df, max_features).withColumn("idf", smooth_idf(F.col("df"), n_docs))
 
     def weigh(vocabulary: DataFrame) -> DataFrame:
-        terms = odd.select(id_col, F.explode(uni_bi_grams(F.col("tokens"))).alias("term"))
+        terms = odd.select(id_col, F.explode(uni_bi_grams(tokens)).alias("term"))
         kept = terms.join(F.broadcast(vocabulary.select("term")), "term", "left_semi")
         return _weigh(kept.groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf")), vocabulary, sublinear_tf, True, True, id_col, True)
 
@@ -211,6 +219,15 @@ def bag_of_words(model: TfidfModel) -> TfidfModel:
                       model.n_docs, sublinear_tf=False, use_idf=False, norm=False)
 
 
+def round_weight(w: str | Column, digits: int) -> Column:
+    """``F.round``, which goes through a decimal for every value, only where a
+    tie may be near; elsewhere the nearest whole number is the same one."""
+    w = F.col(w) if isinstance(w, str) else w
+    at = w * F.lit(10.0 ** digits)
+    plain = (w >= 0) & (at < 1e8) & (F.abs(at - F.floor(at) - F.lit(0.5)) > 1e-6)
+    return F.when(plain, F.floor(at + F.lit(0.5)) / F.lit(10.0 ** digits)).otherwise(F.round(w, digits))
+
+
 def top_terms(postings: DataFrame, k: int) -> DataFrame:
     """``(row_id, kind, rank, term, value)``: every document's ``k`` terms of
     the largest count (``bow``) and of the largest weight (``tfidf``), ties

@@ -60,6 +60,8 @@ WAITING = 50_000
 # Documents whose vectors are laid out at a time, and entries of queries that
 # are summed, when candidates are scored again.
 AGAIN_DOCS, AGAIN_ENTRIES = 32, 500_000
+# Vectors of a stored file, at least.
+FILE_ROWS = 4096
 # Term numbers up to which a block finds its terms by a table.
 TABLE = 1 << 22
 
@@ -417,9 +419,19 @@ def tile_top_n(queries: DataFrame, docs: DataFrame, genres: DataFrame, n: int, q
 
 
 def store_vectors(postings: DataFrame, catalog: DataFrame, ids: DataFrame, genres: DataFrame) -> DataFrame:
-    return store_sorted(document_vectors(postings, catalog, ids, genres))
-
-
-def store_sorted(vectors: DataFrame) -> DataFrame:
-    """Stored in the order of rows, so a filter on few rows skips the rest."""
-    return store_table(vectors.repartitionByRange("row_id").sortWithinPartitions("row_id"), "vectors")
+    return store_sorted(document_vectors(postings, catalog, ids, genres), catalog)
+
+
+def store_sorted(vectors: DataFrame, catalog: DataFrame) -> DataFrame:
+    """Stored in the order of rows, so a filter on few rows skips the rest.
+    The borders of the files come from ``catalog``'s ids: ranges of
+    ``vectors`` itself are found by making all of them another time or two."""
+    files = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    files = max(1, min(files, catalog.count() // FILE_ROWS))
+    borders = catalog.agg(F.percentile_approx("row_id", [i / files for i in range(1, files)])).first()[0] if files > 1 else None
+    if borders:
+        at = F.size(F.filter(F.array(*map(F.lit, borders)), lambda x: x <= F.col("row_id")))
+        vectors = vectors.repartitionById(files, at)
+    else:
+        vectors = vectors.coalesce(1)
+    return store_table(vectors.sortWithinPartitions("row_id"), "vectors")

@@ -179,7 +179,7 @@ def q_vocabulary(spark, sf):
 
 
 def _weights(p: DataFrame) -> DataFrame:
-    return _long(p.select("row_id", "term", "tf", F.round("w", 6).alias("w")), "tf")
+    return _long(p.select("row_id", "term", "tf", tfidf.round_weight("w", 6).alias("w")), "tf")
 
 
 def q_tfidf_weights(spark, sf):

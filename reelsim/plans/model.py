@@ -49,6 +49,7 @@ class Recommender:
         self._sizes: dict | None = None
         self._heads: tuple[int, DataFrame] | None = None
         self._prepared: dict | None = None
+        self._unstored: DataFrame | None = None
         self._stored = False
         self._kept: list[DataFrame] = []
         self._requests: list[DataFrame] = []
@@ -99,10 +100,17 @@ class Recommender:
 
     @property
     def blocks(self) -> DataFrame:
-        """Postings with the band and level of their block."""
+        """Postings with the band and level of their block (stored on first
+        use when the model is: only searches for one request read them so)."""
         if "level" in self.model.postings.columns:
             return self.model.postings
-        return impact.with_blocks(self.model.postings, self.model.vocabulary)
+        made = self._unstored if self._unstored is not None else impact.with_blocks(self.model.postings, self.model.vocabulary)
+        if self._stored:
+            from reelsim.session import store_table
+            with bounded_tasks(made.sparkSession):
+                made = self.model.postings = store_table(made, "postings", ("band", "level"))
+            self._unstored = None
+        return made
 
     @property
     def block_sizes(self) -> dict:
@@ -172,8 +180,9 @@ class Recommender:
         catalog = catalog.withColumn("clean_description", F.array_join("tokens", " "))
         n_docs = F.lit(catalog.count()).cast("long")
         raw = params.tokenizer == "raw" and bool(params.max_features)
-        # the raw text is split once for all passes over it
-        docs = (store_table(catalog.select("row_id", "genre_src", raw_tokens("description").alias("tokens")), "raw_tokens") if raw
+        # the raw text is split once for all passes over it; its tokens hold no
+        # blank, and one string is stored and sent sooner than a list
+        docs = (store_table(catalog.select("row_id", "genre_src", F.array_join(raw_tokens("description"), " ").alias("tokens")), "raw_tokens") if raw
                 else catalog.select("row_id", "genre_src", "tokens"))
         if params.max_features:
             model = tfidf.fit_rows(docs, params.min_df, params.max_features, params.sublinear_tf, n_docs=n_docs)
@@ -220,33 +229,39 @@ class Recommender:
         self.model.vocabulary = store_table(self.model.vocabulary, "vocabulary")
         if self.model.vocabulary.isEmpty():
             raise ValueError(f"no term occurs in {self.params.min_df} or more descriptions: nothing to fit")
-        self._index = self._freq = self._tiles = self._sizes = self._heads = None
+        self._index = self._freq = self._tiles = self._sizes = self._heads = self._unstored = None
         self._stored = True
         if self.model.by_row:
-            self.model.postings = self._weigh_rows(docs)
+            self._unstored = self._weigh_rows(docs)
+            self.model.postings = self._unstored.drop("band", "level")
         elif self.model.weigh:
             # weighed by the stored vocabulary: its terms alone are counted again
             self.model.postings = self.model.weigh(self.model.vocabulary)
-        self.model.postings = store_table(self.blocks, "postings", ("band", "level"))
+        if self._tiles is None:
+            # else postings are read from the stored vectors
+            _ = self.blocks
         self.model.weigh = self.model.by_row = None
         self.model.n_docs = F.lit(self.catalog.count()).cast("long")
         self.titles = self.catalog.select("row_id", "title", "title_key", "name_only")
-        _ = self.by_document, self.block_sizes
+        _ = self.by_document
         return self
 
     def _weigh_rows(self, docs: DataFrame) -> DataFrame:
-        """Postings of ``docs(row_id, genre_src, tokens)``, weighed row by row
-        and stored by document; rows that share an id are added from counts."""
+        """Postings of ``docs(row_id, genre_src, tokens)`` with their blocks,
+        weighed row by row and stored by document; rows that share an id are
+        added from counts."""
         vocabulary = self.model.vocabulary
         ids, genres = tiles.term_ids(vocabulary), tiles.genre_ids(self.catalog)
         # at most max_features rows
         terms = [tuple(r) for r in ids.join(vocabulary.select("term", "idf"), "term").select("term", "term_id", "idf").collect()]
         rows = docs.join(maybe_broadcast(genres), "genre_src", "left")
-        made = tiles.store_sorted(self.model.by_row(rows, terms))
+        made = tiles.store_sorted(self.model.by_row(rows, terms), self.catalog)
         found = made.select("row_id", F.inline(F.arrays_zip("ids", "tfs", "ws")))
-        found = found.join(F.broadcast(ids), F.col("ids") == F.col("term_id")).select("row_id", "term", F.col("tfs").alias("tf"), F.col("ws").alias("w"))
+        named = F.broadcast(ids.select("term", "term_id", impact.band_of(F.col("df")).alias("band")))
+        found = found.join(named, F.col("ids") == F.col("term_id")).select(
+            "row_id", "term", F.col("tfs").alias("tf"), F.col("ws").alias("w"), "band", impact.level_of(F.col("ws")).alias("level"))
         if self.model.weigh:
-            return found.unionByName(self.model.weigh(vocabulary))
+            return found.unionByName(impact.with_blocks(self.model.weigh(vocabulary), vocabulary))
         self._tiles = ids, genres, made
         return found
 

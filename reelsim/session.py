@@ -92,15 +92,9 @@ def bounded_tasks(spark: SparkSession):
     bounds = {"spark.sql.files.maxPartitionBytes": TASK_BYTES, "spark.sql.adaptive.advisoryPartitionSizeInBytes": TASK_BYTES,
               "spark.sql.execution.arrow.maxBytesPerBatch": BATCH_BYTES}
     to_bytes = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
-    before = {k: spark.conf.get(k) for k in bounds}
-    try:
-        for k, most in bounds.items():
-            held = to_bytes(before[k])
-            spark.conf.set(k, str(min(held, most) if held > 0 else most))
+    held = {k: to_bytes(spark.conf.get(k)) for k in bounds}
+    with _settings(spark, {k: min(held[k], most) if held[k] > 0 else most for k, most in bounds.items()}):
         yield
-    finally:
-        for k, v in before.items():
-            spark.conf.set(k, v)
 
 
 def cache_small(df: DataFrame) -> DataFrame:
@@ -115,15 +109,34 @@ def store_table(df: DataFrame, name: str = "table", folders: tuple[str, ...] = (
     """Cut lineage by writing ``df`` as a Parquet table in the shared
     checkpoint folder and reading it back.  Unlike an RDD checkpoint the
     stored table is columnar: later scans read only the columns they use
-    and get filter pushdown.  ``folders`` are partition columns."""
+    and get filter pushdown.  ``folders`` are partition columns; up to
+    ``OPEN_FILES`` of them are written side by side, without a sort."""
     path = scratch_path(df.sparkSession, name)
-    df.write.mode("overwrite").partitionBy(*folders).parquet(path)
+    with _settings(df.sparkSession, {"spark.sql.maxConcurrentOutputFileWriters": OPEN_FILES} if folders else {}):
+        df.write.mode("overwrite").partitionBy(*folders).parquet(path)
     out = df.sparkSession.read.parquet(path)
     out._stored_path = path
     _stored.append(path)
     return out
 
 
+# Files that a task writes at a time; with more, its rows are sorted first.
+OPEN_FILES = 128
+
+
+@contextmanager
+def _settings(spark: SparkSession, values: dict):
+    """``values`` hold in this block, and what was there before afterwards."""
+    before = {k: spark.conf.get(k) for k in values}
+    try:
+        for k, v in values.items():
+            spark.conf.set(k, str(v))
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 # Paths of tables stored by this process and not yet deleted.
 _stored: list[str] = []
 
